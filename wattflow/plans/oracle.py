@@ -262,3 +262,202 @@ _reg("fact_generation_monthly", with_(FACT_GEN, "SELECT * FROM fact_gen"))
 _reg("silver_registry", with_(SILVER_REG, "SELECT * FROM silver_reg"))
 _reg("stg_registry", with_(STG_REG, "SELECT * FROM stg_reg"))
 _reg("fact_capacity", with_(MARTS, "SELECT * FROM fact_cap"))
+
+
+# -- functions -----------------------------------------------------------------
+
+_reg("noise_filter", with_(GEN_RAW, """
+SELECT cod_modalidadeoperacao, val_geracao IS NULL AS valor_nulo, val_geracao = 0 AS valor_zero,
+  CAST(count(*) AS BIGINT) AS n_linhas,
+  CAST(sum(CASE WHEN NOT (cod_modalidadeoperacao = 'Pequenas Usinas (MMGD)' AND val_geracao = 0)
+           THEN 1 ELSE 0 END) AS BIGINT) AS n_mantidas,
+  CAST(sum(CASE WHEN NOT (cod_modalidadeoperacao = 'Pequenas Usinas (MMGD)' AND val_geracao = 0)
+           THEN 1 ELSE 0 END) AS BIGINT) AS n_filtradas
+FROM gen_raw GROUP BY ALL"""))
+
+_reg("br_number", with_(REG_RAW, """
+SELECT CodEmpreendimento AS id, MdaPotenciaInstaladaKW AS texto,
+  TRY_CAST(replace(MdaPotenciaInstaladaKW, ',', '.') AS DOUBLE) AS potencia_kw,
+  TRY_CAST(replace(replace(MdaPotenciaInstaladaKW, '.', ''), ',', '.') AS DOUBLE) AS potencia_kw_milhar,
+  TRY_CAST(replace(NumCoordNEmpreendimento, ',', '.') AS DOUBLE) AS latitude,
+  TRY_CAST(replace(NumCoordEEmpreendimento, ',', '.') AS DOUBLE) AS longitude
+FROM reg_raw"""))
+
+_reg("parse_date", with_(REG_RAW, """
+SELECT CodEmpreendimento AS id, DthAtualizaCadastralEmpreend AS texto,
+  CAST(try_strptime(DthAtualizaCadastralEmpreend, '%Y-%m-%d') AS DATE) AS data_conexao,
+  CAST(year(try_strptime(DthAtualizaCadastralEmpreend, '%Y-%m-%d')) AS INTEGER) AS ano,
+  CAST(month(try_strptime(DthAtualizaCadastralEmpreend, '%Y-%m-%d')) AS INTEGER) AS mes
+FROM reg_raw"""))
+
+# -- data-quality checks --------------------------------------------------------
+
+MODEL_CTE = {
+    "stg_generation": "stg_gen", "stg_registry": "stg_reg", "dim_state": "dim_uf",
+    "dim_source": "dim_fonte", "fact_generation_monthly": "fact_gen", "fact_capacity": "fact_cap",
+    "silver_registry": "silver_reg", "dim_state_distinct": "dim_uf_distinct",
+}
+
+
+def _head(model: str, col: str, test: str) -> str:
+    return (f"SELECT '{test}_{model}_{col}' AS check_id, '{model}' AS model, "
+            f"'{col}' AS column_name, '{test}' AS test, ")
+
+
+def sql_not_null(model: str, col: str) -> str:
+    return _head(model, col, "not_null") + \
+        f"CAST(count_if({col} IS NULL) AS BIGINT) AS failures FROM {MODEL_CTE[model]}"
+
+
+def sql_unique(model: str, col: str) -> str:
+    return _head(model, col, "unique") + f"""CAST(count(*) AS BIGINT) AS failures FROM (
+  SELECT {col} FROM {MODEL_CTE[model]} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1) d"""
+
+
+def sql_accepted(model: str, col: str, values) -> str:
+    vals = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+    return _head(model, col, "accepted_values") + f"""CAST(count(*) AS BIGINT) AS failures FROM (
+  SELECT {col} FROM {MODEL_CTE[model]} WHERE {col} NOT IN ({vals}) GROUP BY {col}) d"""
+
+
+def sql_relationship(model: str, col: str, parent: str, pcol: str) -> str:
+    return _head(model, col, "relationships") + f"""CAST(count(*) AS BIGINT) AS failures
+  FROM {MODEL_CTE[model]} ch LEFT JOIN {MODEL_CTE[parent]} pa ON ch.{col} = pa.{pcol}
+  WHERE ch.{col} IS NOT NULL AND pa.{pcol} IS NULL"""
+
+
+def sql_checks(parts) -> str:
+    body = "\nUNION ALL\n".join(parts)
+    return f"""SELECT *, failures <> 0 AS should_warn, failures <> 0 AS should_error FROM (
+{body}) checks"""
+
+
+CATEGORIES = ['Hídrica', 'Eólica', 'Solar', 'Nuclear', 'Biomassa', 'Térmica/Outras']
+RENEWABLE = ['Hidráulica', 'Eólica', 'Fotovoltaica', 'Biomassa']
+NOT_NULL_SQL = [sql_not_null(m, c) for m, cols in [
+    ("stg_generation", ["ts_geracao", "sigla_uf", "geracao_mwh", "eh_renovavel"]),
+    ("stg_registry", ["id_empreendimento", "sigla_uf", "potencia_kw", "data_conexao", "ano_conexao"]),
+    ("dim_state", ["sigla_uf", "sk_uf"]),
+    ("dim_source", ["fonte_combustivel", "categoria_simplificada"]),
+    ("fact_generation_monthly", ["sigla_uf", "geracao_total_mwh"]),
+    ("fact_capacity", ["sigla_uf", "potencia_kw_novos"]),
+] for c in cols]
+UNIQUE_SQL = [sql_unique("dim_state", "sigla_uf"), sql_unique("dim_state", "sk_uf"),
+              sql_unique("dim_source", "fonte_combustivel")]
+ACCEPTED_SQL = [sql_accepted("dim_source", "categoria_simplificada", CATEGORIES)]
+REL_SQL = [sql_relationship("fact_generation_monthly", "sigla_uf", "dim_state", "sigla_uf"),
+           sql_relationship("fact_capacity", "sigla_uf", "dim_state", "sigla_uf")]
+
+_DIM_DISTINCT = """,
+dim_uf_distinct AS (SELECT DISTINCT sigla_uf, nome_estado, nome_subsistema, cod_subsistema, eh_brasil
+                    FROM stg_gen WHERE sigla_uf IS NOT NULL)"""
+
+_reg("dq_not_null", with_(MARTS, sql_checks(NOT_NULL_SQL)))
+_reg("dq_unique", with_(MARTS + _DIM_DISTINCT,
+                        sql_checks(UNIQUE_SQL + [sql_unique("dim_state_distinct", "sigla_uf")])))
+_reg("dq_accepted_values", with_(MARTS, sql_checks(
+    ACCEPTED_SQL + [sql_accepted("stg_generation", "fonte_combustivel", RENEWABLE)])))
+_reg("dq_relationships", with_(MARTS, sql_checks(
+    REL_SQL + [sql_relationship("silver_registry", "sigla_uf", "dim_state", "sigla_uf")])))
+_reg("dq_summary", with_(MARTS, sql_checks(NOT_NULL_SQL + UNIQUE_SQL + ACCEPTED_SQL + REL_SQL)))
+
+GATE_EDGES = [
+    ("dim_state", "stg_generation"), ("dim_source", "stg_generation"),
+    ("fact_generation_monthly", "stg_generation"), ("fact_generation_monthly", "dim_state"),
+    ("fact_generation_monthly", "dim_source"), ("fact_capacity", "stg_generation"),
+    ("fact_capacity", "stg_registry"), ("fact_capacity", "dim_state"),
+]
+_edges = ", ".join(f"('{a}', '{b}')" for a, b in GATE_EDGES)
+_reg("dq_gate", with_(MARTS + f""",
+results AS ({sql_checks(NOT_NULL_SQL + UNIQUE_SQL + ACCEPTED_SQL + REL_SQL)}),
+edges(model, upstream) AS (VALUES {_edges})""", """
+SELECT e.model, CAST(count(r.check_id) AS BIGINT) AS n_checks,
+  CAST(count_if(r.failures > 0) AS BIGINT) AS n_failed,
+  CASE WHEN count_if(r.failures > 0) > 0 THEN 'blocked' ELSE 'ready' END AS status
+FROM edges e LEFT JOIN results r ON r.model = e.upstream GROUP BY e.model"""))
+
+# -- reports ------------------------------------------------------------------
+
+
+def _pct(num: str, den: str, n: int) -> str:
+    return (f"CAST(round(CAST({num} / nullif({den}, 0) * 100 AS DECIMAL(38,10)), {n}) "
+            f"AS DOUBLE)")
+
+
+_CENTS = "CAST(round(potencia_kw_novos * 100) AS BIGINT)"
+_SOLAR = "fonte_geracao = 'Radiação solar'"
+
+_reg("kpi_total", with_(MARTS, """
+SELECT sum(geracao_total_mwh) AS total_mwh, sum(geracao_total_mwh) / 1e6 AS total_twh
+FROM fact_gen"""))
+
+_reg("kpi_renewable_pct", with_(MARTS, f"""
+SELECT sum(geracao_renovavel_mwh) AS renovavel_mwh, sum(geracao_total_mwh) AS total_mwh,
+  {_pct('sum(geracao_renovavel_mwh)', 'sum(geracao_total_mwh)', 2)} AS pct_renovavel
+FROM fact_gen"""))
+
+_reg("kpi_capacity", with_(MARTS, f"""
+SELECT CAST(sum({_CENTS}) AS DOUBLE) / 1e8 AS potencia_gw,
+  CAST(coalesce(sum(num_empreendimentos_novos), 0) AS BIGINT) AS num_empreendimentos
+FROM fact_cap WHERE {_SOLAR}"""))
+
+_BY_STATE = f"""
+SELECT sigla_uf, round(sum(geracao_total_mwh), 0) AS total_mwh,
+  {_pct('sum(geracao_renovavel_mwh)', 'sum(geracao_total_mwh)', 1)} AS pct_renovavel
+FROM fact_gen {{where}} GROUP BY sigla_uf"""
+
+_reg("top_states_renewable", with_(MARTS, _BY_STATE.format(where="") + """
+ORDER BY pct_renovavel DESC NULLS FIRST, sigla_uf ASC NULLS LAST LIMIT 10"""))
+
+_reg("top_states_capacity", with_(MARTS, f"""
+SELECT sigla_uf, CAST(sum({_CENTS}) AS DOUBLE) / 1e8 AS potencia_gw,
+  CAST(sum(num_empreendimentos_novos) AS BIGINT) AS num_empreendimentos
+FROM fact_cap WHERE {_SOLAR} GROUP BY sigla_uf
+ORDER BY potencia_gw DESC NULLS FIRST, sigla_uf ASC NULLS LAST LIMIT 10"""))
+
+_reg("states_fully_renewable", with_(MARTS, """
+SELECT sigla_uf, sum(geracao_total_mwh) AS geracao_total_mwh FROM fact_gen GROUP BY sigla_uf
+HAVING sum(geracao_total_mwh) > 0 AND sum(geracao_renovavel_mwh) = sum(geracao_total_mwh)"""))
+
+_reg("share_by_source", with_(MARTS, f"""
+SELECT categoria_simplificada, geracao_mwh,
+  {_pct('geracao_mwh', 'sum(geracao_mwh) OVER ()', 2)} AS share_pct
+FROM (SELECT d.categoria_simplificada, sum(f.geracao_total_mwh) AS geracao_mwh
+      FROM fact_gen f LEFT JOIN dim_fonte d ON f.fonte_combustivel = d.fonte_combustivel
+      GROUP BY d.categoria_simplificada) s"""))
+
+_reg("capacity_growth", with_(MARTS + f""",
+per AS (SELECT ano_conexao, sum({_CENTS}) AS c,
+          CAST(sum(num_empreendimentos_novos) AS BIGINT) AS num_empreendimentos
+        FROM fact_cap WHERE {_SOLAR} GROUP BY ano_conexao),
+w AS (SELECT *, first_value(c) OVER (ORDER BY ano_conexao) AS c_first,
+        lag(c) OVER (ORDER BY ano_conexao) AS c_prev,
+        sum(c) OVER (ORDER BY ano_conexao ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c_acc
+      FROM per)""", f"""
+SELECT ano_conexao, CAST(c AS DOUBLE) / 100 AS potencia_kw, num_empreendimentos,
+  CAST(c_acc AS DOUBLE) / 100 AS potencia_acumulada_kw,
+  CAST(round(CAST(c / nullif(c_first, 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS fator_vs_primeiro_ano,
+  CAST(round(CAST(c / nullif(c_prev, 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS fator_anual
+FROM w"""))
+
+_reg("sliced_report", with_(MARTS, _BY_STATE.format(
+    where="WHERE ano_geracao IN (1997, 1998) AND fonte_combustivel IN "
+          "('Hidráulica', 'Eólica', 'Fotovoltaica')")))
+
+_reg("state_year_capacity", with_(MARTS, f"""
+SELECT sigla_uf, ano_conexao, CAST(sum({_CENTS}) AS DOUBLE) / 100 AS potencia_kw,
+  CAST(sum(num_empreendimentos_novos) AS BIGINT) AS num_empreendimentos
+FROM fact_cap WHERE {_SOLAR} GROUP BY sigla_uf, ano_conexao"""))
+
+_reg("drill_across", with_(MARTS + f""",
+g AS (SELECT sigla_uf, ano_geracao AS ano, mes_geracao AS mes,
+        sum(geracao_total_mwh) AS geracao_total_mwh, sum(geracao_renovavel_mwh) AS geracao_renovavel_mwh
+      FROM fact_gen GROUP BY ALL),
+c AS (SELECT sigla_uf, ano_conexao AS ano, mes_conexao AS mes, sum({_CENTS}) AS cc,
+        CAST(sum(num_empreendimentos_novos) AS BIGINT) AS num_empreendimentos_solar
+      FROM fact_cap WHERE {_SOLAR} GROUP BY ALL)""", f"""
+SELECT coalesce(g.sigla_uf, c.sigla_uf) AS sigla_uf, coalesce(g.ano, c.ano) AS ano,
+  coalesce(g.mes, c.mes) AS mes, g.geracao_total_mwh, g.geracao_renovavel_mwh,
+  {_pct('g.geracao_renovavel_mwh', 'g.geracao_total_mwh', 2)} AS pct_renovavel,
+  CAST(c.cc AS DOUBLE) / 100 AS potencia_solar_kw, c.num_empreendimentos_solar
+FROM g FULL OUTER JOIN c ON g.sigla_uf = c.sigla_uf AND g.ano = c.ano AND g.mes = c.mes"""))

@@ -100,3 +100,203 @@ def q_stg_registry(spark, sf_dir):
 @register("fact_capacity")
 def q_fact_capacity(spark, sf_dir):
     return fact_cap(spark, sf_dir)
+
+
+# -- functions / filters on their own ------------------------------------------
+
+@register("noise_filter")
+def q_noise_filter(spark, sf_dir):
+    """Rows before/after the noise filter per (mode, value null, value zero)."""
+    from pyspark.sql import functions as F
+    from wattflow.operators.clean import noise_filter
+    from wattflow.schemas import SMALL_PLANTS_MODE
+    raw = fx.gen_raw(spark, sf_dir)
+    kept = ~((F.col("cod_modalidadeoperacao") == SMALL_PLANTS_MODE) & (F.col("val_geracao") == 0))
+    groups = ["cod_modalidadeoperacao", F.col("val_geracao").isNull().alias("valor_nulo"),
+              (F.col("val_geracao") == 0).alias("valor_zero")]
+    before = raw.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_linhas"),
+                                      F.count_if(kept).alias("n_mantidas"))
+    after = noise_filter(raw, "cod_modalidadeoperacao", SMALL_PLANTS_MODE, "val_geracao")
+    check = after.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_filtradas"))
+    keys = ["cod_modalidadeoperacao", "valor_nulo", "valor_zero"]
+    check = check.select(*[F.col(k).alias("_" + k) for k in keys], "n_filtradas")
+    cond = None
+    for k in keys:  # group keys may be null: null-safe equality
+        term = before[k].eqNullSafe(check["_" + k])
+        cond = term if cond is None else cond & term
+    return before.join(check, cond, "left").select(
+        *keys, "n_linhas", "n_mantidas",
+        F.coalesce("n_filtradas", F.lit(0)).cast("bigint").alias("n_filtradas"))
+
+
+@register("br_number")
+def q_br_number(spark, sf_dir):
+    """Brazilian number text -> double, default and thousands-aware."""
+    from pyspark.sql import functions as F
+    from wattflow.functions import br_number
+    raw = fx.reg_raw(spark, sf_dir)
+    return raw.select(
+        F.col("CodEmpreendimento").alias("id"),
+        F.col("MdaPotenciaInstaladaKW").alias("texto"),
+        br_number("MdaPotenciaInstaladaKW").alias("potencia_kw"),
+        br_number("MdaPotenciaInstaladaKW", thousands=True).alias("potencia_kw_milhar"),
+        br_number("NumCoordNEmpreendimento").alias("latitude"),
+        br_number("NumCoordEEmpreendimento").alias("longitude"),
+    )
+
+
+@register("parse_date")
+def q_parse_date(spark, sf_dir):
+    """Strict yyyy-MM-dd text -> date, year and month."""
+    from pyspark.sql import functions as F
+    from wattflow.functions import parse_date
+    raw = fx.reg_raw(spark, sf_dir)
+    d = parse_date("DthAtualizaCadastralEmpreend")
+    return raw.select(F.col("CodEmpreendimento").alias("id"),
+                      F.col("DthAtualizaCadastralEmpreend").alias("texto"),
+                      d.alias("data_conexao"), F.year(d).alias("ano"), F.month(d).alias("mes"))
+
+
+# -- data-quality checks --------------------------------------------------------
+
+def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    stg_g = stg_gen(spark, sf_dir)
+    stg_r = stg_reg(spark, sf_dir)
+    d_uf = dims.dim_state(stg_g)
+    d_fonte = dims.dim_source(stg_g)
+    return {
+        "stg_generation": stg_g,
+        "stg_registry": stg_r,
+        "dim_state": d_uf,
+        "dim_source": d_fonte,
+        "fact_generation_monthly": facts.monthly_fact(stg_g, d_uf, d_fonte),
+        "fact_capacity": facts.capacity_fact(stg_r, d_uf),
+    }
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    from wattflow.operators.quality import REFERENCE_SUITE
+    return REFERENCE_SUITE.run(models(spark, sf_dir), only=["not_null"])
+
+
+@register("dq_unique")
+def q_dq_unique(spark, sf_dir):
+    """The three key checks, plus the pre-fix DISTINCT state dimension
+    (regression: several rows per state when descriptors vary)."""
+    from wattflow.operators import quality
+    m = models(spark, sf_dir)
+    prefix = m["stg_generation"].filter("sigla_uf IS NOT NULL").select(
+        "sigla_uf", "nome_estado", "nome_subsistema", "cod_subsistema", "eh_brasil").distinct()
+    res = quality.REFERENCE_SUITE.run(m, only=["unique"])
+    return res.unionByName(quality.unique(prefix, "dim_state_distinct", "sigla_uf"))
+
+
+@register("dq_accepted_values")
+def q_dq_accepted_values(spark, sf_dir):
+    """Category domain check, plus a failing one (fuel names vs renewable list)."""
+    from wattflow.operators import quality
+    from wattflow.schemas import RENEWABLE_FUELS
+    m = models(spark, sf_dir)
+    res = quality.REFERENCE_SUITE.run(m, only=["accepted_values"])
+    return res.unionByName(quality.accepted_values(
+        m["stg_generation"], "stg_generation", "fonte_combustivel", RENEWABLE_FUELS))
+
+
+@register("dq_relationships")
+def q_dq_relationships(spark, sf_dir):
+    from wattflow.operators import quality
+    m = models(spark, sf_dir)
+    res = quality.REFERENCE_SUITE.run(m, only=["relationships"])
+    # registry states checked against the generation-built dimension: states
+    # present only in the registry would be orphans (null states are skipped)
+    return res.unionByName(quality.relationships(
+        silver_reg(spark, sf_dir), "silver_registry", "sigla_uf", m["dim_state"], "sigla_uf"))
+
+
+@register("dq_summary")
+def q_dq_summary(spark, sf_dir):
+    from wattflow.operators.quality import REFERENCE_SUITE
+    return REFERENCE_SUITE.run(models(spark, sf_dir))
+
+
+@register("dq_gate")
+def q_dq_gate(spark, sf_dir):
+    from wattflow.operators.quality import REFERENCE_SUITE, gate
+    return gate(REFERENCE_SUITE.run(models(spark, sf_dir)))
+
+
+# -- reports ------------------------------------------------------------------
+
+@register("kpi_total")
+def q_kpi_total(spark, sf_dir):
+    from wattflow.operators import reports
+    return reports.kpi_total(fact_gen(spark, sf_dir))
+
+
+@register("kpi_renewable_pct")
+def q_kpi_renewable_pct(spark, sf_dir):
+    from wattflow.operators import reports
+    return reports.kpi_renewable_pct(fact_gen(spark, sf_dir))
+
+
+@register("kpi_capacity")
+def q_kpi_capacity(spark, sf_dir):
+    from wattflow.operators import reports
+    return reports.kpi_capacity(fact_cap(spark, sf_dir))
+
+
+@register("top_states_renewable")
+def q_top_states_renewable(spark, sf_dir):
+    from wattflow.operators import reports
+    return reports.top_states_renewable(fact_gen(spark, sf_dir), 10)
+
+
+@register("top_states_capacity")
+def q_top_states_capacity(spark, sf_dir):
+    from wattflow.operators import reports
+    return reports.top_states_capacity(fact_cap(spark, sf_dir), 10)
+
+
+@register("states_fully_renewable")
+def q_states_fully_renewable(spark, sf_dir):
+    from wattflow.operators import reports
+    return reports.states_fully_renewable(fact_gen(spark, sf_dir))
+
+
+@register("share_by_source")
+def q_share_by_source(spark, sf_dir):
+    from wattflow.operators import reports
+    _, _, d_fonte, fact = marts_gen(spark, sf_dir)
+    return reports.share_by_source(fact, d_fonte)
+
+
+@register("capacity_growth")
+def q_capacity_growth(spark, sf_dir):
+    from wattflow.operators import reports
+    return reports.capacity_growth(fact_cap(spark, sf_dir))
+
+
+# FIXED VALUES of the sliced report used as a registered example.
+SLICE_YEARS = [1997, 1998]
+SLICE_FUELS = ["Hidráulica", "Eólica", "Fotovoltaica"]
+
+
+@register("sliced_report")
+def q_sliced_report(spark, sf_dir):
+    from wattflow.operators import reports
+    sliced = reports.slice_generation(fact_gen(spark, sf_dir), years=SLICE_YEARS,
+                                      fuels=SLICE_FUELS)
+    return reports.by_state_renewable(sliced)
+
+
+@register("state_year_capacity")
+def q_state_year_capacity(spark, sf_dir):
+    from wattflow.operators import reports
+    return reports.state_year_capacity(fact_cap(spark, sf_dir))
+
+
+@register("drill_across")
+def q_drill_across(spark, sf_dir):
+    from wattflow.operators import reports
+    return reports.drill_across(fact_gen(spark, sf_dir), fact_cap(spark, sf_dir))
