@@ -461,3 +461,77 @@ SELECT coalesce(g.sigla_uf, c.sigla_uf) AS sigla_uf, coalesce(g.ano, c.ano) AS a
   {_pct('g.geracao_renovavel_mwh', 'g.geracao_total_mwh', 2)} AS pct_renovavel,
   CAST(c.cc AS DOUBLE) / 100 AS potencia_solar_kw, c.num_empreendimentos_solar
 FROM g FULL OUTER JOIN c ON g.sigla_uf = c.sigla_uf AND g.ano = c.ano AND g.mes = c.mes"""))
+
+
+# -- physical layer --------------------------------------------------------------
+
+_SILVER_GEN_LEAK = with_(SILVER_GEN, """
+SELECT *, CAST(year(din_instante) AS INTEGER) AS year, CAST(month(din_instante) AS INTEGER) AS month
+FROM silver_gen""")
+_reg("silver_generation_csv", _SILVER_GEN_LEAK)
+_reg("silver_generation_stream", _SILVER_GEN_LEAK)
+_reg("incremental_period", with_(SILVER_GEN, "SELECT * FROM silver_gen"))
+
+_reg("silver_registry_csv", with_(REG_RAW + f""",
+silver_reg AS ({silver_reg_select('reg_raw', " DATE '2024-01-01' AS snapshot_date,")})""",
+                                  "SELECT * FROM silver_reg"))
+
+_reg("full_refresh_table", with_(FACT_GEN, "SELECT * FROM fact_gen"))
+
+_reg("raw_landing", with_(REG_SNAPSHOTS, """
+SELECT snapshot_date, CodEmpreendimento, SigUF, MdaPotenciaInstaladaKW, DscFonteGeracao FROM snap1
+UNION ALL
+SELECT snapshot_date, CodEmpreendimento, SigUF, MdaPotenciaInstaladaKW, DscFonteGeracao FROM snap2"""))
+
+_reg("latest_snapshot", with_(REG_SNAPSHOTS + f""",
+silver_reg AS ({silver_reg_select('snap2', ' snapshot_date,')})""", "SELECT * FROM silver_reg"))
+
+_RAW_COLS = [
+    "DatGeracaoConjuntoDados", "AnmPeriodoReferencia", "NumCNPJDistribuidora", "SigAgente",
+    "NomAgente", "CodClasseConsumo", "DscClasseConsumo", "CodSubGrupoTarifario",
+    "DscSubGrupoTarifario", "CodUFibge", "SigUF", "CodRegiao", "NomRegiao", "CodMunicipioIbge",
+    "NomMunicipio", "CodCEP", "SigTipoConsumidor", "NumCPFCNPJ", "NomTitularEmpreendimento",
+    "DthAtualizaCadastralEmpreend", "SigModalidadeEmpreendimento",
+    "DscModalidadeHabilitado", "QtdUCRecebeCredito", "SigTipoGeracao", "DscFonteGeracao",
+    "DscPorte", "NumCoordNEmpreendimento", "NumCoordEEmpreendimento", "MdaPotenciaInstaladaKW",
+    "NomSubEstacao", "NumCoordESub", "NumCoordNSub"]
+_DIFF = " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in _RAW_COLS)
+_reg("snapshot_delta", with_(REG_SNAPSHOTS, f"""
+SELECT coalesce(b.CodEmpreendimento, a.CodEmpreendimento) AS id_empreendimento,
+  CASE WHEN a.CodEmpreendimento IS NULL THEN 'added'
+       WHEN b.CodEmpreendimento IS NULL THEN 'removed'
+       WHEN {_DIFF} THEN 'changed' ELSE 'unchanged' END AS status
+FROM snap1 a FULL OUTER JOIN snap2 b ON a.CodEmpreendimento = b.CodEmpreendimento"""))
+
+_reg("select_resource", """
+WITH p AS (SELECT page_id, url, printf('%d_%02d', 2020 + page_id % 5, 1 + page_id % 12) AS period
+           FROM pages),
+cat AS (
+  SELECT page_id AS pos,
+    CASE WHEN page_id % 7 = 0 THEN NULL ELSE 'GEN_' || period END AS name,
+    CASE WHEN page_id % 3 = 0 THEN 'pdf' WHEN page_id % 3 = 1 THEN 'csv' ELSE 'CSV' END AS format,
+    CASE WHEN page_id % 7 = 0 THEN url || '/GEN_' || period || '.csv' ELSE url END AS url
+  FROM p)
+SELECT pos, name, url FROM cat
+WHERE upper(coalesce(format, '')) = 'CSV'
+  AND (contains(upper(coalesce(name, '')), '2024_03') OR contains(upper(coalesce(url, '')), '2024_03'))
+ORDER BY pos LIMIT 1""")
+
+
+def _landing_sql(table: str, id_col: str, text_col: str) -> str:
+    # '<html' (5 ASCII bytes) inside the first 100 bytes <=> its first
+    # occurrence in the lower-cased text ends at byte offset <= 100
+    return f"""
+SELECT {id_col} AS item_id, CAST(octet_length(encode({text_col})) AS BIGINT) AS n_bytes,
+  coalesce(strpos(lower({text_col}), '<html') > 0
+    AND octet_length(encode(substr({text_col}, 1, strpos(lower({text_col}), '<html') + 4))) <= 100,
+    false) AS is_html,
+  '{table}' AS source
+FROM {table}"""
+
+
+_reg("landing_check", f"""
+SELECT item_id, n_bytes, is_html, n_bytes > 0 AND NOT is_html AS ok, source FROM (
+{_landing_sql('pages', 'page_id', 'html')}
+UNION ALL
+{_landing_sql('documents', 'doc_id', 'text')}) t""")

@@ -300,3 +300,164 @@ def q_state_year_capacity(spark, sf_dir):
 def q_drill_across(spark, sf_dir):
     from wattflow.operators import reports
     return reports.drill_across(fact_gen(spark, sf_dir), fact_cap(spark, sf_dir))
+
+
+# -- physical layer: files, tables, landings, snapshots, streams --------------
+
+def _land_generation(spark: SparkSession, sf_dir: str) -> str:
+    """Land the hourly raw rows as CSV under year=YYYY/month=MM; return the root."""
+    from pyspark.sql import functions as F
+    from wattflow.session import scratch_path
+    from wattflow.sinks import land_raw
+    root = scratch_path(spark, "bronze-generation")
+    raw = fx.gen_raw(spark, sf_dir).withColumns({
+        "year": F.date_format("din_instante", "yyyy"),
+        "month": F.date_format("din_instante", "MM"),
+    })
+    land_raw(raw, root, partition_cols=["year", "month"], encoding="UTF-8")
+    return root
+
+
+def _land_snapshots(spark: SparkSession, sf_dir: str, restate: bool = True) -> str:
+    """Land both registry snapshots (ISO-8859-1). With ``restate`` the second
+    one is first landed from the unfiltered registry and then replaced."""
+    from wattflow.session import scratch_path
+    from wattflow.sinks import land_raw
+    root = scratch_path(spark, "bronze-registry")
+    (d1, _, _), (d2, _, _) = fx.SNAPSHOTS
+    land_raw(fx.reg_snapshot(spark, sf_dir, 0), root, {"snapshot_date": d1}, encoding="ISO-8859-1")
+    if restate:
+        land_raw(fx.reg_raw(spark, sf_dir), root, {"snapshot_date": d2}, encoding="ISO-8859-1")
+    land_raw(fx.reg_snapshot(spark, sf_dir, 1), root, {"snapshot_date": d2}, encoding="ISO-8859-1")
+    return root
+
+
+def _drop_lineage(df: DataFrame) -> DataFrame:
+    return df.drop("processed_at")
+
+
+@register("silver_generation_csv")
+def q_silver_generation_csv(spark, sf_dir):
+    """CSV bronze round trip: land, typed scan with partition discovery
+    (``year``/``month`` leak into silver), transform, partitioned Parquet
+    write, read back."""
+    from wattflow.session import scratch_path
+    from wattflow.sinks import write_partitioned
+    from wattflow.sources.delimited import read_generation_bronze, read_silver
+    bronze = _land_generation(spark, sf_dir)
+    out = scratch_path(spark, "silver-generation")
+    write_partitioned(silver.silver_generation(read_generation_bronze(spark, bronze)), out,
+                      ["ano", "mes"])
+    return _drop_lineage(read_silver(spark, out))
+
+
+@register("silver_registry_csv")
+def q_silver_registry_csv(spark, sf_dir):
+    """ISO-8859-1 quoted CSV round trip of one registry snapshot."""
+    from wattflow.session import scratch_path
+    from wattflow.sinks import land_raw, write_partitioned
+    from wattflow.sources.delimited import read_registry_bronze, read_silver
+    bronze = scratch_path(spark, "bronze-registry")
+    land_raw(fx.reg_raw(spark, sf_dir), bronze, {"snapshot_date": fx.SNAPSHOTS[0][0]},
+             encoding="ISO-8859-1")
+    out = scratch_path(spark, "silver-registry")
+    write_partitioned(silver.silver_registry(read_registry_bronze(spark, bronze, "all")), out,
+                      ["ano_conexao"])
+    return _drop_lineage(read_silver(spark, out))
+
+
+@register("full_refresh_table")
+def q_full_refresh_table(spark, sf_dir):
+    """Monthly fact published as a catalog table in its own namespace, read back."""
+    from wattflow.session import scratch_path
+    from wattflow.sinks import ensure_namespace, materialize
+    ensure_namespace(spark, "wattflow_marts", scratch_path(spark, "ns-marts"))
+    table_df, _ = materialize(fact_gen(spark, sf_dir), "fact_generation_monthly", "table",
+                              "wattflow_marts", path=scratch_path(spark, "fact-generation"))
+    return table_df
+
+
+@register("raw_landing")
+def q_raw_landing(spark, sf_dir):
+    """Two snapshots landed, the second replaced by a re-landing; read back."""
+    from pyspark.sql import functions as F
+    from wattflow.schemas import REGISTRY_RAW
+    from wattflow.sources.delimited import read_delimited
+    root = _land_snapshots(spark, sf_dir, restate=True)
+    df = read_delimited(spark, root, REGISTRY_RAW, encoding="ISO-8859-1")
+    return df.select(F.col("snapshot_date"), "CodEmpreendimento", "SigUF",
+                     "MdaPotenciaInstaladaKW", "DscFonteGeracao")
+
+
+@register("latest_snapshot")
+def q_latest_snapshot(spark, sf_dir):
+    """Silver registry of the newest landed snapshot only."""
+    from wattflow.sources.delimited import read_registry_bronze
+    root = _land_snapshots(spark, sf_dir, restate=False)
+    return silver.silver_registry(read_registry_bronze(spark, root, "latest"), lineage=False)
+
+
+@register("snapshot_delta")
+def q_snapshot_delta(spark, sf_dir):
+    """Installations added / removed / changed / unchanged between snapshots."""
+    from pyspark.sql import functions as F
+    from wattflow.operators.snapshots import snapshot_delta
+    prev = fx.reg_snapshot(spark, sf_dir, 0)
+    curr = fx.reg_snapshot(spark, sf_dir, 1)
+    return snapshot_delta(prev, curr, "CodEmpreendimento").withColumnRenamed(
+        "CodEmpreendimento", "id_empreendimento").select("id_empreendimento", F.col("status"))
+
+
+# FIXED VALUES: the period re-loaded by the incremental example.
+INCREMENTAL_PERIOD = (1997, 3)
+
+
+@register("incremental_period")
+def q_incremental_period(spark, sf_dir):
+    """Silver written with a stale period, then that period alone re-loaded
+    with dynamic partition overwrite; every other period is untouched."""
+    from pyspark.sql import functions as F
+    from wattflow.session import scratch_path
+    from wattflow.sinks import write_partitioned
+    from wattflow.sources.delimited import read_silver
+    y, m = INCREMENTAL_PERIOD
+    full = silver_gen(spark, sf_dir)
+    in_period = (F.col("ano") == y) & (F.col("mes") == m)
+    stale = full.withColumn("val_geracao", F.when(in_period, -F.col("val_geracao"))
+                            .otherwise(F.col("val_geracao")))
+    out = scratch_path(spark, "silver-incremental")
+    write_partitioned(stale, out, ["ano", "mes"])
+    write_partitioned(full.filter(in_period), out, ["ano", "mes"], dynamic=True)
+    return read_silver(spark, out)
+
+
+@register("silver_generation_stream")
+def q_silver_generation_stream(spark, sf_dir):
+    """Structured Streaming (availableNow) from the landed CSVs to silver."""
+    from wattflow.session import scratch_path
+    from wattflow.sources.delimited import read_silver
+    from wattflow.streaming import run_silver_generation
+    bronze = _land_generation(spark, sf_dir)
+    out = scratch_path(spark, "silver-stream")
+    run_silver_generation(spark, bronze, out, scratch_path(spark, "ckpt-stream"), lineage=False)
+    return read_silver(spark, out)
+
+
+@register("select_resource")
+def q_select_resource(spark, sf_dir):
+    """CSV resource of 2024-03 in the catalogue derived from ``pages``."""
+    from wattflow.sources.catalogue import select_resource
+    return select_resource(fx.catalogue_rows(spark, sf_dir), 2024, 3)
+
+
+@register("landing_check")
+def q_landing_check(spark, sf_dir):
+    """Landing rule (non-empty, no HTML in the first 100 bytes) on page HTML
+    and document texts."""
+    from pyspark.sql import functions as F
+    from wattflow.sources.landing import text_check
+    pages = text_check(fx.table(spark, sf_dir, "pages"), "page_id", "html").withColumn(
+        "source", F.lit("pages"))
+    docs = text_check(fx.table(spark, sf_dir, "documents"), "doc_id", "text").withColumn(
+        "source", F.lit("documents"))
+    return pages.unionByName(docs)

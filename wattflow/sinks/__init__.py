@@ -1 +1,6 @@
 """Observed partitioned writes, table/view materialisation, raw landing."""
+
+from wattflow.sinks.files import land_raw, write_partitioned
+from wattflow.sinks.tables import ensure_namespace, materialize
+
+__all__ = ["land_raw", "write_partitioned", "ensure_namespace", "materialize"]
