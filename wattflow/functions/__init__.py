@@ -2,9 +2,10 @@
 
 from wattflow.functions.parse import br_number, parse_date
 from wattflow.functions.flags import classify, flag_in, flag_not_equal, any_match
-from wattflow.functions.numeric import cents, cents_to_units, rounded_mean_cents, ratio_pct, period_key
+from wattflow.functions.numeric import (cents, cents_to_units, period_key, ratio_pct,
+                                        round_numeric, rounded_mean_cents)
 
 __all__ = [
     "br_number", "parse_date", "classify", "flag_in", "flag_not_equal", "any_match",
-    "cents", "cents_to_units", "rounded_mean_cents", "ratio_pct", "period_key",
+    "cents", "cents_to_units", "rounded_mean_cents", "ratio_pct", "round_numeric", "period_key",
 ]

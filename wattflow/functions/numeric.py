@@ -31,11 +31,22 @@ def rounded_mean_cents(sum_cents: str, n: str) -> Column:
     return q.cast("double") / F.lit(100.0)
 
 
+def round_numeric(c, scale: int) -> Column:
+    """Round a double the way ``round(x::numeric, scale)`` does.
+
+    The double is first fixed to 12 decimal places, which removes binary
+    noise (``51/160*100`` is ``31.874999999999996`` as a double but 31.875 as
+    a number), then rounded half away from zero; the result is a double.
+    Plain ``round(double)`` would give 31.87 here.
+    """
+    return F.round(_col(c).cast("decimal(38,12)"), scale).cast("double")
+
+
 def ratio_pct(num, den, scale: int | None = 2) -> Column:
-    """``num / nullif(den, 0) * 100`` rounded half-up (division before x100)."""
+    """``num / nullif(den, 0) * 100`` (division before x100), rounded like numeric."""
     d = _col(den)
     pct = _col(num) / F.when(d != 0, d) * F.lit(100)
-    return F.round(pct, scale) if scale is not None else pct
+    return round_numeric(pct, scale) if scale is not None else pct
 
 
 def period_key(year, month) -> Column:

@@ -23,7 +23,12 @@ def collapse_dim(df: DataFrame, key: str, max_cols: Sequence[str] = (),
     Partial (map-side) aggregation absorbs hot keys.
     """
     aggs = [F.max(c).alias(c) for c in max_cols] + [F.bool_or(c).alias(c) for c in any_cols]
-    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    # max() over strings cannot use a hash-aggregation buffer (Spark falls
+    # back to a sort-based aggregate over every input row), so distinct
+    # (key, descriptor) combinations are taken first with a hash aggregate;
+    # the max then runs over a handful of rows per key. Same result.
+    combos = df.filter(F.col(key).isNotNull()).select(key, *max_cols, *any_cols).distinct()
+    return combos.groupBy(key).agg(*aggs)
 
 
 def surrogate_key(df: DataFrame, order_cols: Sequence[str], out: str,

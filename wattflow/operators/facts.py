@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from wattflow.functions import cents, cents_to_units, ratio_pct, rounded_mean_cents
 
 GENERATION_KEYS = ["sigla_uf", "ano_geracao", "mes_geracao", "fonte_combustivel"]
+# Grain of the shared generation pre-aggregate: every column the monthly fact
+# and both dimensions read. One plant reports many hours a month, so this
+# grain is far smaller than the hourly rows.
+GENERATION_PRE_GRAIN = GENERATION_KEYS + [
+    "eh_renovavel", "eh_brasil", "id_usina", "nome_estado", "nome_subsistema", "cod_subsistema"]
 CAPACITY_KEYS = ["sigla_uf", "ano_conexao", "mes_conexao", "fonte_geracao", "classe_consumo", "porte"]
 
 
@@ -22,22 +27,39 @@ def join_dim(fact: DataFrame, dim: DataFrame, key: str, cols) -> DataFrame:
     return fact.join(dim.select(key, *cols), key, "left")
 
 
-def monthly_fact(stg: DataFrame, dim_uf: DataFrame, dim_fonte: DataFrame) -> DataFrame:
+def pre_aggregate_generation(stg: DataFrame) -> DataFrame:
+    """One pass over generation staging at ``GENERATION_PRE_GRAIN``:
+    ``mwh`` (sum of the measure) and ``n`` (rows). Hash aggregation with a
+    map-side partial step, so a hot state or month is combined before the
+    shuffle. The monthly fact and both dimensions can all be derived from it.
+    """
+    return stg.groupBy(*GENERATION_PRE_GRAIN).agg(
+        F.sum("geracao_mwh").alias("mwh"), F.count(F.lit(1)).alias("n"))
+
+
+def monthly_fact(stg: DataFrame, dim_uf: DataFrame, dim_fonte: DataFrame,
+                 pre_aggregated: bool = False) -> DataFrame:
     """Generation by state x year x month x fuel for domestic plants.
 
     ``num_usinas_ativas`` is an exact distinct count of plant ids (nulls
     ignored); ``num_horas_medidas`` counts plant-hour rows; ``pct_renovavel``
     = renewable / nullif(total, 0) * 100 rounded half-up to 2 places.
+    ``stg`` is the staging table, or its ``pre_aggregate_generation`` when
+    ``pre_aggregated`` (same result, computed from the smaller grain).
     """
+    if pre_aggregated:
+        mwh, rows = F.col("mwh"), F.sum("n")
+    else:
+        mwh, rows = F.col("geracao_mwh"), F.count(F.lit(1))
     g = (
         stg.filter(F.col("eh_brasil") == F.lit(True))
         .groupBy(*GENERATION_KEYS)
         .agg(
-            F.sum("geracao_mwh").alias("geracao_total_mwh"),
-            F.sum(F.when(F.col("eh_renovavel"), F.col("geracao_mwh")).otherwise(F.lit(0.0)))
+            F.sum(mwh).alias("geracao_total_mwh"),
+            F.sum(F.when(F.col("eh_renovavel"), mwh).otherwise(F.lit(0.0)))
             .alias("geracao_renovavel_mwh"),
             F.count_distinct("id_usina").alias("num_usinas_ativas"),
-            F.count(F.lit(1)).alias("num_horas_medidas"),
+            rows.cast("bigint").alias("num_horas_medidas"),
         )
     )
     g = join_dim(g, dim_uf, "sigla_uf", ["sk_uf"])

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattflow.functions import cents, ratio_pct
+from wattflow.functions import cents, ratio_pct, round_numeric
 from wattflow.schemas import SOLAR_SOURCE
 
 
@@ -54,7 +54,7 @@ def by_state_renewable(fact: DataFrame) -> DataFrame:
         F.sum("geracao_renovavel_mwh").alias("__ren"),
     ).select(
         "sigla_uf",
-        F.round("__tot", 0).alias("total_mwh"),
+        round_numeric("__tot", 0).alias("total_mwh"),
         ratio_pct("__ren", "__tot", 1).alias("pct_renovavel"),
     )
 
@@ -115,8 +115,8 @@ def capacity_growth(cap: DataFrame, source: str = SOLAR_SOURCE) -> DataFrame:
         "num_empreendimentos",
         (F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
          .cast("double") / F.lit(100.0)).alias("potencia_acumulada_kw"),
-        F.round(F.col("__c") / F.when(first != 0, first), 2).alias("fator_vs_primeiro_ano"),
-        F.round(F.col("__c") / F.when(prev != 0, prev), 2).alias("fator_anual"),
+        round_numeric(F.col("__c") / F.when(first != 0, first), 2).alias("fator_vs_primeiro_ano"),
+        round_numeric(F.col("__c") / F.when(prev != 0, prev), 2).alias("fator_anual"),
     )
 
 

@@ -4,7 +4,7 @@ Written directly in SQL over the driver tables (views ``lineitem``,
 ``orders``, ...), not generated from the Spark code, so a bug on one side
 shows up as a difference. Integer outputs are cast explicitly (DuckDB
 ``year()`` and ``row_number()`` are BIGINT, Spark ``year()`` is INT);
-half-up rounding of doubles is ``round(CAST(x AS DECIMAL(38,10)), n)``.
+numeric-style rounding of doubles is ``round(CAST(x AS DECIMAL(38,12)), n)``.
 """
 
 from __future__ import annotations
@@ -97,7 +97,7 @@ fact_gen AS (
     g.geracao_total_mwh, g.geracao_renovavel_mwh, g.num_usinas_ativas, g.num_horas_medidas,
     u.sk_uf, f.sk_fonte,
     CAST(round(CAST(g.geracao_renovavel_mwh / nullif(g.geracao_total_mwh, 0) * 100
-                    AS DECIMAL(38,10)), 2) AS DOUBLE) AS pct_renovavel
+                    AS DECIMAL(38,12)), 2) AS DOUBLE) AS pct_renovavel
   FROM (
     SELECT sigla_uf, ano_geracao, mes_geracao, fonte_combustivel,
       sum(geracao_mwh) AS geracao_total_mwh,
@@ -259,6 +259,7 @@ _reg("stg_generation", with_(STG_GEN, "SELECT * FROM stg_gen"))
 _reg("dim_state", with_(DIMS, "SELECT * FROM dim_uf"))
 _reg("dim_source", with_(DIMS, "SELECT * FROM dim_fonte"))
 _reg("fact_generation_monthly", with_(FACT_GEN, "SELECT * FROM fact_gen"))
+_reg("generation_marts", with_(FACT_GEN, "SELECT * FROM fact_gen"))
 _reg("silver_registry", with_(SILVER_REG, "SELECT * FROM silver_reg"))
 _reg("stg_registry", with_(STG_REG, "SELECT * FROM stg_reg"))
 _reg("fact_capacity", with_(MARTS, "SELECT * FROM fact_cap"))
@@ -380,7 +381,7 @@ FROM edges e LEFT JOIN results r ON r.model = e.upstream GROUP BY e.model"""))
 
 
 def _pct(num: str, den: str, n: int) -> str:
-    return (f"CAST(round(CAST({num} / nullif({den}, 0) * 100 AS DECIMAL(38,10)), {n}) "
+    return (f"CAST(round(CAST({num} / nullif({den}, 0) * 100 AS DECIMAL(38,12)), {n}) "
             f"AS DOUBLE)")
 
 
@@ -402,7 +403,7 @@ SELECT CAST(sum({_CENTS}) AS DOUBLE) / 1e8 AS potencia_gw,
 FROM fact_cap WHERE {_SOLAR}"""))
 
 _BY_STATE = f"""
-SELECT sigla_uf, round(sum(geracao_total_mwh), 0) AS total_mwh,
+SELECT sigla_uf, CAST(round(CAST(sum(geracao_total_mwh) AS DECIMAL(38,12)), 0) AS DOUBLE) AS total_mwh,
   {_pct('sum(geracao_renovavel_mwh)', 'sum(geracao_total_mwh)', 1)} AS pct_renovavel
 FROM fact_gen {{where}} GROUP BY sigla_uf"""
 
@@ -436,8 +437,8 @@ w AS (SELECT *, first_value(c) OVER (ORDER BY ano_conexao) AS c_first,
       FROM per)""", f"""
 SELECT ano_conexao, CAST(c AS DOUBLE) / 100 AS potencia_kw, num_empreendimentos,
   CAST(c_acc AS DOUBLE) / 100 AS potencia_acumulada_kw,
-  CAST(round(CAST(c / nullif(c_first, 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS fator_vs_primeiro_ano,
-  CAST(round(CAST(c / nullif(c_prev, 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS fator_anual
+  CAST(round(CAST(c / nullif(c_first, 0) AS DECIMAL(38,12)), 2) AS DOUBLE) AS fator_vs_primeiro_ano,
+  CAST(round(CAST(c / nullif(c_prev, 0) AS DECIMAL(38,12)), 2) AS DOUBLE) AS fator_anual
 FROM w"""))
 
 _reg("sliced_report", with_(MARTS, _BY_STATE.format(

@@ -44,15 +44,14 @@ def stg_reg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_registry(silver_reg(spark, sf_dir))
 
 
-def marts_gen(spark: SparkSession, sf_dir: str):
-    stg = stg_gen(spark, sf_dir)
-    d_uf = dims.dim_state(stg)
-    d_fonte = dims.dim_source(stg)
-    return stg, d_uf, d_fonte, facts.monthly_fact(stg, d_uf, d_fonte)
+def marts_gen(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Both dimensions and the monthly fact from one staged pre-aggregate."""
+    from wattflow.plans.marts import generation_marts
+    return generation_marts(stg_gen(spark, sf_dir))
 
 
 def fact_gen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts_gen(spark, sf_dir)[3]
+    return marts_gen(spark, sf_dir)["fact_generation_monthly"]
 
 
 def fact_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +81,17 @@ def q_dim_source(spark, sf_dir):
     return dims.dim_source(stg_gen(spark, sf_dir))
 
 
+@register("generation_marts")
+def q_generation_marts(spark, sf_dir):
+    """Monthly fact built together with both dimensions from one staged pass."""
+    return marts_gen(spark, sf_dir)["fact_generation_monthly"]
+
+
 @register("fact_generation_monthly")
 def q_fact_generation_monthly(spark, sf_dir):
-    return fact_gen(spark, sf_dir)
+    """Monthly fact straight from staging (row grain, no staging step)."""
+    stg = stg_gen(spark, sf_dir)
+    return facts.monthly_fact(stg, dims.dim_state(stg), dims.dim_source(stg))
 
 
 @register("silver_registry")
@@ -160,17 +167,15 @@ def q_parse_date(spark, sf_dir):
 # -- data-quality checks --------------------------------------------------------
 
 def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six checked models (staging lazily; marts from the shared pre-aggregate)."""
     stg_g = stg_gen(spark, sf_dir)
     stg_r = stg_reg(spark, sf_dir)
-    d_uf = dims.dim_state(stg_g)
-    d_fonte = dims.dim_source(stg_g)
+    marts = marts_gen(spark, sf_dir)
     return {
         "stg_generation": stg_g,
         "stg_registry": stg_r,
-        "dim_state": d_uf,
-        "dim_source": d_fonte,
-        "fact_generation_monthly": facts.monthly_fact(stg_g, d_uf, d_fonte),
-        "fact_capacity": facts.capacity_fact(stg_r, d_uf),
+        **marts,
+        "fact_capacity": facts.capacity_fact(stg_r, marts["dim_state"]),
     }
 
 
@@ -267,8 +272,8 @@ def q_states_fully_renewable(spark, sf_dir):
 @register("share_by_source")
 def q_share_by_source(spark, sf_dir):
     from wattflow.operators import reports
-    _, _, d_fonte, fact = marts_gen(spark, sf_dir)
-    return reports.share_by_source(fact, d_fonte)
+    m = marts_gen(spark, sf_dir)
+    return reports.share_by_source(m["fact_generation_monthly"], m["dim_source"])
 
 
 @register("capacity_growth")
@@ -456,8 +461,8 @@ def q_landing_check(spark, sf_dir):
     and document texts."""
     from pyspark.sql import functions as F
     from wattflow.sources.landing import text_check
-    pages = text_check(fx.table(spark, sf_dir, "pages"), "page_id", "html").withColumn(
+    pages = text_check(fx.table(spark, sf_dir, "pages", "page_id", "html"), "page_id", "html").withColumn(
         "source", F.lit("pages"))
-    docs = text_check(fx.table(spark, sf_dir, "documents"), "doc_id", "text").withColumn(
+    docs = text_check(fx.table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text").withColumn(
         "source", F.lit("documents"))
     return pages.unionByName(docs)

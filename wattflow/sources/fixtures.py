@@ -8,8 +8,9 @@ DuckDB SQL.
 
 Scale notes: ``nation`` (25 rows) and ``region`` (5 rows) have a fixed size
 by definition of the schema and are broadcast explicitly; ``supplier``,
-``part`` and ``customer`` grow with the scale factor, so the planner chooses
-(sort-merge on the join key, or a broadcast when the scan is measured small).
+``part`` and ``customer`` grow with the scale factor, so they are broadcast
+only after ``broadcast_if_small`` has counted them under a row bound, and
+otherwise joined by a shuffle (sort-merge) join.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattflow.operators.joins import broadcast_if_small
 from wattflow.schemas import GENERATION_RAW, REGISTRY_RAW, SMALL_PLANTS_MODE
 
 # FIXED VALUES of the fixture mapping (part type prefix -> fuel label).
@@ -33,8 +35,57 @@ SOURCE_BY_ORDER_STATUS = [("O", "Radiação solar"), ("F", "Eólica")]
 SOURCE_OTHER = "Biomassa"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Tables whose size grows with the data (and their key); fixed-size ones
+# (nation, region) are never spread.
+GROWING = {"lineitem": "l_orderkey", "orders": "o_orderkey", "part": "p_partkey",
+           "supplier": "s_suppkey", "customer": "c_custkey", "pages": "page_id",
+           "documents": "doc_id"}
+
+
+# FIXED VALUES: schemas of the driver tables (read without an inference job).
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "pages": "page_id bigint, url string, html string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """Scan the needed columns of one driver table; growing tables then go
+    through ``spread`` on their key (after the projection, so the scan still
+    reads only ``cols``)."""
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if cols:
+        df = df.select(*cols)
+    key = GROWING.get(name)
+    return spread(df, key) if key and key in df.columns else df
+
+
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition a scan on ``key`` only when it has fewer splits than
+    the session's default parallelism (e.g. one file with one row group,
+    which Parquet cannot split). Inputs already split into at least that
+    many partitions — every large input — are returned untouched, so no
+    shuffle is added at scale. Hashing a key (not round-robin) keeps task
+    retries deterministic without a local sort."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key)
 
 
 def _mod0(c: str, k: int) -> Column:
@@ -48,17 +99,17 @@ def _br_text(c: Column) -> Column:
 
 def gen_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly-generation raw shape (``GENERATION_RAW``) from lineitem."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate")
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    reg = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    li = table(spark, sf_dir, "lineitem",
+               "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate")
+    sup = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    nat = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    reg = table(spark, sf_dir, "region", "r_regionkey", "r_name")
+    part = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type")
 
     geo = (sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey)
            .join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey))
-    df = (li.join(part, li.l_partkey == part.p_partkey)
-          .join(geo, li.l_suppkey == geo.s_suppkey))
+    df = (li.join(broadcast_if_small(part), li.l_partkey == part.p_partkey)
+          .join(broadcast_if_small(geo), li.l_suppkey == geo.s_suppkey))
 
     fuel = F.when(_mod0("l_partkey", 103), F.lit(None).cast("string"))
     for prefix, label in FUEL_BY_PART_TYPE:
@@ -89,15 +140,15 @@ def gen_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reg_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-    cust = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    reg = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
+                   "o_totalprice", "o_orderdate", "o_orderpriority")
+    cust = table(spark, sf_dir, "customer",
+                 "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    nat = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    reg = table(spark, sf_dir, "region", "r_regionkey", "r_name")
     geo = cust.join(F.broadcast(nat), cust.c_nationkey == nat.n_nationkey).join(
         F.broadcast(reg), nat.n_regionkey == reg.r_regionkey)
-    return orders.join(geo, orders.o_custkey == geo.c_custkey)
+    return orders.join(broadcast_if_small(geo), orders.o_custkey == geo.c_custkey)
 
 
 def _reg_columns(power: Column) -> list[Column]:
@@ -159,7 +210,7 @@ def catalogue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     (null every 7th page, whose period is then only in the url); format
     pdf / csv / CSV by ``page_id % 3``.
     """
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
     period = F.format_string("%d_%02d", F.lit(2020) + F.col("page_id") % 5,
                              F.lit(1) + F.col("page_id") % 12)
     return pages.select(
