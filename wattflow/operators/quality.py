@@ -96,19 +96,23 @@ class CheckSuite:
     relationships: dict[str, list[tuple[str, str, str]]] = field(default_factory=dict)
 
     def run(self, models: Mapping[str, DataFrame], only: Sequence[str] | None = None) -> DataFrame:
-        """Run every check (``only``: restrict to these test kinds)."""
+        """Run the checks of the models given (``only``: restrict to these test
+        kinds); a relationship runs when both its tables are given."""
         kinds = set(only or ["not_null", "unique", "accepted_values", "relationships"])
+        have = set(models)
         out: list[DataFrame] = []
         if "not_null" in kinds:
-            out += [not_null(models[m], m, cols) for m, cols in self.not_null.items()]
+            out += [not_null(models[m], m, cols) for m, cols in self.not_null.items() if m in have]
         if "unique" in kinds:
-            out += [unique(models[m], m, c) for m, cols in self.unique.items() for c in cols]
+            out += [unique(models[m], m, c) for m, cols in self.unique.items() if m in have
+                    for c in cols]
         if "accepted_values" in kinds:
             out += [accepted_values(models[m], m, c, vals)
-                    for m, specs in self.accepted_values.items() for c, vals in specs]
+                    for m, specs in self.accepted_values.items() if m in have for c, vals in specs]
         if "relationships" in kinds:
             out += [relationships(models[m], m, c, models[p], pc)
-                    for m, specs in self.relationships.items() for c, p, pc in specs]
+                    for m, specs in self.relationships.items() if m in have
+                    for c, p, pc in specs if p in have]
         return union_results(out)
 
 
