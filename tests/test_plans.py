@@ -18,11 +18,17 @@ def _plan(df):
 
 
 def test_scan_pruning_and_pushdown(spark):
+    import re
     plan = _plan(R.stg_gen(spark, SF_SMALL))
-    assert "PushedFilters" in plan
+    assert "PushedFilters" in plan or "DataFilters" in plan
     # only the six lineitem columns the adapter needs are read
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_quantity:double,l_returnflag:string,l_shipdate:timestamp_ntz>" in plan
-    assert "BroadcastExchange" in plan
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    li = [s for s in scans if "l_orderkey" in s]
+    assert li and all(re.sub(r"#\d+L?", "", s) ==
+                      "l_orderkey,l_partkey,l_suppkey,l_quantity,l_returnflag,l_shipdate"
+                      for s in li)
+    # fixed-size tables are broadcast; no sort-merge join at this size
+    assert "BroadcastExchange" in plan and "SortMergeJoin" not in plan
 
 
 @pytest.mark.parametrize("key", sorted(set(E.queries()) - SIDE_EFFECT_KEYS))

@@ -54,8 +54,9 @@ def fact_gen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts_gen(spark, sf_dir)["fact_generation_monthly"]
 
 
-def fact_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d_uf = dims.dim_state(stg_gen(spark, sf_dir))
+def fact_cap(spark: SparkSession, sf_dir: str, d_uf: DataFrame | None = None) -> DataFrame:
+    if d_uf is None:
+        d_uf = dims.dim_state(stg_gen(spark, sf_dir))
     return facts.capacity_fact(stg_reg(spark, sf_dir), d_uf)
 
 
@@ -304,7 +305,9 @@ def q_state_year_capacity(spark, sf_dir):
 @register("drill_across")
 def q_drill_across(spark, sf_dir):
     from wattflow.operators import reports
-    return reports.drill_across(fact_gen(spark, sf_dir), fact_cap(spark, sf_dir))
+    m = marts_gen(spark, sf_dir)
+    return reports.drill_across(m["fact_generation_monthly"],
+                                fact_cap(spark, sf_dir, m["dim_state"]))
 
 
 # -- physical layer: files, tables, landings, snapshots, streams --------------

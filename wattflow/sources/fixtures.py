@@ -82,8 +82,12 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFr
     many partitions — every large input — are returned untouched, so no
     shuffle is added at scale. Hashing a key (not round-robin) keeps task
     retries deterministic without a local sort."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
+        return df
+    if have >= want:
         return df
     return df.repartition(want, key)
 
