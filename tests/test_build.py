@@ -23,6 +23,12 @@ def test_build_enforced_and_reported(spark, tmp_path):
     expected = R.fact_gen(spark, SF_SMALL)
     assert fact.count() == expected.count() == res.rows["fact_generation_monthly"]
     assert fact.exceptAll(expected.select(*fact.columns)).count() == 0
+    # year slicers prune the fact's partitions
+    from wattflow.operators.reports import slice_generation
+    sliced = slice_generation(fact, years=[1997])
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano_geracao" in plan
+    assert sliced.count() == expected.filter("ano_geracao = 1997").count()
     checks = {r.check_id: r.failures for r in res.checks.collect()}
     assert len(checks) == 23
     assert checks["unique_dim_state_sigla_uf"] == 0

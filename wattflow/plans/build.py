@@ -67,7 +67,7 @@ def build_marts(spark: SparkSession, silver_gen_path: str, silver_reg_path: str,
         models[name].createOrReplaceTempView(name)
     results = [suite.run({k: models[k] for k in models}, only=["not_null"])]
 
-    def written(name: str, df: DataFrame) -> DataFrame | None:
+    def written(name: str, df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame | None:
         failing = _failing(quality.union_results(results), list(gates.get(name, [])))
         if failing and enforce:
             res.blocked[name] = failing
@@ -75,7 +75,7 @@ def build_marts(spark: SparkSession, silver_gen_path: str, silver_reg_path: str,
         if failing:
             res.blocked[name] = failing
         path = f"{out_root}/marts/{name}"
-        res.rows[name] = write_partitioned(df, path)
+        res.rows[name] = write_partitioned(df, path, keys)
         res.paths[name] = path
         return read_silver(spark, path)
 
@@ -99,14 +99,17 @@ def build_marts(spark: SparkSession, silver_gen_path: str, silver_reg_path: str,
             results.append(table_checks(name, df))
 
     if d_uf is not None and d_fonte is not None:
+        # facts are partitioned by year: year slicers of the reports prune files
         fg = written("fact_generation_monthly",
-                     facts.monthly_fact(pre, d_uf, d_fonte, pre_aggregated=True))
+                     facts.monthly_fact(pre, d_uf, d_fonte, pre_aggregated=True),
+                     ("ano_geracao",))
         if fg is not None:
             models["fact_generation_monthly"] = fg
     else:
         res.blocked["fact_generation_monthly"] = ["upstream blocked"]
     if d_uf is not None:
-        fc = written("fact_capacity", facts.capacity_fact(models["stg_registry"], d_uf))
+        fc = written("fact_capacity", facts.capacity_fact(models["stg_registry"], d_uf),
+                     ("ano_conexao",))
         if fc is not None:
             models["fact_capacity"] = fc
     else:

@@ -536,3 +536,5 @@ SELECT item_id, n_bytes, is_html, n_bytes > 0 AND NOT is_html AS ok, source FROM
 {_landing_sql('pages', 'page_id', 'html')}
 UNION ALL
 {_landing_sql('documents', 'doc_id', 'text')}) t""")
+
+_reg("named_sources", with_(STG_GEN, "SELECT * FROM stg_gen"))

@@ -469,3 +469,17 @@ def q_landing_check(spark, sf_dir):
     docs = text_check(fx.table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text").withColumn(
         "source", F.lit("documents"))
     return pages.unionByName(docs)
+
+
+@register("named_sources")
+def q_named_sources(spark, sf_dir):
+    """Silver written once, declared as ``raw.generation`` (no copy) and read
+    back by name into the staging view."""
+    from wattflow.session import scratch_path
+    from wattflow.sinks import write_partitioned
+    from wattflow.sources.named import register_sources, source
+    path = scratch_path(spark, "silver-named")
+    write_partitioned(silver_gen(spark, sf_dir), path, ["ano", "mes"])
+    register_sources(spark, "wattflow_raw", {"generation": path},
+                     location=scratch_path(spark, "ns-raw"))
+    return staging.stg_generation(source(spark, "wattflow_raw", "generation"))
