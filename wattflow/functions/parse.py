@@ -22,8 +22,9 @@ def br_number(c, thousands: bool = False) -> Column:
     """
     text = _col(c)
     if thousands:
-        text = F.regexp_replace(text, r"\.", "")
-    return F.regexp_replace(text, ",", ".").try_cast("double")
+        text = F.translate(text, ".", "")  # an empty replacement deletes the character
+    # translate is a per-character map (no regex engine per row)
+    return F.translate(text, ",", ".").try_cast("double")
 
 
 def parse_date(c, fmt: str = REGISTRY_DATE_FORMAT) -> Column:

@@ -98,7 +98,7 @@ def _mod0(c: str, k: int) -> Column:
 
 def _br_text(c: Column) -> Column:
     """Number -> 2-decimal text with a decimal comma (e.g. ``-12,30``)."""
-    return F.regexp_replace(c.cast("decimal(18,2)").cast("string"), r"\.", ",")
+    return F.translate(c.cast("decimal(18,2)").cast("string"), ".", ",")
 
 
 def gen_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
