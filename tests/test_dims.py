@@ -36,3 +36,14 @@ def test_dim_source_clean_flag(spark):
     assert out["Nuclear"].eh_limpa and out["Hidráulica"].eh_limpa
     assert out["Gás"].eh_limpa is False and out["Óleo"].eh_limpa is False
     assert [out[k].sk_fonte for k in sorted(out)] == [1, 2, 3, 4]
+
+
+def test_surrogate_key_collation(spark):
+    df = spark.createDataFrame([("Zinco",), ("Óleo",), ("Gás",)], "f string")
+    binary = {r.f: r.sk for r in dims.surrogate_key(df, ["f"], "sk").collect()}
+    assert binary == {"Gás": 1, "Zinco": 2, "Óleo": 3}
+    uni = {r.f: r.sk for r in dims.surrogate_key(df, ["f"], "sk", collation="UNICODE").collect()}
+    assert uni == {"Gás": 1, "Óleo": 2, "Zinco": 3}
+    glob = {r.f: r.sk for r in dims.surrogate_key(df, ["f"], "sk", method="global",
+                                                   collation="UNICODE").collect()}
+    assert glob == uni

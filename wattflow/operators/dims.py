@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from wattflow.functions import any_match, classify
 from wattflow.schemas import (
@@ -32,7 +33,8 @@ def collapse_dim(df: DataFrame, key: str, max_cols: Sequence[str] = (),
 
 
 def surrogate_key(df: DataFrame, order_cols: Sequence[str], out: str,
-                  method: str = "range", num_partitions: int | None = None) -> DataFrame:
+                  method: str = "range", num_partitions: int | None = None,
+                  collation: str | None = None) -> DataFrame:
     """Dense 1-based ``row_number() over (order by order_cols)`` as bigint.
 
     ``method="range"`` (default) never moves the table into one task:
@@ -43,9 +45,16 @@ def surrogate_key(df: DataFrame, order_cols: Sequence[str], out: str,
     counts table has one row per partition, so its broadcast is bounded by
     the partition count. ``method="global"`` is the plain single-partition
     window, for tables known to be tiny.
-    Order is binary (UTF-8 byte) order, nulls first, as ``ORDER BY`` gives.
+    Order is binary (UTF-8 byte) order, nulls first, as ``ORDER BY`` gives;
+    ``collation`` (e.g. ``"UNICODE"``) orders string columns by that
+    collation instead, so accented names sort next to their base letter.
     """
-    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    def key(c: str):
+        if collation and isinstance(df.schema[c].dataType, StringType):
+            return F.collate(F.col(c), collation)
+        return F.col(c)
+
+    order = [key(c).asc_nulls_first() for c in order_cols]
     if method == "global":
         w = Window.orderBy(*order)
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
@@ -77,20 +86,21 @@ def surrogate_key(df: DataFrame, order_cols: Sequence[str], out: str,
     )
 
 
-def dim_state(stg: DataFrame, method: str = "range") -> DataFrame:
+def dim_state(stg: DataFrame, method: str = "range", collation: str | None = None) -> DataFrame:
     """State dimension from generation staging (one row per state)."""
     collapsed = collapse_dim(
         stg, "sigla_uf",
         max_cols=["nome_estado", "nome_subsistema", "cod_subsistema"],
         any_cols=["eh_brasil"],
     )
-    keyed = surrogate_key(collapsed, ["sigla_uf"], "sk_uf", method=method)
+    keyed = surrogate_key(collapsed, ["sigla_uf"], "sk_uf", method=method, collation=collation)
     return keyed.select("sigla_uf", "nome_estado", "nome_subsistema", "cod_subsistema",
                         "eh_brasil", "sk_uf")
 
 
 def dim_source(stg: DataFrame, method: str = "range",
-               rules=SOURCE_CATEGORY_RULES, default: str = SOURCE_CATEGORY_DEFAULT) -> DataFrame:
+               rules=SOURCE_CATEGORY_RULES, default: str = SOURCE_CATEGORY_DEFAULT,
+               collation: str | None = None) -> DataFrame:
     """Fuel dimension: distinct (fuel, renewable) pairs, category, clean flag.
 
     ``eh_limpa`` is true for renewable fuels or the nuclear pattern, else
@@ -107,6 +117,7 @@ def dim_source(stg: DataFrame, method: str = "range",
         .when(any_match("fonte_combustivel", [CLEAN_EXTRA_PATTERN]), F.lit(True))
         .otherwise(F.lit(False)),
     })
-    keyed = surrogate_key(described, ["fonte_combustivel"], "sk_fonte", method=method)
+    keyed = surrogate_key(described, ["fonte_combustivel"], "sk_fonte", method=method,
+                          collation=collation)
     return keyed.select("fonte_combustivel", "eh_renovavel", "categoria_simplificada",
                         "eh_limpa", "sk_fonte")
