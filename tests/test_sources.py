@@ -134,3 +134,16 @@ def test_landing_check_files(spark, tmp_path):
     assert out["error.csv"].is_html and not out["error.csv"].ok
     assert out["late_html.csv"].ok            # marker beyond the first 100 bytes
     assert not out["empty.csv"].ok and out["empty.csv"].reason == "missing_or_empty"
+
+
+def test_materialize_view_and_table(spark, tmp_path):
+    from wattflow.sinks import ensure_namespace, materialize
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    view, n = materialize(df, "wf_test_view", "view")
+    assert n is None and spark.table("wf_test_view").count() == 2
+    ensure_namespace(spark, "wf_test_ns", str(tmp_path / "ns"))
+    tab, n = materialize(df, "t1", "table", "wf_test_ns", path=str(tmp_path / "t1"))
+    assert n == 2 and tab.count() == 2
+    tab, n = materialize(df.filter("k = 1"), "t1", "table", "wf_test_ns",
+                         path=str(tmp_path / "t1b"))
+    assert n == 1 and spark.table("wf_test_ns.t1").count() == 1   # full refresh
