@@ -49,3 +49,10 @@ def test_latest_snapshot_prunes_partitions(spark, tmp_path):
     assert {r.snapshot_date.isoformat() for r in df.select("snapshot_date").distinct().collect()} \
         == {"2024-02-01"}
     assert "PartitionFilters" in _plan(df) or "partitionFilters" in _plan(df).lower()
+
+
+@pytest.mark.parametrize("key", sorted(set(E.queries()) - SIDE_EFFECT_KEYS))
+def test_no_cross_or_nested_loop_join(spark, key):
+    plan = _plan(E.queries()[key](spark, SF_SMALL))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, f"{key} plans {node}"
