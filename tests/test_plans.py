@@ -56,3 +56,13 @@ def test_no_cross_or_nested_loop_join(spark, key):
     plan = _plan(E.queries()[key](spark, SF_SMALL))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan, f"{key} plans {node}"
+
+
+def test_broadcast_if_small_bound(spark):
+    from wattflow.operators.joins import broadcast_if_small
+    small = spark.range(10)
+    big = spark.range(0, 1000, 1, 4)
+    assert broadcast_if_small(big, 999) is big            # over the bound: left to the planner
+    assert broadcast_if_small(big, 1000) is not big       # at the bound: hinted
+    probe = spark.range(5)
+    assert "BroadcastExchange" in _plan(probe.join(broadcast_if_small(small, 10), "id"))

@@ -13,10 +13,13 @@ BROADCAST_MAX_ROWS = 200_000
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint a broadcast only when ``df`` is proven to have at most ``max_rows``.
 
-    The proof is a bounded count (``limit(max_rows + 1)``: no task reads more
-    than that many rows). Above the bound the frame is returned unhinted and
-    the planner keeps its shuffle join (AQE may still demote it to a
-    broadcast from measured sizes).
+    The proof is ``offset(max_rows).isEmpty()``: Spark answers it with an
+    incremental take (one partition, then four times more, ...) that stops
+    as soon as ``max_rows + 1`` rows are seen, without projecting any
+    column — so proving that a large side is large costs about one
+    partition, not a pass over every partition. Above the bound the frame is
+    returned unhinted and the planner keeps its shuffle join (AQE may still
+    demote it to a broadcast from measured sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    small = df.offset(max_rows).isEmpty()
+    return F.broadcast(df) if small else df
