@@ -75,21 +75,23 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return spread(df, key) if key and key in df.columns else df
 
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition a scan on ``key`` only when it has fewer splits than
-    the session's default parallelism (e.g. one file with one row group,
-    which Parquet cannot split). Inputs already split into at least that
-    many partitions — every large input — are returned untouched, so no
-    shuffle is added at scale. Hashing a key (not round-robin) keeps task
-    retries deterministic without a local sort."""
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a scan on ``key`` when it has fewer splits than the
+    session has cores (e.g. one file with one row group, which Parquet cannot
+    split). Large inputs, with at least as many splits as cores, are
+    returned untouched. The partition count is ``spark.sql.shuffle.partitions``
+    and every spread table is later joined on this same key, so the join's
+    own shuffle requirement is already met and no exchange is added for it;
+    hashing a key (not round-robin) keeps task retries deterministic."""
     try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        cores = df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
         return df
-    if have >= want:
+    if have >= cores:
         return df
-    return df.repartition(want, key)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
 
 
 def _mod0(c: str, k: int) -> Column:
