@@ -147,3 +147,17 @@ def test_materialize_view_and_table(spark, tmp_path):
     tab, n = materialize(df.filter("k = 1"), "t1", "table", "wf_test_ns",
                          path=str(tmp_path / "t1b"))
     assert n == 1 and spark.table("wf_test_ns.t1").count() == 1   # full refresh
+
+
+def test_latest_partition_value_types(spark, tmp_path):
+    from wattflow.sources.delimited import latest_partition_value
+    for name, vals, want in [("i", [9, 10, 2], "10"), ("d", ["2024-01-31", "2024-10-01"], "2024-10-01")]:
+        df = spark.createDataFrame([(v, 1) for v in vals], f"{name} {'int' if name == 'i' else 'string'}, x int")
+        if name == "d":
+            df = df.withColumn("d", F.to_date("d"))
+        out = str(tmp_path / name)
+        df.write.partitionBy(name).parquet(out)
+        back = spark.read.parquet(out)
+        assert latest_partition_value(back, name) == want
+        assert select_snapshot(back, name, "latest").count() == 1
+    assert latest_partition_value(spark.range(3), "id") is None

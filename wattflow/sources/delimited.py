@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (ByteType, DateType, IntegerType, LongType, ShortType, StringType,
+                               StructField, StructType)
 
 from wattflow.schemas import GENERATION_RAW, REGISTRY_RAW
 
@@ -37,18 +42,46 @@ def select_snapshot(df: DataFrame, col: str = "snapshot_date", mode: str = "late
     """Registry snapshot selector.
 
     ``all`` keeps every landed snapshot (counts multiply with the number of
-    runs); ``latest`` keeps the newest one only. The newest value is a
-    scalar subquery on the partition column, so the scan prunes the other
-    snapshot directories at run time.
+    runs); ``latest`` keeps the newest one only, found from the partition
+    directories of the file listing, so only that snapshot is read.
     """
     if mode == "all":
         return df
     if mode != "latest":
         raise ValueError(f"unknown snapshot mode {mode!r}")
+    value = latest_partition_value(df, col)
+    if value is not None:
+        # a literal filter on the partition column: pruned while planning
+        return df.filter(F.col(col) == F.lit(value).cast(df.schema[col].dataType))
+    # not a path-partitioned file source: scalar subquery (pruned at run time)
     latest = df.select(F.max(col)).scalar()
     return df.filter(F.col(col) == latest)
 
 
+def latest_partition_value(df: DataFrame, col: str):
+    """Newest ``col=value`` directory among the files of a file-source scan.
+
+    The values come from the file listing Spark already holds on the driver
+    (``inputFiles``), so no data is read; a CSV scan could not skip to them.
+    Returns ``None`` when the files are not partitioned by ``col``.
+    """
+    try:
+        files = df.inputFiles()
+    except Exception:  # noqa: BLE001 - not a file source
+        return None
+    pat = re.compile(rf"/{re.escape(col)}=([^/]+)/")
+    raw = {unquote(m.group(1)) for f in files for m in [pat.search(f)] if m}
+    raw.discard("__HIVE_DEFAULT_PARTITION__")
+    if not raw:
+        return None
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, (IntegerType, LongType, ShortType, ByteType)):
+        return str(max(int(v) for v in raw))
+    if isinstance(dtype, DateType):
+        return max(dt.date.fromisoformat(v) for v in raw).isoformat()
+    return max(raw)
+
+
 def read_generation_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Hourly generation bronze (``year=/month=`` partitions), UTF-8."""
     return read_delimited(spark, root, GENERATION_RAW, encoding="UTF-8")
