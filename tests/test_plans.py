@@ -10,7 +10,7 @@ from wattflow.plans import registry as R
 # keys that run writes / streams while being defined
 SIDE_EFFECT_KEYS = {"silver_generation_csv", "silver_registry_csv", "full_refresh_table",
                     "raw_landing", "latest_snapshot", "incremental_period",
-                    "silver_generation_stream"}
+                    "silver_generation_stream", "named_sources", "medallion_build"}
 
 
 def _plan(df):

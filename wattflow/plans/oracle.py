@@ -538,3 +538,4 @@ UNION ALL
 {_landing_sql('documents', 'doc_id', 'text')}) t""")
 
 _reg("named_sources", with_(STG_GEN, "SELECT * FROM stg_gen"))
+_reg("medallion_build", with_(FACT_GEN, "SELECT * FROM fact_gen"))

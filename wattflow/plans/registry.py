@@ -487,3 +487,14 @@ def q_named_sources(spark, sf_dir):
     register_sources(spark, "wattflow_raw", {"generation": path},
                      location=scratch_path(spark, "ns-raw"))
     return staging.stg_generation(source(spark, "wattflow_raw", "generation"))
+
+
+@register("medallion_build")
+def q_medallion_build(spark, sf_dir):
+    """The whole build from landed bronze CSVs (latest registry snapshot),
+    checks reported rather than enforced; returns the written monthly fact."""
+    from wattflow.plans.build import build_all
+    from wattflow.session import scratch_path
+    res = build_all(spark, _land_generation(spark, sf_dir), _land_snapshots(spark, sf_dir),
+                    scratch_path(spark, "build"), snapshot="latest", enforce=False)
+    return spark.read.parquet(res.paths["fact_generation_monthly"])
