@@ -158,10 +158,9 @@ def _reg_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reg_columns(power: Column) -> list[Column]:
-    source = F.when(F.lit(False), F.lit(None).cast("string"))
-    for status, label in SOURCE_BY_ORDER_STATUS:
-        source = source.when(F.col("o_orderstatus") == status, F.lit(label))
-    source = source.otherwise(F.lit(SOURCE_OTHER))
+    source = F.lit(SOURCE_OTHER)
+    for status, label in reversed(SOURCE_BY_ORDER_STATUS):
+        source = F.when(F.col("o_orderstatus") == status, F.lit(label)).otherwise(source)
     given = {
         "CodEmpreendimento": F.concat(F.lit("GD."), F.col("o_orderkey").cast("string")),
         "SigUF": F.when(_mod0("o_orderkey", 101), F.lit(None).cast("string")).otherwise(F.col("n_name")),
