@@ -50,3 +50,22 @@ def test_gate_blocks_only_downstream(spark):
     with pytest.raises(RuntimeError):
         quality.enforce(res, "fact_capacity")
     quality.enforce(res, "dim_state")
+
+
+def test_suite_builds_only_the_models_its_checks_read(spark):
+    from wattflow.plans.registry import _OnDemand
+    built = []
+
+    def make(name):
+        def build():
+            built.append(name)
+            return spark.createDataFrame([("a",)], "k string")
+        return build
+
+    models = _OnDemand({m: make(m) for m in ["dim_state", "dim_source", "fact_capacity"]})
+    res = quality.CheckSuite(unique={"dim_state": ["k"]},
+                             relationships={"fact_capacity": [("k", "dim_state", "k")]})
+    res.run(models, only=["unique"]).collect()
+    assert built == ["dim_state"]
+    res.run(models).collect()
+    assert built == ["dim_state", "fact_capacity"]  # each model built once

@@ -8,7 +8,7 @@ independent SQL for the same key. Non-deterministic lineage columns
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -167,21 +167,58 @@ def q_parse_date(spark, sf_dir):
 
 # -- data-quality checks --------------------------------------------------------
 
-def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class _OnDemand(Mapping):
+    """Models by name, each built on first access and then kept: a check run
+    that never reads a model never builds (or stages) it."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def models(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """The six checked models: staging lazily (each check scan is fused); the
     generation marts derived from the staged pre-aggregate (cheap to re-derive
     for each check); the capacity fact staged once, since re-deriving it would
-    rescan the registry for every check that reads it."""
+    rescan the registry for every check that reads it. Models are built on
+    first access, so e.g. the key checks never stage the capacity fact."""
     from wattflow.plans.marts import generation_marts, stage
-    stg_g = stg_gen(spark, sf_dir)
-    stg_r = stg_reg(spark, sf_dir)
-    marts = generation_marts(stg_g)
-    return {
+    cache: dict[str, object] = {}
+
+    def stg_g():
+        if "stg_g" not in cache:
+            cache["stg_g"] = stg_gen(spark, sf_dir)
+        return cache["stg_g"]
+
+    def stg_r():
+        if "stg_r" not in cache:
+            cache["stg_r"] = stg_reg(spark, sf_dir)
+        return cache["stg_r"]
+
+    def marts():
+        if "marts" not in cache:
+            cache["marts"] = generation_marts(stg_g())
+        return cache["marts"]
+
+    return _OnDemand({
         "stg_generation": stg_g,
         "stg_registry": stg_r,
-        **marts,
-        "fact_capacity": stage(facts.capacity_fact(stg_r, marts["dim_state"])),
-    }
+        "dim_state": lambda: marts()["dim_state"],
+        "dim_source": lambda: marts()["dim_source"],
+        "fact_generation_monthly": lambda: marts()["fact_generation_monthly"],
+        "fact_capacity": lambda: stage(facts.capacity_fact(stg_r(), marts()["dim_state"])),
+    })
 
 
 @register("dq_not_null")
