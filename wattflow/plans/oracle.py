@@ -24,7 +24,8 @@ gen_raw AS (
          WHEN l.l_returnflag = 'N' THEN 'Pequenas Usinas (MMGD)'
          ELSE 'TIPO ' || l.l_returnflag END AS cod_modalidadeoperacao,
     p.p_brand AS nom_tipousina,
-    CASE WHEN l.l_partkey % 103 = 0 THEN NULL
+    CASE WHEN n.n_name = 'NATION_18' THEN 'Hidráulica'
+         WHEN l.l_partkey % 103 = 0 THEN NULL
          WHEN p.p_type LIKE 'ECONOMY%' THEN 'Hidráulica'
          WHEN p.p_type LIKE 'LARGE%' THEN 'Eólica'
          WHEN p.p_type LIKE 'MEDIUM%' THEN 'Gás'

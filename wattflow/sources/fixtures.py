@@ -30,6 +30,9 @@ FUEL_BY_PART_TYPE = [
     ("SMALL", "Biomassa"),
 ]
 FUEL_OTHER = "Nuclear"
+# nation whose plants all report this fuel (placed before the null-fuel
+# injection), so one state is fully renewable
+ALL_RENEWABLE_NATION = ("NATION_18", "Hidráulica")
 # order status -> registry source label
 SOURCE_BY_ORDER_STATUS = [("O", "Radiação solar"), ("F", "Eólica")]
 SOURCE_OTHER = "Biomassa"
@@ -117,7 +120,8 @@ def gen_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = (li.join(broadcast_if_small(part), li.l_partkey == part.p_partkey)
           .join(broadcast_if_small(geo), li.l_suppkey == geo.s_suppkey))
 
-    fuel = F.when(_mod0("l_partkey", 103), F.lit(None).cast("string"))
+    fuel = (F.when(F.col("n_name") == F.lit(ALL_RENEWABLE_NATION[0]), F.lit(ALL_RENEWABLE_NATION[1]))
+            .when(_mod0("l_partkey", 103), F.lit(None).cast("string")))
     for prefix, label in FUEL_BY_PART_TYPE:
         fuel = fuel.when(F.col("p_type").startswith(prefix), F.lit(label))
     fuel = fuel.otherwise(F.lit(FUEL_OTHER))
