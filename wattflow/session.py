@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every build relies on. ANSI stays on (Spark 4 default); parsing of
 # dirty text goes through try_* functions instead.
@@ -41,9 +41,11 @@ def get_session(app: str = "wattflow", conf: dict | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is used as is. Only when it is unset (local runs, tests) a fresh
-    folder under the system temp dir is created and registered.
+    ``spark.checkpoint.dir`` names the folder that driver and executors share
+    and is used as is. Where it is unset, a local master (tests, one machine)
+    gets a fresh temporary folder; any other master raises, because a folder
+    of one machine would silently split the written tables over the disks of
+    the executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the driver and "
+                             f"the executors when the master is {sc.master!r}")
         conf_dir = tempfile.mkdtemp(prefix="wattflow-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -63,14 +68,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Used for intermediate tables (CSV/Parquet round trips, landings) so that
     every executor can reach them and lineage can be cut by re-reading.
     """
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/wattflow/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for os-level helpers in tests only)."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/wattflow"
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write an intermediate table once under the shared folder and read it
+    back: its consumers share one computation, lineage is cut, and the rows
+    survive the loss of an executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete every intermediate table of this session (frames that still
+    read one of them can no longer be evaluated)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
