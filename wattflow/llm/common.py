@@ -8,11 +8,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattflow.session import ship_package
+
 #: FIXED VALUE: the white space that separates words, as a regex class body.
 SPACE = r"\x20\x09-\x0D"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -22,6 +25,16 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+def whole_row(df: DataFrame, wanted: bool) -> list[Column]:
+    """The input row as one struct, ``row_in``, for results that carry it: its
+    column names cannot clash with the result's."""
+    return [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row_in")] if wanted else []
+
+
+def row_type(src: DataFrame, wanted: bool) -> str:
+    return f", row_in {src.schema['row_in'].dataType.simpleString()}" if wanted else ""
+
+
 def text_groups(texts: list[str | None], max_chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Cut a batch into runs [i, j) of about ``max_chars`` characters, so the
     memory of a vectorised step does not depend on the batch size (a longer

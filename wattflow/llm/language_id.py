@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattflow.llm.common import held_out, text_groups
+from wattflow.llm.common import held_out, row_type, text_groups, whole_row
 from wattflow.llm.linear import linear_svm, sigmoid
 
 #: FIXED VALUES: families of language codes; a code that is not listed is a family of its own.
@@ -134,8 +134,9 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def predict_language(df: DataFrame, model: Model | None, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred and score of every whole text, one row per input row.
+                     text_col: str = "text", with_row: bool = False) -> DataFrame:
+    """doc_id, lang_pred and score of every whole text, one row per input row
+    (with ``with_row`` also that row, as the struct ``row_in``).
 
     Null texts, texts without a letter and, if there was nothing to learn
     from, all texts are ``und`` with score 0. No shuffle; the broadcast model
@@ -155,12 +156,13 @@ def predict_language(df: DataFrame, model: Model | None, id_col: str = "doc_id",
                 score[part] = s
                 for i, name in zip(part, names):
                     pred[i] = name
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pred, pa.string()), pa.array(score)],
-                                             names=["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(pred, pa.string()), pa.array(score), *b.columns[2:]],
+                names=["doc_id", "lang_pred", "score", *b.schema.names[2:]])
 
     src = df.select(F.col(id_col).cast("long").alias("doc_id"),
-                    F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, lang_pred string, score double")
+                    F.col(text_col).cast("string").alias("text"), *whole_row(df, with_row))
+    return src.mapInArrow(run, "doc_id long, lang_pred string, score double" + row_type(src, with_row))
 
 
 def language_query(docs: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattflow.llm import bpe, chat, language_id, packing, quality_rules, sharding, toxicity
+from wattflow.llm import (bpe, chat, cover_tree, language_id, ngram_jaccard, packing, quality_rules,
+                          repeats, sharding, toxicity)
 from wattflow.llm.common import read_table
 
 #: Folder of the tokenizer files; the same path on every machine.
@@ -29,6 +30,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_query(read_table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.jaccard_components(read_table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -37,6 +42,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_query(read_table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(read_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"), length=400)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -46,6 +59,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_chat_formatting, op2_toxicity, op3_sharding, op5_bpe,
-                            op6_language_id, op9_packing, op10_quality_rules)}
+    f.__name__: f for f in (op1_chat_formatting, op2_toxicity, op3_sharding, op4_ngram_jaccard,
+                            op5_bpe, op6_language_id, op7_embedding_near_dedup,
+                            op8_suffix_array_dedup, op9_packing, op10_quality_rules)}
 ORACLE: dict[str, str] = {}

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattflow.llm.common import held_out
+from wattflow.llm.common import held_out, row_type, whole_row
 from wattflow.llm.linear import logistic, sigmoid
 
 #: FIXED VALUES: closed word classes of the grammar.
@@ -201,8 +201,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score_toxicity(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-                   cut: float = 0.3) -> DataFrame:
-    """doc_id, score (0 to 1) and predicted (score >= ``cut``), one row per input row.
+                   cut: float = 0.3, with_row: bool = False) -> DataFrame:
+    """doc_id, score (0 to 1) and predicted (score >= ``cut``), one row per input
+    row (with ``with_row`` also that row, as the struct ``row_in``).
 
     Whole texts, cut into clauses at punctuation and line ends; only clauses
     that hold a lexicon or threat word are run through the transducers. Null
@@ -220,12 +221,12 @@ def score_toxicity(df: DataFrame, model: Model, id_col: str = "doc_id", text_col
                 x[i] = g.features(t.as_py() or "")
             s = sigmoid(x @ m.weights[:-1] + m.weights[-1])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(s), pa.array((s >= cut).astype(np.int32))],
-                names=["doc_id", "score", "predicted"])
+                [b.column(0), pa.array(s), pa.array((s >= cut).astype(np.int32)), *b.columns[2:]],
+                names=["doc_id", "score", "predicted", *b.schema.names[2:]])
 
     src = df.select(F.col(id_col).cast("long").alias("doc_id"),
-                    F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, score double, predicted int")
+                    F.col(text_col).cast("string").alias("text"), *whole_row(df, with_row))
+    return src.mapInArrow(run, "doc_id long, score double, predicted int" + row_type(src, with_row))
 
 
 def toxicity_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
