@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,6 +86,24 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once a context: functions that
+    run inside tasks are found there even if the machines have no copy of it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_wattflow_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="wattflow-py-"), "wattflow.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.join("wattflow", os.path.relpath(path, root)))
+    sc.addPyFile(target)
+    sc._wattflow_shipped = True
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete every intermediate table of this session (frames that still
     read one of them can no longer be evaluated)."""
