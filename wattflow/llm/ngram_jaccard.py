@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,8 @@ from wattflow.llm.common import ragged
 from wattflow.llm.components import components
 from wattflow.session import stage
 
-#: The frequency table: so many counters of hashed n-grams, 2 MB, whatever the input.
+#: The frequency table: so many counters of hashed n-grams, 2 MB, whatever the
+#: input; tables travel in so many pieces.
 BUCKET_BITS, CHUNKS = 18, 64
 #: The suffix filter compares the sizes of so many parts of two sets.
 PARTS = 8
@@ -92,42 +93,54 @@ def _column(b: pa.RecordBatch, name: str) -> np.ndarray:
     return b.column(name).to_numpy(zero_copy_only=False)
 
 
-def shingle_frequencies(docs: DataFrame, n: int) -> np.ndarray:
-    """Documents per n-gram bucket, over all documents (2 MB to the driver)."""
-    size = (1 << BUCKET_BITS) // CHUNKS
+def fixed_table(df: DataFrame, slots: Callable[[], Callable[[object], np.ndarray]], bits: int,
+                dtype: type) -> np.ndarray:
+    """Counts, over all rows, in a table of 2 ** bits slots, whatever the input.
+
+    ``slots()`` gives, in a task, the function from a row's value to its
+    slots. Tasks add up their rows, tables travel in ``CHUNKS`` compressed
+    pieces and meet piece by piece; the sum goes to the driver. Counts stop at
+    the type's maximum.
+    """
+    size, top = (1 << bits) // CHUNKS, np.iinfo(dtype).max
+
+    def pieces(rows: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(rows), pa.int32()),
+             pa.array([zlib.compress(np.minimum(x, top).astype(dtype).tobytes(), 1) for x in rows.values()],
+                      pa.binary())], names=["chunk", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, total = Shingler(n), np.zeros(1 << BUCKET_BITS, np.int64)
+        find, total = slots(), np.zeros(1 << bits, np.int64)
         for b in batches:
-            for t in b.column(0):
-                h = shingles(t.as_py())
-                total += np.bincount(bucket(h), minlength=len(total)) if len(h) > 20_000 else 0
-                if len(h) <= 20_000:
-                    np.add.at(total, bucket(h), 1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(CHUNKS), pa.int32()),
-             pa.array([zlib.compress(c.tobytes(), 1) for c in total.reshape(CHUNKS, size)])],
-            names=["chunk", "counts"])
+            for value in b.column(0):
+                np.add.at(total, find(value.as_py()), 1)
+        yield pieces(dict(enumerate(total.reshape(CHUNKS, size))))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for c, data in zip(b.column(0).to_pylist(), b.column(1)):
-                x = np.frombuffer(zlib.decompress(data.as_py()), np.int64)
+                x = np.frombuffer(zlib.decompress(data.as_py()), dtype).astype(np.int64)
                 sums[c] = sums[c] + x if c in sums else x
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
-            names=["chunk", "counts"])
+        yield pieces(sums)
 
     kind = "chunk int, counts binary"
-    rows = (docs.select("text").mapInArrow(count, kind).repartition("chunk")
-            .mapInArrow(add, kind).collect())
-    out = np.zeros((CHUNKS, size), np.int64)
-    for r in rows:
-        out[r["chunk"]] += np.frombuffer(bytes(r["counts"]), np.int64)
+    out = np.zeros((CHUNKS, size), dtype)
+    for r in df.mapInArrow(count, kind).repartition("chunk").mapInArrow(add, kind).collect():
+        out[r["chunk"]] = np.frombuffer(zlib.decompress(bytes(r["counts"])), dtype)
     return out.ravel()
 
 
+def shingle_frequencies(docs: DataFrame, n: int) -> np.ndarray:
+    """Documents per n-gram bucket, over all documents (2 MB)."""
+    def slots() -> Callable[[str | None], np.ndarray]:
+        shingles = Shingler(n)
+        return lambda text: bucket(shingles(text))
+
+    return fixed_table(docs.select("text"), slots, BUCKET_BITS, np.int64)
+
+
 def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, node (digest of the set), its rare-first prefix and
     part sizes: all that candidate search needs, about a tenth of the set."""
@@ -164,7 +177,8 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
         run, "doc_id long, n_shingles long, node long, prefix binary, parts long"), "sets")
 
 
-POSTING = "key long, node long, n long, pos long, parts long"
+POSTING = "key long, n long, node long, pos long"
+POSTING_COLUMNS = ["key", "n", "node", "pos"]
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,14 +186,9 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = [x.as_py() for x in b.column("prefix")]
         length = np.array([len(x) // 8 for x in data], np.int64)
         row = np.repeat(np.arange(len(data)), length)
-        cols = [np.frombuffer(b"".join(data), np.int64), _column(b, "node")[row],
-                _column(b, "n")[row], ragged(np.zeros(len(data), np.int64), length),
-                _column(b, "parts")[row]]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols],
-                                         names=["key", "node", "n", "pos", "parts"])
-
-
-POSTING_COLUMNS = ["key", "node", "n", "pos", "parts"]
+        cols = [np.frombuffer(b"".join(data), np.int64), _column(b, "n")[row], _column(b, "node")[row],
+                ragged(np.zeros(len(data), np.int64), length)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=POSTING_COLUMNS)
 
 
 def _with_neighbours(percent: int):
@@ -197,7 +206,7 @@ def _with_neighbours(percent: int):
             cols = [_column(b, c) for c in POSTING_COLUMNS]
             if held is not None:
                 cols = [np.r_[h, c] for h, c in zip(held, cols)]
-            key, n = cols[0], cols[2]
+            key, n = cols[0], cols[1]
             near = (key[1:] == key[:-1]) & (100 * n[:-1] >= percent * n[1:])
             live = np.r_[held_live, near]
             live[:-1] |= near
@@ -225,7 +234,7 @@ def _with_hub(percent: int):
 def _all_pairs(percent: int):
     """All pairs of a key's postings that lie in different components and
     pass the filters; rows come sorted by (key, n, node), group after group."""
-    names = [*POSTING_COLUMNS, "label"]
+    names = ["key", "node", "n", "pos", "parts", "label"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
@@ -259,7 +268,44 @@ def _all_pairs(percent: int):
     return run
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+#: Slots of the table that tells which documents' texts are wanted: 4 MB.
+WANTED_BITS = 22
+
+
+def _whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """(node, sorted hashes) of the given (node, doc_id), from their texts.
+
+    A table of fixed size of hashed ids lets tasks drop most other texts
+    before the shuffle; the join then settles which are wanted.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << WANTED_BITS))
+    wanted = docs.sparkSession.sparkContext.broadcast(np.packbits(fixed_table(
+        nodes.select(slot.alias("slot")), lambda: lambda s: np.array([s]), WANTED_BITS, np.uint8) > 0))
+
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
+        for b in batches:
+            at = _column(b, "slot")
+            keep = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+            yield b.filter(pa.array(keep.astype(bool))).select(["doc_id", "text"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingler(n)
+        for b in batches:
+            h = [shingles(t.as_py()) for t in b.column("text")]
+            node = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) for x in h], np.int64)
+            same = node == _column(b, "node")  # an id may come with several texts
+            yield pa.RecordBatch.from_arrays(
+                [b.column("node"), pa.array([x.tobytes() for x in h], pa.binary())],
+                names=["node", "h"]).filter(pa.array(same))
+
+    some = (docs.where("doc_id is not null").select("doc_id", "text", slot.alias("slot"))
+            .mapInArrow(drop, "doc_id long, text string"))
+    rows = some.join(nodes, "doc_id").select("node", "text").mapInArrow(run, "node long, h binary")
+    return stage(rows.dropDuplicates(["node"]), "whole-sets")
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs that link, each verified once on whole sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -272,27 +318,13 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
+    used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _whole_sets(docs, stage(nodes.select("node", "doc_id").join(used, "node"), "pair-nodes"), n)
     joined = (pairs.join(sets.select(F.col("node").alias("a"), F.col("h").alias("x")), "a")
               .join(sets.select(F.col("node").alias("b"), F.col("h").alias("y")), "b"))
     return stage(joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
-def _whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """(node, sorted hashes) of the given nodes, computed from their texts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(n)
-        for b in batches:
-            h = [shingles(t.as_py()) for t in b.column("text")]
-            node = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) for x in h], np.int64)
-            same = node == _column(b, "node")  # an id may come with several texts
-            yield pa.RecordBatch.from_arrays(
-                [b.column("node"), pa.array([x.tobytes() for x in h], pa.binary())],
-                names=["node", "h"]).filter(pa.array(same))
-
-    rows = docs.join(nodes, "doc_id").select("node", "text").mapInArrow(run, "node long, h binary")
-    return stage(rows.dropDuplicates(["node"]), "whole-sets")
-
-
 def _mixed(live: DataFrame, links: DataFrame | None) -> DataFrame:
     """Postings with the component of their node so far, of the keys whose
     postings lie in different components; the others need no further test."""
@@ -325,7 +357,7 @@ def _hub_pairs(mixed: DataFrame, percent: int, turn: int) -> DataFrame:
 
 
 def jaccard_components(df: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id",
-                       text_col: str = "text", hub_turns: int = 2) -> DataFrame:
+                       text_col: str = "text", hub_turns: int = 1) -> DataFrame:
     """doc_id, n_shingles, component_id for every row.
 
     Two documents link when 100 * |A & B| >= percent * |A | B| over their
@@ -337,7 +369,7 @@ def jaccard_components(df: DataFrame, n: int = 3, percent: int = 90, id_col: str
        an n-gram. Postings are range partitioned by (n-gram, size, node), so a
        frequent n-gram is spread over tasks, and those without a neighbour of
        compatible length are dropped.
-    3. A few turns verify pairs of nodes with one hub a key: families of near
+    3. ``hub_turns`` turns verify pairs of nodes with one hub a key: families of near
        copies grow together around hubs, without all their pairs being formed.
     4. Of n-grams whose postings still lie in different components, all
        pairs across components that pass the length, positional and suffix
@@ -357,19 +389,22 @@ def jaccard_components(df: DataFrame, n: int = 3, percent: int = 90, id_col: str
     nodes = stage(nodes, "nodes")
     live = (nodes.mapInArrow(_postings, POSTING).repartitionByRange("key", "n", "node")
             .sortWithinPartitions("key", "n", "node").mapInArrow(_with_neighbours(percent), POSTING))
-    live = stage(live.join(nodes.select("node", "docs"), "node"), "postings")
-    whole = _whole_sets(docs, nodes.select("node", "doc_id").join(live.select("node").distinct(), "node"), n)
+    live = stage(live.join(nodes.select("node", "docs", "parts"), "node"), "postings")
 
-    links: DataFrame | None = None
+    links = tested = None
     mixed = _mixed(live, None)
     for turn in range(hub_turns):
-        new = _verify(_hub_pairs(mixed, percent, turn), whole, percent)
-        links = links.unionByName(new) if links is not None else new
+        pairs = _hub_pairs(mixed, percent, turn)
+        pairs = stage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        new = _verify(pairs, docs, nodes, n, percent)
+        links = new if links is None else links.unionByName(new)
+        tested = pairs if tested is None else tested.unionByName(pairs)
         mixed = _mixed(live, links)
-    across = (mixed.select(*POSTING_COLUMNS, "label").repartition("key")
-              .sortWithinPartitions("key", "n", "node").mapInArrow(_all_pairs(percent), "a long, b long"))
-    last = _verify(across.distinct(), whole, percent)
-    group = components(links.unionByName(last) if links is not None else last)
+    pairs = (mixed.select("key", "node", "n", "pos", "parts", "label").repartition("key")
+             .sortWithinPartitions("key", "n", "node").mapInArrow(_all_pairs(percent), "a long, b long").distinct())
+    pairs = stage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+    last = _verify(pairs, docs, nodes, n, percent)
+    group = components(last if links is None else links.unionByName(last))
     rows = sets.join(group, "node", "left").withColumn("c", F.coalesce("component", "node"))
     least = (rows.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("component_id")))
     return rows.join(least, "c", "left").select(
