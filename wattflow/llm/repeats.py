@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,9 +107,7 @@ def covered(contexts: list[bytes], offsets: list[int], length: int) -> list[list
         cuts.append(cut)
         classes.append(label)
     symbols: dict[tuple, int] = {}
-    text: list[int] = []
-    weight: list[int] = []
-    starts: list[tuple[int, int, int]] = []  # (place in text, context, byte)
+    text, weight, starts = array("q"), array("q"), array("q")  # starts: place in text, context, byte
     for c in range(n):
         for s, blocks in ((0, range(len(cuts[0]) - 2, -1, -1)), (1, range(len(cuts[1]) - 1))):
             size = len(sides[s][c])
@@ -117,14 +116,14 @@ def covered(contexts: list[bytes], offsets: list[int], length: int) -> list[list
                 if b > size:
                     continue
                 if s == 0 or i == 0:
-                    starts.append((len(text), c, offsets[c] - b if s == 0 else offsets[c]))
+                    starts.extend((len(text), c, offsets[c] - b if s == 0 else offsets[c]))
                 text.append(n + symbols.setdefault((s, i, int(classes[s][c, i])), len(symbols)))
                 weight.append(b - a)
         text.append(c)  # an end that no other context has
         weight.append(0)
     best = longest_matches(text, weight)
     out: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-    for at, c, byte in starts:
+    for at, c, byte in zip(starts[::3], starts[1::3], starts[2::3]):
         if best[at] >= length:
             out[c].append((byte, byte + best[at]))
     return out

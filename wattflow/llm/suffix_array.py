@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Sequence
 
 
-def suffix_array(text: Sequence[int]) -> list[int]:
+def _longs(n: int) -> array:
+    return array("q", bytes(8 * n))
+
+
+def suffix_array(text: Sequence[int]) -> Sequence[int]:
     """Suffixes of ``text`` (integers) in ascending order.
 
     Suffixes are grouped by their first symbol and the groups refined from
@@ -19,8 +24,8 @@ def suffix_array(text: Sequence[int]) -> list[int]:
     prefix ends just before it, found along the pointers.
     """
     n = len(text)
-    order = sorted(range(n), key=text.__getitem__)
-    place, first, size = [0] * n, [0] * n, [0] * n  # size: by a group's first place
+    order = array("q", sorted(range(n), key=text.__getitem__))
+    place, first, size = _longs(n), _longs(n), _longs(n)  # size: by a group's first place
     start = 0
     for i, s in enumerate(order):
         if i and text[s] != text[order[i - 1]]:
@@ -28,9 +33,9 @@ def suffix_array(text: Sequence[int]) -> list[int]:
         place[s], first[s] = i, start
         size[start] += 1
 
-    before = [-1] * n
-    skip = list(range(-1, n))  # skip[i + 1]: i if untaken, else somewhere before it
-    count = [0] * n
+    before = _longs(n)
+    skip = array("q", range(-1, n))  # skip[i + 1]: i if untaken, else somewhere before it
+    count = _longs(n)
     at = n - 1
     while at >= 0:
         start = first[order[at]]
@@ -73,20 +78,20 @@ def suffix_array(text: Sequence[int]) -> list[int]:
             parents = rest
         at = start - 1
 
-    out, placed = [-1] * (n + 1), [False] * n
-    front = list(range(n + 1))  # next free place of a group, by its first place
+    out, placed = _longs(n + 1), bytearray(n)
+    front = array("q", range(n + 1))  # next free place of a group, by its first place
     for i in range(-1, n):
         p = (out[i] if i >= 0 else n) - 1  # the empty suffix is the least of all
         while p >= 0 and not placed[p]:
             g = first[p]
             out[front[g]] = p
             front[g] += 1
-            placed[p] = True
+            placed[p] = 1
             p = before[p]
     return out[:n]
 
 
-def longest_matches(text: Sequence[int], weight: Sequence[int]) -> list[int]:
+def longest_matches(text: Sequence[int], weight: Sequence[int]) -> Sequence[int]:
     """For each suffix, the weight of the longest prefix it shares with another.
 
     The neighbours in suffix order share most; their common prefixes are found
@@ -94,13 +99,13 @@ def longest_matches(text: Sequence[int], weight: Sequence[int]) -> list[int]:
     """
     n = len(text)
     order = suffix_array(text)
-    rank = [0] * n
+    rank = _longs(n)
     for i, s in enumerate(order):
         rank[s] = i
-    total = [0]
+    total = array("q", [0])
     for w in weight:
         total.append(total[-1] + w)
-    best = [0] * n
+    best = _longs(n)
     h = 0
     for s in range(n):
         if not rank[s]:
