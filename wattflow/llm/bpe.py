@@ -162,7 +162,7 @@ class WordEncoder(dict):
     ``flush``. Past ``max_words`` the cache starts afresh, so memory is bounded.
     """
 
-    def __init__(self, v: Vocabulary, max_words: int = 800_000):
+    def __init__(self, v: Vocabulary, max_words: int = 400_000):
         super().__init__()
         self.v, self.max_words = v, max_words
         self._reset()
@@ -216,7 +216,7 @@ def encoder(path: str) -> WordEncoder:
 def encode_texts(path: str, texts: list[str | None]) -> Iterator[np.ndarray]:
     """Ids (unsigned 32-bit) of each whole text, special tokens' strings in a
     text included, none added; null is empty. The texts of a group of about
-    two million characters share their merge rounds."""
+    400,000 characters share their merge rounds."""
     enc = encoder(path)
     for i, j in text_groups(texts):
         enc.begin()

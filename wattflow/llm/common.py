@@ -14,8 +14,17 @@ from wattflow.session import ship_package
 SPACE = r"\x20\x09-\x0D"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Workers get this package, and, unless the session sets its own, Arrow
+    batches of fewer rows: rows are whole texts here, not numbers."""
     ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows, "10000") == "10000":
+        spark.conf.set(rows, "1000")
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -35,7 +44,7 @@ def row_type(src: DataFrame, wanted: bool) -> str:
     return f", row_in {src.schema['row_in'].dataType.simpleString()}" if wanted else ""
 
 
-def text_groups(texts: list[str | None], max_chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def text_groups(texts: list[str | None], max_chars: int = 400_000) -> Iterator[tuple[int, int]]:
     """Cut a batch into runs [i, j) of about ``max_chars`` characters, so the
     memory of a vectorised step does not depend on the batch size (a longer
     single text is a run of its own)."""

@@ -20,6 +20,8 @@ from wattflow.session import stage
 BUCKET_BITS, CHUNKS = 18, 64
 #: The suffix filter compares the sizes of so many parts of two sets.
 PARTS = 8
+#: And once more, for each pair that is to be verified, of so many parts.
+FINE_PARTS = 128
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,6 +72,26 @@ def parts(h: np.ndarray) -> int:
                           .astype(np.uint8).tobytes(), "little", signed=True)
 
 
+def fine_parts(h: np.ndarray) -> bytes:
+    """Sizes of ``FINE_PARTS`` parts of a set, modulo 256."""
+    at = (h >> np.uint64(3)) % np.uint64(FINE_PARTS)
+    return np.bincount(at.astype(np.int64), minlength=FINE_PARTS).astype(np.uint8).tobytes()
+
+
+def _close_sets(percent: int):
+    """The pairs whose fine parts leave enough overlap possible."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(v.as_py() for v in b.column(c)), np.uint8).reshape(-1, FINE_PARTS)
+                    for c in ("fine_a", "fine_b"))
+            n, m = _column(b, "n_a"), _column(b, "n_b")
+            d = x - y
+            d = np.minimum(d, np.uint8(0) - d).astype(np.int64).sum(axis=1)
+            yield b.select(["a", "b"]).filter(pa.array(d <= n + m - 2 * least_overlap(n, m, percent)))
+
+    return run
+
+
 def part_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """At most the number of shingles in one set and not in the other."""
     x = np.ascontiguousarray(a).view(np.uint8).reshape(-1, PARTS)
@@ -149,7 +171,7 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, freq = Shingler(n), order.value
         for b in batches:
-            size, node, prefix, sketch = [], [], [], []
+            size, node, prefix, sketch, fine = [], [], [], [], []
             for t in b.column(1):
                 h = shingles(t.as_py())
                 size.append(len(h))
@@ -157,6 +179,7 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     node.append(None)
                     prefix.append(b"")
                     sketch.append(0)
+                    fine.append(b"")
                     continue
                 node.append(xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63))
                 keep = len(h) - -(-percent * len(h) // 100) + 1
@@ -168,13 +191,14 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     h2, f2 = h, f
                 prefix.append(h2[np.lexsort((h2, f2))][:keep].tobytes())
                 sketch.append(parts(h))
+                fine.append(fine_parts(h))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
-                 pa.array(prefix, pa.binary()), pa.array(sketch, pa.int64())],
-                names=["doc_id", "n_shingles", "node", "prefix", "parts"])
+                 pa.array(prefix, pa.binary()), pa.array(sketch, pa.int64()), pa.array(fine, pa.binary())],
+                names=["doc_id", "n_shingles", "node", "prefix", "parts", "fine"])
 
     return stage(docs.mapInArrow(
-        run, "doc_id long, n_shingles long, node long, prefix binary, parts long"), "sets")
+        run, "doc_id long, n_shingles long, node long, prefix binary, parts long, fine binary"), "sets")
 
 
 POSTING = "key long, n long, node long, pos long"
@@ -307,6 +331,11 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
 
 def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs that link, each verified once on whole sets."""
+    for c in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"),
+                                        F.col("fine").alias(f"fine_{c}")), c)
+    pairs = stage(pairs.mapInArrow(_close_sets(percent), "a long, b long"), "close-pairs")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = []
@@ -385,7 +414,7 @@ def jaccard_components(df: DataFrame, n: int = 3, percent: int = 90, id_col: str
     nodes = (sets.where("node is not null and doc_id is not null").groupBy("node")
              .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("docs"),
                   F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"),
-                  F.first("parts").alias("parts")))
+                  F.first("parts").alias("parts"), F.first("fine").alias("fine")))
     nodes = stage(nodes, "nodes")
     live = (nodes.mapInArrow(_postings, POSTING).repartitionByRange("key", "n", "node")
             .sortWithinPartitions("key", "n", "node").mapInArrow(_with_neighbours(percent), POSTING))
