@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattflow.llm import language_id, ngram_jaccard, packing, repeats, toxicity
-from wattflow.llm.common import read_table
+from wattflow.llm.common import prepare, read_table
 from wattflow.llm.registry import BYTE_BPE
-from wattflow.session import ship_package, stage
+from wattflow.session import stage
 
 #: Near duplicates: five-word shingles, similarity of 0.8 or more.
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
@@ -25,7 +25,7 @@ LEAST_LANGUAGE_SCORE = 0.35
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and those whose language stays unclear."""
-    ship_package(spark)
+    prepare(spark)
     seen = language_id.predict_language(docs, language_id.train(docs), with_row=True)
     kept = seen.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
     return kept.select("row_in.*")
@@ -41,7 +41,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that of the smallest
     id; rows without an id are not grouped."""
-    ship_package(spark)
+    prepare(spark)
     groups = ngram_jaccard.jaccard_components(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
     stays = groups.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
@@ -50,7 +50,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that repeat inside or across documents; every row stays."""
-    ship_package(spark)
+    prepare(spark)
     cut = repeats.remove_repeats(docs, REPEAT_BYTES, with_text=True)
     new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
     return cut.select(*[new.get(c, F.col(f"row_in.`{c}`")).alias(c) for c in docs.columns])
@@ -58,7 +58,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of 1024 tokens; one row per piece."""
-    ship_package(spark)
+    prepare(spark)
     return packing.pack_documents(docs, BYTE_BPE, capacity=1024)
 
 
