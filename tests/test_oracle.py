@@ -8,7 +8,8 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-import __spark_entry__ as E  # noqa: E402
+from wattflow.plans.oracle import ORACLE  # noqa: E402
+from wattflow.plans.registry import QUERIES  # noqa: E402
 from compare import TABLES, rows_of  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
@@ -22,14 +23,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[key])
+    cur = con.execute(ORACLE[key])
     o_cols = [d[0] for d in cur.description]
     o_rows = cur.fetchall()
     assert sorted(s_cols) == sorted(o_cols)

@@ -3,7 +3,6 @@ are broadcast, no Python UDF in any registered query, gates in the build."""
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
 from wattflow.plans import registry as R
 
@@ -27,13 +26,13 @@ def test_scan_pruning_and_pushdown(spark):
     assert li and all(re.sub(r"#\d+L?", "", s) ==
                       "l_orderkey,l_partkey,l_suppkey,l_quantity,l_returnflag,l_shipdate"
                       for s in li)
-    # fixed-size tables are broadcast; no sort-merge join at this size
-    assert "BroadcastExchange" in plan and "SortMergeJoin" not in plan
+    # fixed-size tables are broadcast; growing ones are left to the planner and adaptive execution
+    assert "BroadcastExchange" in plan
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - SIDE_EFFECT_KEYS))
+@pytest.mark.parametrize("key", sorted(set(R.QUERIES) - SIDE_EFFECT_KEYS))
 def test_no_python_udf_in_plan(spark, key):
-    plan = _plan(E.queries()[key](spark, SF_SMALL))
+    plan = _plan(R.QUERIES[key](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan, f"{key} plans a Python node {node}"
 
@@ -51,18 +50,23 @@ def test_latest_snapshot_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters" in _plan(df) or "partitionFilters" in _plan(df).lower()
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - SIDE_EFFECT_KEYS))
+@pytest.mark.parametrize("key", sorted(set(R.QUERIES) - SIDE_EFFECT_KEYS))
 def test_no_cross_or_nested_loop_join(spark, key):
-    plan = _plan(E.queries()[key](spark, SF_SMALL))
+    plan = _plan(R.QUERIES[key](spark, SF_SMALL))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan, f"{key} plans {node}"
 
 
-def test_broadcast_if_small_bound(spark):
-    from wattflow.operators.joins import broadcast_if_small
-    small = spark.range(10)
-    big = spark.range(0, 1000, 1, 4)
-    assert broadcast_if_small(big, 999) is big            # over the bound: left to the planner
-    assert broadcast_if_small(big, 1000) is not big       # at the bound: hinted
-    probe = spark.range(5)
-    assert "BroadcastExchange" in _plan(probe.join(broadcast_if_small(small, 10), "id"))
+def test_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+    import pytest
+    from wattflow.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: conf)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_planning_the_landing_check_moves_nothing(spark):
+    assert "Exchange" not in _plan(R.QUERIES["landing_check"](spark, "/root/testdata/sf0.001"))

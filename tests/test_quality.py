@@ -44,7 +44,7 @@ def test_gate_blocks_only_downstream(spark):
     ])
     status = {r.model: r.status for r in quality.gate(res).collect()}
     assert status["fact_capacity"] == "blocked"
-    assert status["fact_generation_monthly"] == "ready"
+    assert status["fact_generation_monthly"] == "not_run"  # its dimensions have no results
     assert status["dim_state"] == "ready"
     import pytest
     with pytest.raises(RuntimeError):
@@ -69,3 +69,14 @@ def test_suite_builds_only_the_models_its_checks_read(spark):
     assert built == ["dim_state"]
     res.run(models).collect()
     assert built == ["dim_state", "fact_capacity"]  # each model built once
+
+
+def test_gate_blocks_unchecked_models(spark):
+    from wattflow.operators.quality import enforce, gate
+    import pytest
+
+    results = spark.createDataFrame([("c1", "dim_state", 0)], "check_id string, model string, failures long")
+    status = {r.model: r.status for r in gate(results).collect()}
+    assert set(status.values()) == {"not_run"}
+    with pytest.raises(RuntimeError, match="no check results"):
+        enforce(results, "fact_capacity")

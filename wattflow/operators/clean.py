@@ -43,6 +43,9 @@ def add_lineage(df: DataFrame, col: str = LINEAGE_COLUMN) -> DataFrame:
 
 
 def project(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """``select src AS dst`` for every pair whose source column exists."""
-    cols = set(df.columns)
-    return df.select(*[F.col(s).alias(d) for s, d in pairs if s in cols])
+    """``select src AS dst`` for every pair. Only the lineage column may be
+    absent from the source; any other missing column raises."""
+    missing = [s for s, _ in pairs if s not in df.columns and s != LINEAGE_COLUMN]
+    if missing:
+        raise ValueError(f"source columns missing: {missing}")
+    return df.select(*[F.col(s).alias(d) for s, d in pairs if s in df.columns])

@@ -154,7 +154,9 @@ def gate(results: DataFrame, gates: Mapping[str, Sequence[str]] = GATES) -> Data
     """Per downstream model: checks that gate it, how many failed, status.
 
     ``gates`` is configuration (models x upstream models), so its frame is
-    small by construction; ``results`` has one row per check.
+    small by construction; ``results`` has one row per check. An upstream
+    model without results has not been checked: status ``not_run``, which
+    blocks like a failure.
     """
     spark: SparkSession = results.sparkSession
     edges = spark.createDataFrame(
@@ -163,18 +165,24 @@ def gate(results: DataFrame, gates: Mapping[str, Sequence[str]] = GATES) -> Data
     return joined.groupBy("model").agg(
         F.count("check_id").alias("n_checks"),
         F.count_if(F.col("failures") > 0).alias("n_failed"),
+        F.count_if(F.col("check_id").isNull()).alias("n_missing"),
     ).withColumn(
-        "status", F.when(F.col("n_failed") > 0, F.lit("blocked")).otherwise(F.lit("ready"))
-    )
+        "status", F.when(F.col("n_failed") > 0, F.lit("blocked"))
+        .when(F.col("n_missing") > 0, F.lit("not_run")).otherwise(F.lit("ready"))
+    ).drop("n_missing")
 
 
 def enforce(results: DataFrame, model: str, gates: Mapping[str, Sequence[str]] = GATES) -> None:
-    """Raise before building ``model`` when a gating check failed.
+    """Raise before building ``model`` when a gating check failed or an
+    upstream model has no results.
 
-    Only the failing check ids (a handful of rows) reach the driver.
+    Only check ids and failure counts (a row a check) reach the driver.
     """
     ups = list(gates.get(model, []))
-    failed = [r.check_id for r in results.filter(
-        F.col("model").isin(ups) & (F.col("failures") > 0)).select("check_id").collect()]
+    rows = results.filter(F.col("model").isin(ups)).select("model", "check_id", "failures").collect()
+    failed = [r.check_id for r in rows if r.failures and r.failures > 0]
+    missing = set(ups) - {r.model for r in rows}
     if failed:
         raise RuntimeError(f"{model} blocked by failing checks: {sorted(failed)}")
+    if missing:
+        raise RuntimeError(f"{model} blocked: no check results for {sorted(missing)}")

@@ -50,4 +50,5 @@ def land_raw(df: DataFrame, root: str, partition: Mapping[str, str] | None = Non
     keys = list(lit_cols) + list(partition_cols)
     return write_partitioned(
         df, root, keys, mode="overwrite", dynamic=True, fmt="csv",
+        rebalance=bool(partition_cols),  # literal partitions need no shuffle
         options={"sep": sep, "header": "true", "encoding": encoding, "quote": quote})

@@ -7,10 +7,9 @@ every row (no row is dropped). ``plans/oracle.py`` holds the same adapters in
 DuckDB SQL.
 
 Scale notes: ``nation`` (25 rows) and ``region`` (5 rows) have a fixed size
-by definition of the schema and are broadcast explicitly; ``supplier``,
-``part`` and ``customer`` grow with the scale factor, so they are broadcast
-only after ``broadcast_if_small`` has counted them under a row bound, and
-otherwise joined by a shuffle (sort-merge) join.
+by definition of the schema and are broadcast explicitly; how ``supplier``,
+``part`` and ``customer``, which grow with the data, are joined is left to the
+planner's size threshold and adaptive execution.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattflow.operators.joins import broadcast_if_small
 from wattflow.schemas import GENERATION_RAW, REGISTRY_RAW, SMALL_PLANTS_MODE
 
 # FIXED VALUES of the fixture mapping (part type prefix -> fuel label).
@@ -38,13 +36,6 @@ SOURCE_BY_ORDER_STATUS = [("O", "Radiação solar"), ("F", "Eólica")]
 SOURCE_OTHER = "Biomassa"
 
 
-# Tables whose size grows with the data (and their key); fixed-size ones
-# (nation, region) are never spread.
-GROWING = {"lineitem": "l_orderkey", "orders": "o_orderkey", "part": "p_partkey",
-           "supplier": "s_suppkey", "customer": "c_custkey", "pages": "page_id",
-           "documents": "doc_id"}
-
-
 # FIXED VALUES: schemas of the driver tables (read without an inference job).
 TABLE_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -65,36 +56,12 @@ TABLE_SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Scan the needed columns of one driver table; growing tables then go
-    through ``spread`` on their key (after the projection, so the scan still
-    reads only ``cols``)."""
+    """Scan the needed columns of one driver table."""
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
     df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if cols:
-        df = df.select(*cols)
-    key = GROWING.get(name)
-    return spread(df, key) if key and key in df.columns else df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a scan on ``key`` when it has fewer splits than the
-    session has cores (e.g. one file with one row group, which Parquet cannot
-    split). Large inputs, with at least as many splits as cores, are
-    returned untouched. The partition count is ``spark.sql.shuffle.partitions``
-    and every spread table is later joined on this same key, so the join's
-    own shuffle requirement is already met and no exchange is added for it;
-    hashing a key (not round-robin) keeps task retries deterministic."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
-        return df
-    if have >= cores:
-        return df
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key)
+    return df.select(*cols) if cols else df
 
 
 def _mod0(c: str, k: int) -> Column:
@@ -117,8 +84,8 @@ def gen_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     geo = (sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey)
            .join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey))
-    df = (li.join(broadcast_if_small(part), li.l_partkey == part.p_partkey)
-          .join(broadcast_if_small(geo), li.l_suppkey == geo.s_suppkey))
+    df = (li.join(part, li.l_partkey == part.p_partkey)
+          .join(geo, li.l_suppkey == geo.s_suppkey))
 
     fuel = (F.when(F.col("n_name") == F.lit(ALL_RENEWABLE_NATION[0]), F.lit(ALL_RENEWABLE_NATION[1]))
             .when(_mod0("l_partkey", 103), F.lit(None).cast("string")))
@@ -158,7 +125,7 @@ def _reg_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     reg = table(spark, sf_dir, "region", "r_regionkey", "r_name")
     geo = cust.join(F.broadcast(nat), cust.c_nationkey == nat.n_nationkey).join(
         F.broadcast(reg), nat.n_regionkey == reg.r_regionkey)
-    return orders.join(broadcast_if_small(geo), orders.o_custkey == geo.c_custkey)
+    return orders.join(geo, orders.o_custkey == geo.c_custkey)
 
 
 def _reg_columns(power: Column) -> list[Column]:
