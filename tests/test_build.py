@@ -37,3 +37,13 @@ def test_build_enforced_and_reported(spark, tmp_path):
     reg = spark.read.parquet(res.paths["silver_registry"])
     assert {r[0].isoformat() for r in reg.select("snapshot_date").distinct().collect()} == \
         {"2024-02-01"}
+
+
+def test_row_grain_fact_equals_the_pre_aggregated_one(spark):
+    from conftest import SF_SMALL
+    from wattflow.operators import dims, facts
+    from wattflow.plans import registry as R
+    stg = R.stg_gen(spark, SF_SMALL)
+    by_row = facts.monthly_fact(stg.repartition(7), dims.dim_state(stg), dims.dim_source(stg))
+    one_pass = R.fact_gen(spark, SF_SMALL)
+    assert by_row.exceptAll(one_pass).count() == 0 and one_pass.exceptAll(by_row).count() == 0

@@ -47,3 +47,18 @@ def test_surrogate_key_collation(spark):
     glob = {r.f: r.sk for r in dims.surrogate_key(df, ["f"], "sk", method="global",
                                                    collation="UNICODE").collect()}
     assert glob == uni
+
+
+def test_surrogate_key_many_keys_with_other_columns(spark, tmp_path):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    n = 1_000_000
+    df = spark.range(n).select(F.md5(F.col("id").cast("string")).alias("k"),
+                               (F.col("id") * 2).alias("a"), F.concat(F.lit("x"), "id").alias("b"))
+    path = str(tmp_path / "keyed")
+    dims.surrogate_key(df, ["k"], "sk", num_partitions=40).write.parquet(path)
+    back = spark.read.parquet(path)
+    r = back.agg(F.count_distinct("sk").alias("d"), F.min("sk").alias("lo"), F.max("sk").alias("hi")).first()
+    assert (r.d, r.lo, r.hi) == (n, 1, n)
+    want = df.withColumn("want", F.row_number().over(Window.orderBy("k")))
+    assert back.join(want.select("a", "want"), "a").where("sk <> want or b is null").count() == 0

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from wattflow.functions import br_number, classify, flag_in, flag_not_equal, parse_date
-from wattflow.functions.numeric import rounded_mean_cents
+from wattflow.functions.numeric import exact, rounded_mean
 from wattflow.operators.clean import noise_filter, rename_columns
 from wattflow.schemas import (RENEWABLE_FUELS, SMALL_PLANTS_MODE, SOURCE_CATEGORY_DEFAULT,
                               SOURCE_CATEGORY_RULES)
@@ -59,7 +59,7 @@ def test_classifier_accents_and_order(spark):
 
 def test_rounded_mean_half_up(spark):
     df = spark.createDataFrame([(5, 2), (1, 3), (2, 3), (100005, 10)], "s long, n long")
-    got = [r[0] for r in df.select(rounded_mean_cents("s", "n")).collect()]
+    got = [r[0] for r in df.selectExpr("cast(s * 0.01BD as decimal(36,12)) as t", "n").select(rounded_mean("t", "n")).collect()]
     # 2.5 cents -> 0.03; 0.333 -> 0.00; 0.666 -> 0.01; 10000.5 cents -> 100.01
     assert got == [0.03, 0.0, 0.01, 100.01]
 
@@ -67,3 +67,11 @@ def test_rounded_mean_half_up(spark):
 def test_rename_ignores_missing(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert rename_columns(df, {"a": "x", "zz": "y"}).columns == ["x", "b"]
+
+
+def test_exact_sum_keeps_small_amounts_and_any_order(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(0.125,), (0.124,), (0.004,)] + [(0.1,)] * 10, "x double")
+    total = [d.agg(F.sum(exact("x")).cast("double")).first()[0]
+             for d in (df, df.orderBy("x"), df.repartition(5))]
+    assert total == [1.253] * 3

@@ -30,3 +30,20 @@ def test_stream_resumes_from_checkpoint(spark, tmp_path):
     assert back.count() == want.count()
     cols = [c for c in want.columns]
     assert back.select(*cols).exceptAll(want).count() == 0
+
+
+def test_a_period_landed_again_is_there_once(spark, tmp_path):
+    raw = fx.gen_raw(spark, SF_SMALL).where("year(din_instante) = 1996 and month(din_instante) < 4").withColumns({
+        "year": F.date_format("din_instante", "yyyy"),
+        "month": F.date_format("din_instante", "MM")})
+    bronze, out, ckpt = str(tmp_path / "bronze"), str(tmp_path / "silver"), str(tmp_path / "ckpt")
+    land_raw(raw, bronze, partition_cols=["year", "month"])
+    run_silver_generation(spark, bronze, out, ckpt, lineage=False)
+    want = spark.read.parquet(out).count()
+    march = raw.where("month = '03'").drop("year", "month").withColumn("val_geracao", F.col("val_geracao") + 1000)
+    land_raw(march, bronze, {"year": "1996", "month": "03"}, encoding="UTF-8")
+    run_silver_generation(spark, bronze, out, ckpt, lineage=False)
+    back = spark.read.parquet(out)
+    assert back.where("mes < 3").count() + march.count() == back.count()
+    assert back.where("mes = 3 and val_geracao < 900").count() == 0
+    assert back.where("mes < 3").count() < want

@@ -2,10 +2,9 @@
 
 from wattflow.functions.parse import br_number, parse_date
 from wattflow.functions.flags import classify, flag_in, flag_not_equal, any_match
-from wattflow.functions.numeric import (cents, cents_to_units, period_key, ratio_pct,
-                                        round_numeric, rounded_mean_cents)
+from wattflow.functions.numeric import exact, ratio_pct, round_numeric, rounded_mean
 
 __all__ = [
     "br_number", "parse_date", "classify", "flag_in", "flag_not_equal", "any_match",
-    "cents", "cents_to_units", "rounded_mean_cents", "ratio_pct", "round_numeric", "period_key",
+    "exact", "rounded_mean", "ratio_pct", "round_numeric",
 ]

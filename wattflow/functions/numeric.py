@@ -6,29 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+EXACT = "decimal(26,12)"
 
 
-def cents(c) -> Column:
-    """Double amount -> integer hundredths (bigint), so sums are exact."""
-    return F.round(_col(c) * F.lit(100)).cast("bigint")
-
+def _col(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
-def cents_to_units(c) -> Column:
-    """Integer hundredths -> double amount (one conversion at the end)."""
-    return _col(c).cast("double") / F.lit(100.0)
 
+def exact(c) -> Column:
+    """Double amount -> ``decimal(26,12)`` of its shortest decimal form, so
+    sums do not depend on the order of the rows. Amounts of 10^14 and more,
+    and values that are no number, raise."""
+    return _col(c).cast(EXACT)
 
-def rounded_mean_cents(sum_cents: str, n: str) -> Column:
-    """Mean of non-negative cent amounts rounded half-up to 2 decimals.
 
-    ``(2*s + n) div (2*n) / 100`` over two *column names*: integer
-    arithmetic, so the result does not depend on summation order or on the
-    binary rounding of a double mean.
-    """
-    q = F.expr(f"(2 * `{sum_cents}` + `{n}`) div (2 * `{n}`)")
-    return q.cast("double") / F.lit(100.0)
+def rounded_mean(total, n) -> Column:
+    """``total / n`` of an exact total, rounded half away from zero to 2 decimals."""
+    return F.round(_col(total) / _col(n), 2).cast("double")
 
 
 def round_numeric(c, scale: int) -> Column:
@@ -47,8 +41,3 @@ def ratio_pct(num, den, scale: int | None = 2) -> Column:
     d = _col(den)
     pct = _col(num) / F.when(d != 0, d) * F.lit(100)
     return round_numeric(pct, scale) if scale is not None else pct
-
-
-def period_key(year, month) -> Column:
-    """``YYYY_MM`` with a zero-padded month."""
-    return F.format_string("%d_%02d", _col(year), _col(month))

@@ -14,6 +14,7 @@ from wattflow.schemas import (
     SOURCE_CATEGORY_DEFAULT,
     SOURCE_CATEGORY_RULES,
 )
+from wattflow.session import stage
 
 
 def collapse_dim(df: DataFrame, key: str, max_cols: Sequence[str] = (),
@@ -41,8 +42,10 @@ def surrogate_key(df: DataFrame, order_cols: Sequence[str], out: str,
     range-partition on the order columns, sort inside each partition, take
     the position inside the partition from ``monotonically_increasing_id``
     (its upper bits are the partition index, its lower bits the row index),
-    then add the row count of all earlier partitions. The per-partition
-    counts table has one row per partition, so its broadcast is bounded by
+    then add the row count of all earlier partitions. The positioned rows are
+    written once under the shared folder and both uses read that table: two
+    evaluations of a range partitioning may cut at different bounds. The
+    per-partition counts table has one row per partition, so its broadcast is bounded by
     the partition count. ``method="global"`` is the plain single-partition
     window, for tables known to be tiny.
     Order is binary (UTF-8 byte) order, nulls first, as ``ORDER BY`` gives;
@@ -71,6 +74,7 @@ def surrogate_key(df: DataFrame, order_cols: Sequence[str], out: str,
         .withColumn(pos, F.col("__sk_mid") - F.shiftleft(F.col(pid), 33) + F.lit(1))
         .drop("__sk_mid")
     )
+    ranked = stage(ranked, "ranked")
     counts = ranked.groupBy(pid).agg(F.count(F.lit(1)).alias(cnt))
     offsets = counts.select(
         pid,

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattflow.functions import cents, cents_to_units, ratio_pct, rounded_mean_cents
+from wattflow.functions import exact, ratio_pct, rounded_mean
+from wattflow.functions.numeric import EXACT
 
 GENERATION_KEYS = ["sigla_uf", "ano_geracao", "mes_geracao", "fonte_combustivel"]
 # Grain of the shared generation pre-aggregate: every column the monthly fact
@@ -29,12 +30,12 @@ def join_dim(fact: DataFrame, dim: DataFrame, key: str, cols) -> DataFrame:
 
 def pre_aggregate_generation(stg: DataFrame) -> DataFrame:
     """One pass over generation staging at ``GENERATION_PRE_GRAIN``:
-    ``mwh`` (sum of the measure) and ``n`` (rows). Hash aggregation with a
+    ``mwh`` (exact sum of the measure) and ``n`` (rows). Hash aggregation with a
     map-side partial step, so a hot state or month is combined before the
     shuffle. The monthly fact and both dimensions can all be derived from it.
     """
     return stg.groupBy(*GENERATION_PRE_GRAIN).agg(
-        F.sum("geracao_mwh").alias("mwh"), F.count(F.lit(1)).alias("n"))
+        F.sum(exact("geracao_mwh")).alias("mwh"), F.count(F.lit(1)).alias("n"))
 
 
 def monthly_fact(stg: DataFrame, dim_uf: DataFrame, dim_fonte: DataFrame,
@@ -50,14 +51,14 @@ def monthly_fact(stg: DataFrame, dim_uf: DataFrame, dim_fonte: DataFrame,
     if pre_aggregated:
         mwh, rows = F.col("mwh"), F.sum("n")
     else:
-        mwh, rows = F.col("geracao_mwh"), F.count(F.lit(1))
+        mwh, rows = exact("geracao_mwh"), F.count(F.lit(1))
     g = (
         stg.filter(F.col("eh_brasil") == F.lit(True))
         .groupBy(*GENERATION_KEYS)
         .agg(
-            F.sum(mwh).alias("geracao_total_mwh"),
-            F.sum(F.when(F.col("eh_renovavel"), mwh).otherwise(F.lit(0.0)))
-            .alias("geracao_renovavel_mwh"),
+            F.sum(mwh).cast("double").alias("geracao_total_mwh"),
+            F.sum(F.when(F.col("eh_renovavel"), mwh).otherwise(F.lit(0).cast(EXACT)))
+            .cast("double").alias("geracao_renovavel_mwh"),
             F.count_distinct("id_usina").alias("num_usinas_ativas"),
             rows.cast("bigint").alias("num_horas_medidas"),
         )
@@ -75,22 +76,21 @@ def monthly_fact(stg: DataFrame, dim_uf: DataFrame, dim_fonte: DataFrame,
 def capacity_fact(stg: DataFrame, dim_uf: DataFrame) -> DataFrame:
     """New distributed capacity by state x month x source x class x size.
 
-    Power is summed in integer hundredths of kW (exact, order-independent)
-    and converted once; the mean is rounded half-up to 2 places.
+    Power is summed exactly, without rounding single plants, and converted
+    once; the mean is rounded half-up to 2 places.
     """
     c = (
-        stg.withColumn("__cents", cents("potencia_kw"))
-        .groupBy(*CAPACITY_KEYS)
+        stg.groupBy(*CAPACITY_KEYS)
         .agg(
             F.count(F.lit(1)).alias("num_empreendimentos_novos"),
-            F.sum("__cents").alias("__sum_cents"),
+            F.sum(exact("potencia_kw")).alias("__kw"),
         )
     )
     c = join_dim(c, dim_uf, "sigla_uf", ["sk_uf"])
     return c.select(
         *CAPACITY_KEYS,
         "num_empreendimentos_novos",
-        cents_to_units("__sum_cents").alias("potencia_kw_novos"),
-        rounded_mean_cents("__sum_cents", "num_empreendimentos_novos").alias("potencia_media_kw"),
+        F.col("__kw").cast("double").alias("potencia_kw_novos"),
+        rounded_mean("__kw", "num_empreendimentos_novos").alias("potencia_media_kw"),
         "sk_uf",
     )

@@ -65,7 +65,15 @@ def build_marts(spark: SparkSession, silver_gen_path: str, silver_reg_path: str,
     }
     for name in ("stg_generation", "stg_registry"):
         models[name].createOrReplaceTempView(name)
-    results = [suite.run({k: models[k] for k in models}, only=["not_null"])]
+    results: list[DataFrame] = []
+
+    def keep(found: DataFrame) -> None:
+        """Each check runs once: its rows are written, gates and callers read them."""
+        path = f"{out_root}/work/checks/{len(results)}"
+        write_partitioned(found, path)
+        results.append(read_silver(spark, path))
+
+    keep(suite.run({k: models[k] for k in models}, only=["not_null"]))
 
     def written(name: str, df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame | None:
         failing = _failing(quality.union_results(results), list(gates.get(name, [])))
@@ -96,7 +104,7 @@ def build_marts(spark: SparkSession, silver_gen_path: str, silver_reg_path: str,
     for name, df in (("dim_state", d_uf), ("dim_source", d_fonte)):
         if df is not None:
             models[name] = df
-            results.append(table_checks(name, df))
+            keep(table_checks(name, df))
 
     if d_uf is not None and d_fonte is not None:
         # facts are partitioned by year: year slicers of the reports prune files
@@ -117,9 +125,9 @@ def build_marts(spark: SparkSession, silver_gen_path: str, silver_reg_path: str,
 
     for name in ("fact_generation_monthly", "fact_capacity"):
         if name in models:
-            results.append(table_checks(name, models[name]))
-            results += [quality.relationships(models[name], name, c, models[p], pc)
-                        for c, p, pc in suite.relationships.get(name, []) if p in models]
+            keep(quality.union_results([table_checks(name, models[name])] + [
+                quality.relationships(models[name], name, c, models[p], pc)
+                for c, p, pc in suite.relationships.get(name, []) if p in models]))
     res.checks = quality.union_results(results)
     return res
 

@@ -5,45 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from wattflow.operators import dims, facts
+from wattflow.session import stage
 
 
-def stage(df: DataFrame, how: str = "table") -> DataFrame:
-    """Materialise an intermediate once so several consumers share it.
-
-    ``table`` (default): written as Parquet under the session's shared
-    checkpoint folder and read back — one job, lineage cut, survives
-    executor loss, and readers get file sizes for their join planning.
-    ``checkpoint``: ``Dataset.checkpoint`` into the same folder (computes the
-    plan twice unless it is persisted first). ``none``: stay lazy.
-    """
-    if how == "table":
-        from wattflow.session import scratch_path
-        path = scratch_path(df.sparkSession, "stage")
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
-    if how == "checkpoint":
-        return df.checkpoint(eager=True)
-    if how == "none":
-        return df
-    raise ValueError(f"unknown staging mode {how!r}")
-
-
-def generation_marts(stg: DataFrame, how: str = "table",
-                     stage_marts: bool = False) -> dict[str, DataFrame]:
+def generation_marts(stg: DataFrame, stage_fact: bool = False) -> dict[str, DataFrame]:
     """State dimension, fuel dimension and monthly fact from one pre-aggregate.
 
     Each mart reads the staged pre-aggregate (small), not the hourly rows;
-    the three results equal the ones built from staging directly. With
-    ``stage_marts`` the marts themselves are staged too, for callers that
-    read each of them several times (the data checks).
+    the three results equal the ones built from staging directly. Dimensions
+    rest on written tables (their numbered rows); with ``stage_fact`` the fact
+    does too, for callers that read it several times (the data checks).
     """
-    pre = stage(facts.pre_aggregate_generation(stg), how)
-    keep = (lambda df: stage(df, how)) if stage_marts else (lambda df: df)
-    d_uf = keep(dims.dim_state(pre))
-    d_fonte = keep(dims.dim_source(pre))
-    return {
-        "dim_state": d_uf,
-        "dim_source": d_fonte,
-        "fact_generation_monthly": keep(
-            facts.monthly_fact(pre, d_uf, d_fonte, pre_aggregated=True)),
-    }
+    pre = stage(facts.pre_aggregate_generation(stg), "generation-pre")
+    d_uf, d_fonte = dims.dim_state(pre), dims.dim_source(pre)
+    fact = facts.monthly_fact(pre, d_uf, d_fonte, pre_aggregated=True)
+    return {"dim_state": d_uf, "dim_source": d_fonte,
+            "fact_generation_monthly": stage(fact, "fact-generation") if stage_fact else fact}

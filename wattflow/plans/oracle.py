@@ -35,7 +35,7 @@ gen_raw AS (
     s.s_name AS nom_usina,
     CASE WHEN l.l_orderkey % 107 = 0 THEN NULL ELSE CAST(l.l_suppkey AS VARCHAR) END AS id_ons,
     p.p_name AS ceg,
-    CAST(nullif(l.l_quantity - 2, 7) AS DOUBLE) AS val_geracao
+    CAST((nullif(l.l_quantity - 2, 7) * 1000 + l.l_orderkey % 13) / 1000 AS DOUBLE) AS val_geracao
   FROM lineitem l
   JOIN part p ON l.l_partkey = p.p_partkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
@@ -101,8 +101,9 @@ fact_gen AS (
                     AS DECIMAL(38,12)), 2) AS DOUBLE) AS pct_renovavel
   FROM (
     SELECT sigla_uf, ano_geracao, mes_geracao, fonte_combustivel,
-      sum(geracao_mwh) AS geracao_total_mwh,
-      sum(CASE WHEN eh_renovavel THEN geracao_mwh ELSE 0 END) AS geracao_renovavel_mwh,
+      CAST(sum(CAST(geracao_mwh AS DECIMAL(28,6))) AS DOUBLE) AS geracao_total_mwh,
+      CAST(sum(CASE WHEN eh_renovavel THEN CAST(geracao_mwh AS DECIMAL(28,6)) ELSE 0 END)
+           AS DOUBLE) AS geracao_renovavel_mwh,
       CAST(count(DISTINCT id_usina) AS BIGINT) AS num_usinas_ativas,
       CAST(count(*) AS BIGINT) AS num_horas_medidas
     FROM stg_gen WHERE eh_brasil = true
@@ -124,10 +125,17 @@ reg_base AS (
 
 _POWER = """CASE WHEN o_orderkey % 83 = 0 THEN '0,00'
          WHEN o_orderkey % 79 = 0 THEN '1.234,56'
-         ELSE replace(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') END"""
+         WHEN o_orderkey % 73 = 0 THEN '0,004'
+         ELSE replace(CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) + (o_orderkey % 97) * 0.0001
+                                AS DECIMAL(18,4)) AS VARCHAR), '.', ',') END"""
 
 
-def reg_columns(power: str = _POWER) -> str:
+def _exact(c: str) -> str:
+    """Sum of a column that has at most six decimals, without binary noise."""
+    return f"CAST(sum(CAST({c} AS DECIMAL(28,6))) AS DOUBLE)"
+
+
+def reg_columns(power: str = _POWER, prefix: str = 'GD.') -> str:
     """The 33 registry raw columns over ``reg_base``."""
     return f"""
     CAST(NULL AS VARCHAR) AS DatGeracaoConjuntoDados,
@@ -149,7 +157,7 @@ def reg_columns(power: str = _POWER) -> str:
     CAST(NULL AS VARCHAR) AS SigTipoConsumidor,
     CAST(c_custkey AS VARCHAR) AS NumCPFCNPJ,
     c_name AS NomTitularEmpreendimento,
-    'GD.' || CAST(o_orderkey AS VARCHAR) AS CodEmpreendimento,
+    '{prefix}' || CAST(o_orderkey AS VARCHAR) AS CodEmpreendimento,
     CASE WHEN o_orderkey % 89 = 0 THEN NULL
          WHEN o_orderkey % 97 = 0 THEN '05/2024'
          ELSE strftime(o_orderdate, '%Y-%m-%d') END AS DthAtualizaCadastralEmpreend,
@@ -171,13 +179,17 @@ def reg_columns(power: str = _POWER) -> str:
 REG_RAW = REG_BASE + f""",
 reg_raw AS (SELECT {reg_columns()} FROM reg_base)"""
 
-# snapshot 1: rows with key % 10 <> 0; snapshot 2: key % 11 <> 0, power '10,00' when key % 7 = 0
+# snapshot 2: the whole registry, power '10,00' when key % 7 = 0; snapshot 1: without the rows with
+# key % 10 = 0, with one installation of its own for each key % 11 = 0
 REG_SNAPSHOTS = REG_BASE + f""",
 snap1 AS (SELECT DATE '2024-01-01' AS snapshot_date, {reg_columns()}
-          FROM reg_base WHERE o_orderkey % 10 <> 0),
+          FROM reg_base WHERE o_orderkey % 10 <> 0
+          UNION ALL
+          SELECT DATE '2024-01-01' AS snapshot_date, {reg_columns(prefix='OLD.')}
+          FROM reg_base WHERE o_orderkey % 11 = 0),
 snap2 AS (SELECT DATE '2024-02-01' AS snapshot_date,
           {reg_columns("CASE WHEN o_orderkey % 7 = 0 THEN '10,00' ELSE " + _POWER + " END")}
-          FROM reg_base WHERE o_orderkey % 11 <> 0)"""
+          FROM reg_base)"""
 
 
 def silver_reg_select(src: str, extra: str = "") -> str:
@@ -226,14 +238,15 @@ FACT_CAP_BODY = """,
 fact_cap AS (
   SELECT c.sigla_uf, c.ano_conexao, c.mes_conexao, c.fonte_geracao, c.classe_consumo, c.porte,
     c.num_empreendimentos_novos,
-    CAST(c.sum_cents AS DOUBLE) / 100 AS potencia_kw_novos,
-    CAST((2 * c.sum_cents + c.num_empreendimentos_novos) // (2 * c.num_empreendimentos_novos)
-         AS DOUBLE) / 100 AS potencia_media_kw,
+    CAST(c.kw AS DOUBLE) AS potencia_kw_novos,
+    -- kw has six decimals: whole millionths over 10^4 per hundredth, rounded half up
+    CAST((2 * CAST(c.kw * 1000000 AS HUGEINT) + 10000 * c.num_empreendimentos_novos)
+         // (20000 * c.num_empreendimentos_novos) AS DOUBLE) / 100 AS potencia_media_kw,
     u.sk_uf
   FROM (
     SELECT sigla_uf, ano_conexao, mes_conexao, fonte_geracao, classe_consumo, porte,
       CAST(count(*) AS BIGINT) AS num_empreendimentos_novos,
-      CAST(sum(CAST(round(potencia_kw * 100) AS BIGINT)) AS BIGINT) AS sum_cents
+      CAST(sum(CAST(potencia_kw AS DECIMAL(28,6))) AS DECIMAL(30,6)) AS kw
     FROM stg_reg GROUP BY ALL
   ) c
   LEFT JOIN dim_uf u ON c.sigla_uf = u.sigla_uf
@@ -386,82 +399,99 @@ def _pct(num: str, den: str, n: int) -> str:
             f"AS DOUBLE)")
 
 
-_CENTS = "CAST(round(potencia_kw_novos * 100) AS BIGINT)"
+_KW = _exact("potencia_kw_novos")
+_MWH, _REN = _exact("geracao_total_mwh"), _exact("geracao_renovavel_mwh")
 _SOLAR = "fonte_geracao = 'Radiação solar'"
 
-_reg("kpi_total", with_(MARTS, """
-SELECT sum(geracao_total_mwh) AS total_mwh, sum(geracao_total_mwh) / 1e6 AS total_twh
+_reg("kpi_total", with_(MARTS, f"""
+SELECT {_MWH} AS total_mwh, {_MWH} / 1e6 AS total_twh
 FROM fact_gen"""))
 
 _reg("kpi_renewable_pct", with_(MARTS, f"""
-SELECT sum(geracao_renovavel_mwh) AS renovavel_mwh, sum(geracao_total_mwh) AS total_mwh,
-  {_pct('sum(geracao_renovavel_mwh)', 'sum(geracao_total_mwh)', 2)} AS pct_renovavel
+SELECT {_REN} AS renovavel_mwh, {_MWH} AS total_mwh,
+  {_pct(_REN, _MWH, 2)} AS pct_renovavel
 FROM fact_gen"""))
 
 _reg("kpi_capacity", with_(MARTS, f"""
-SELECT CAST(sum({_CENTS}) AS DOUBLE) / 1e8 AS potencia_gw,
+SELECT {_KW} / 1e6 AS potencia_gw,
   CAST(coalesce(sum(num_empreendimentos_novos), 0) AS BIGINT) AS num_empreendimentos
 FROM fact_cap WHERE {_SOLAR}"""))
 
 _BY_STATE = f"""
-SELECT sigla_uf, CAST(round(CAST(sum(geracao_total_mwh) AS DECIMAL(38,12)), 0) AS DOUBLE) AS total_mwh,
-  {_pct('sum(geracao_renovavel_mwh)', 'sum(geracao_total_mwh)', 1)} AS pct_renovavel
+SELECT sigla_uf, CAST(round(CAST({_MWH} AS DECIMAL(38,12)), 0) AS DOUBLE) AS total_mwh,
+  {_pct(_REN, _MWH, 1)} AS pct_renovavel
 FROM fact_gen {{where}} GROUP BY sigla_uf"""
 
 _reg("top_states_renewable", with_(MARTS, _BY_STATE.format(where="") + """
 ORDER BY pct_renovavel DESC NULLS FIRST, sigla_uf ASC NULLS LAST LIMIT 10"""))
 
 _reg("top_states_capacity", with_(MARTS, f"""
-SELECT sigla_uf, CAST(sum({_CENTS}) AS DOUBLE) / 1e8 AS potencia_gw,
+SELECT sigla_uf, {_KW} / 1e6 AS potencia_gw,
   CAST(sum(num_empreendimentos_novos) AS BIGINT) AS num_empreendimentos
 FROM fact_cap WHERE {_SOLAR} GROUP BY sigla_uf
 ORDER BY potencia_gw DESC NULLS FIRST, sigla_uf ASC NULLS LAST LIMIT 10"""))
 
-_reg("states_fully_renewable", with_(MARTS, """
-SELECT sigla_uf, sum(geracao_total_mwh) AS geracao_total_mwh FROM fact_gen GROUP BY sigla_uf
-HAVING sum(geracao_total_mwh) > 0 AND sum(geracao_renovavel_mwh) = sum(geracao_total_mwh)"""))
+_reg("states_fully_renewable", with_(MARTS, f"""
+SELECT sigla_uf, {_MWH} AS geracao_total_mwh FROM fact_gen GROUP BY sigla_uf
+HAVING {_MWH} > 0 AND {_REN} = {_MWH}"""))
 
 _reg("share_by_source", with_(MARTS, f"""
 SELECT categoria_simplificada, geracao_mwh,
-  {_pct('geracao_mwh', 'sum(geracao_mwh) OVER ()', 2)} AS share_pct
-FROM (SELECT d.categoria_simplificada, sum(f.geracao_total_mwh) AS geracao_mwh
+  {_pct('geracao_mwh', 'CAST(sum(CAST(geracao_mwh AS DECIMAL(28,6))) OVER () AS DOUBLE)', 2)} AS share_pct
+FROM (SELECT d.categoria_simplificada, {_exact('f.geracao_total_mwh')} AS geracao_mwh
       FROM fact_gen f LEFT JOIN dim_fonte d ON f.fonte_combustivel = d.fonte_combustivel
       GROUP BY d.categoria_simplificada) s"""))
 
 _reg("capacity_growth", with_(MARTS + f""",
-per AS (SELECT ano_conexao, sum({_CENTS}) AS c,
+per AS (SELECT ano_conexao, CAST(sum(CAST(potencia_kw_novos AS DECIMAL(28,6))) AS DECIMAL(30,6)) AS c,
           CAST(sum(num_empreendimentos_novos) AS BIGINT) AS num_empreendimentos
         FROM fact_cap WHERE {_SOLAR} GROUP BY ano_conexao),
 w AS (SELECT *, first_value(c) OVER (ORDER BY ano_conexao) AS c_first,
         lag(c) OVER (ORDER BY ano_conexao) AS c_prev,
         sum(c) OVER (ORDER BY ano_conexao ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c_acc
       FROM per)""", f"""
-SELECT ano_conexao, CAST(c AS DOUBLE) / 100 AS potencia_kw, num_empreendimentos,
-  CAST(c_acc AS DOUBLE) / 100 AS potencia_acumulada_kw,
-  CAST(round(CAST(c / nullif(c_first, 0) AS DECIMAL(38,12)), 2) AS DOUBLE) AS fator_vs_primeiro_ano,
-  CAST(round(CAST(c / nullif(c_prev, 0) AS DECIMAL(38,12)), 2) AS DOUBLE) AS fator_anual
+SELECT ano_conexao, CAST(c AS DOUBLE) AS potencia_kw, num_empreendimentos,
+  CAST(c_acc AS DOUBLE) AS potencia_acumulada_kw,
+  CAST(round(CAST(CAST(c AS DOUBLE) / nullif(c_first, 0) AS DECIMAL(38,12)), 2) AS DOUBLE) AS fator_vs_primeiro_ano,
+  CAST(round(CAST(CAST(c AS DOUBLE) / nullif(c_prev, 0) AS DECIMAL(38,12)), 2) AS DOUBLE) AS fator_anual
 FROM w"""))
 
 _reg("sliced_report", with_(MARTS, _BY_STATE.format(
     where="WHERE ano_geracao IN (1997, 1998) AND fonte_combustivel IN "
           "('Hidráulica', 'Eólica', 'Fotovoltaica')")))
 
+_reg("sliced_report_state", with_(MARTS, _BY_STATE.format(
+    where="WHERE ano_geracao IN (1995, 1996) AND fonte_combustivel IN ('Hidráulica', 'Nuclear') "
+          "AND sigla_uf IN ('NATION_1', 'NATION_18', 'NATION_7')")))
+
+_reg("sliced_capacity", with_(MARTS, f"""
+SELECT sigla_uf, ano_conexao, {_KW} AS potencia_kw,
+  CAST(sum(num_empreendimentos_novos) AS BIGINT) AS num_empreendimentos
+FROM fact_cap WHERE {_SOLAR} AND ano_conexao IN (1995, 1996)
+  AND sigla_uf IN ('NATION_1', 'NATION_18', 'NATION_7')
+GROUP BY sigla_uf, ano_conexao"""))
+
+_reg("surrogate_key_orders", """
+SELECT 'GD.' || CAST(o_orderkey AS VARCHAR) AS id, o_totalprice, o_orderpriority,
+  CAST(row_number() OVER (ORDER BY 'GD.' || CAST(o_orderkey AS VARCHAR)) AS BIGINT) AS sk
+FROM orders""")
+
 _reg("state_year_capacity", with_(MARTS, f"""
-SELECT sigla_uf, ano_conexao, CAST(sum({_CENTS}) AS DOUBLE) / 100 AS potencia_kw,
+SELECT sigla_uf, ano_conexao, {_KW} AS potencia_kw,
   CAST(sum(num_empreendimentos_novos) AS BIGINT) AS num_empreendimentos
 FROM fact_cap WHERE {_SOLAR} GROUP BY sigla_uf, ano_conexao"""))
 
 _reg("drill_across", with_(MARTS + f""",
 g AS (SELECT sigla_uf, ano_geracao AS ano, mes_geracao AS mes,
-        sum(geracao_total_mwh) AS geracao_total_mwh, sum(geracao_renovavel_mwh) AS geracao_renovavel_mwh
+        {_MWH} AS geracao_total_mwh, {_REN} AS geracao_renovavel_mwh
       FROM fact_gen GROUP BY ALL),
-c AS (SELECT sigla_uf, ano_conexao AS ano, mes_conexao AS mes, sum({_CENTS}) AS cc,
+c AS (SELECT sigla_uf, ano_conexao AS ano, mes_conexao AS mes, {_KW} AS cc,
         CAST(sum(num_empreendimentos_novos) AS BIGINT) AS num_empreendimentos_solar
       FROM fact_cap WHERE {_SOLAR} GROUP BY ALL)""", f"""
 SELECT coalesce(g.sigla_uf, c.sigla_uf) AS sigla_uf, coalesce(g.ano, c.ano) AS ano,
   coalesce(g.mes, c.mes) AS mes, g.geracao_total_mwh, g.geracao_renovavel_mwh,
   {_pct('g.geracao_renovavel_mwh', 'g.geracao_total_mwh', 2)} AS pct_renovavel,
-  CAST(c.cc AS DOUBLE) / 100 AS potencia_solar_kw, c.num_empreendimentos_solar
+  c.cc AS potencia_solar_kw, c.num_empreendimentos_solar
 FROM g FULL OUTER JOIN c ON g.sigla_uf = c.sigla_uf AND g.ano = c.ano AND g.mes = c.mes"""))
 
 

@@ -12,7 +12,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattflow.operators import dims, facts, silver, staging
+from wattflow.operators import dims, facts, reports, silver, staging
+from wattflow.schemas import SOLAR_SOURCE
 from wattflow.sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -90,9 +91,8 @@ def q_generation_marts(spark, sf_dir):
 
 @register("fact_generation_monthly")
 def q_fact_generation_monthly(spark, sf_dir):
-    """Monthly fact straight from staging (row grain, no staging step)."""
-    stg = stg_gen(spark, sf_dir)
-    return facts.monthly_fact(stg, dims.dim_state(stg), dims.dim_source(stg))
+    """Monthly fact of the one-pass build."""
+    return fact_gen(spark, sf_dir)
 
 
 @register("silver_registry")
@@ -189,11 +189,12 @@ class _OnDemand(Mapping):
 
 def models(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """The six checked models: staging lazily (each check scan is fused); the
-    generation marts derived from the staged pre-aggregate (cheap to re-derive
-    for each check); the capacity fact staged once, since re-deriving it would
+    generation marts derived from the staged pre-aggregate and written once;
+    the capacity fact staged once, since re-deriving it would
     rescan the registry for every check that reads it. Models are built on
     first access, so e.g. the key checks never stage the capacity fact."""
-    from wattflow.plans.marts import generation_marts, stage
+    from wattflow.plans.marts import generation_marts
+    from wattflow.session import stage
     cache: dict[str, object] = {}
 
     def stg_g():
@@ -208,7 +209,7 @@ def models(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
 
     def marts():
         if "marts" not in cache:
-            cache["marts"] = generation_marts(stg_g())
+            cache["marts"] = generation_marts(stg_g(), stage_fact=True)
         return cache["marts"]
 
     return _OnDemand({
@@ -277,50 +278,42 @@ def q_dq_gate(spark, sf_dir):
 
 @register("kpi_total")
 def q_kpi_total(spark, sf_dir):
-    from wattflow.operators import reports
     return reports.kpi_total(fact_gen(spark, sf_dir))
 
 
 @register("kpi_renewable_pct")
 def q_kpi_renewable_pct(spark, sf_dir):
-    from wattflow.operators import reports
     return reports.kpi_renewable_pct(fact_gen(spark, sf_dir))
 
 
 @register("kpi_capacity")
 def q_kpi_capacity(spark, sf_dir):
-    from wattflow.operators import reports
     return reports.kpi_capacity(fact_cap(spark, sf_dir))
 
 
 @register("top_states_renewable")
 def q_top_states_renewable(spark, sf_dir):
-    from wattflow.operators import reports
     return reports.top_states_renewable(fact_gen(spark, sf_dir), 10)
 
 
 @register("top_states_capacity")
 def q_top_states_capacity(spark, sf_dir):
-    from wattflow.operators import reports
     return reports.top_states_capacity(fact_cap(spark, sf_dir), 10)
 
 
 @register("states_fully_renewable")
 def q_states_fully_renewable(spark, sf_dir):
-    from wattflow.operators import reports
     return reports.states_fully_renewable(fact_gen(spark, sf_dir))
 
 
 @register("share_by_source")
 def q_share_by_source(spark, sf_dir):
-    from wattflow.operators import reports
     m = marts_gen(spark, sf_dir)
     return reports.share_by_source(m["fact_generation_monthly"], m["dim_source"])
 
 
 @register("capacity_growth")
 def q_capacity_growth(spark, sf_dir):
-    from wattflow.operators import reports
     return reports.capacity_growth(fact_cap(spark, sf_dir))
 
 
@@ -331,7 +324,6 @@ SLICE_FUELS = ["Hidráulica", "Eólica", "Fotovoltaica"]
 
 @register("sliced_report")
 def q_sliced_report(spark, sf_dir):
-    from wattflow.operators import reports
     sliced = reports.slice_generation(fact_gen(spark, sf_dir), years=SLICE_YEARS,
                                       fuels=SLICE_FUELS)
     return reports.by_state_renewable(sliced)
@@ -339,18 +331,42 @@ def q_sliced_report(spark, sf_dir):
 
 @register("state_year_capacity")
 def q_state_year_capacity(spark, sf_dir):
-    from wattflow.operators import reports
     return reports.state_year_capacity(fact_cap(spark, sf_dir))
 
 
 @register("drill_across")
 def q_drill_across(spark, sf_dir):
-    from wattflow.operators import reports
     m = marts_gen(spark, sf_dir)
     return reports.drill_across(m["fact_generation_monthly"],
                                 fact_cap(spark, sf_dir, m["dim_state"]))
 
 
+@register("sliced_report_state")
+def q_sliced_report_state(spark, sf_dir):
+    """State table under year, fuel and state slicers together."""
+    return reports.by_state_renewable(reports.slice_generation(
+        fact_gen(spark, sf_dir), years=[1995, 1996], fuels=["Hidráulica", "Nuclear"],
+        states=["NATION_1", "NATION_18", "NATION_7"]))
+
+
+@register("sliced_capacity")
+def q_sliced_capacity(spark, sf_dir):
+    """Capacity per state and year under year, source and state slicers."""
+    cap = reports.slice_capacity(fact_cap(spark, sf_dir), years=[1995, 1996], sources=[SOLAR_SOURCE],
+                                 states=["NATION_1", "NATION_18", "NATION_7"])
+    return reports.state_year_capacity(cap)
+
+
+@register("surrogate_key_orders")
+def q_surrogate_key_orders(spark, sf_dir):
+    """Every order numbered by its text key."""
+    from pyspark.sql import functions as F
+    orders = fx.table(spark, sf_dir, "orders", "o_orderkey", "o_totalprice", "o_orderpriority")
+    keyed = orders.select(F.concat(F.lit("GD."), F.col("o_orderkey").cast("string")).alias("id"),
+                          "o_totalprice", "o_orderpriority")
+    return dims.surrogate_key(keyed, ["id"], "sk")
+
+
 # -- physical layer: files, tables, landings, snapshots, streams --------------
 
 def _land_generation(spark: SparkSession, sf_dir: str) -> str:

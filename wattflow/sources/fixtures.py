@@ -68,9 +68,9 @@ def _mod0(c: str, k: int) -> Column:
     return (F.col(c) % F.lit(k)) == F.lit(0)
 
 
-def _br_text(c: Column) -> Column:
-    """Number -> 2-decimal text with a decimal comma (e.g. ``-12,30``)."""
-    return F.translate(c.cast("decimal(18,2)").cast("string"), ".", ",")
+def _br_text(c: Column, scale: int = 2) -> Column:
+    """Number -> text with a decimal comma (e.g. ``-12,30``)."""
+    return F.translate(c.cast(f"decimal(18,{scale})").cast("string"), ".", ",")
 
 
 def gen_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,8 @@ def gen_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_mod0("l_orderkey", 107), F.lit(None).cast("string"))
         .otherwise(F.col("l_suppkey").cast("string")).alias("id_ons"),
         F.col("p_name").alias("ceg"),
-        F.nullif(F.col("l_quantity") - F.lit(2), F.lit(7.0)).alias("val_geracao"),
+        ((F.nullif(F.col("l_quantity") - F.lit(2), F.lit(7.0)) * F.lit(1000) + F.col("l_orderkey") % 13)
+         / F.lit(1000)).alias("val_geracao"),
     )
     return out.select(*[F.col(f.name).cast(f.dataType) for f in GENERATION_RAW.fields])
 
@@ -128,12 +129,12 @@ def _reg_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(geo, orders.o_custkey == geo.c_custkey)
 
 
-def _reg_columns(power: Column) -> list[Column]:
+def _reg_columns(power: Column, prefix: str = "GD.") -> list[Column]:
     source = F.lit(SOURCE_OTHER)
     for status, label in reversed(SOURCE_BY_ORDER_STATUS):
         source = F.when(F.col("o_orderstatus") == status, F.lit(label)).otherwise(source)
     given = {
-        "CodEmpreendimento": F.concat(F.lit("GD."), F.col("o_orderkey").cast("string")),
+        "CodEmpreendimento": F.concat(F.lit(prefix), F.col("o_orderkey").cast("string")),
         "SigUF": F.when(_mod0("o_orderkey", 101), F.lit(None).cast("string")).otherwise(F.col("n_name")),
         "DthAtualizaCadastralEmpreend": F.when(_mod0("o_orderkey", 89), F.lit(None).cast("string"))
         .when(_mod0("o_orderkey", 97), F.lit("05/2024"))
@@ -156,7 +157,9 @@ def _reg_columns(power: Column) -> list[Column]:
 def _reg_power() -> Column:
     return (F.when(_mod0("o_orderkey", 83), F.lit("0,00"))
             .when(_mod0("o_orderkey", 79), F.lit("1.234,56"))
-            .otherwise(_br_text(F.col("o_totalprice"))))
+            .when(_mod0("o_orderkey", 73), F.lit("0,004"))
+            .otherwise(_br_text(F.col("o_totalprice").cast("decimal(18,2)")
+                                + (F.col("o_orderkey") % 97).cast("decimal(18,4)") * F.expr("0.0001BD"), 4)))
 
 
 def reg_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,9 +167,12 @@ def reg_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reg_base(spark, sf_dir).select(*_reg_columns(_reg_power()))
 
 
-# Two registry snapshots: (snapshot date, rows absent when key % k = 0,
-# power replaced by '10,00' when key % j = 0 (None: unchanged)).
-SNAPSHOTS = [("2024-01-01", 10, None), ("2024-02-01", 11, 7)]
+# Two registry snapshots: (snapshot date, rows absent when key % k = 0 (None:
+# the whole registry), power replaced by '10,00' when key % j = 0 (None:
+# unchanged)). The older one also has an installation of its own for each
+# key % GONE = 0, which the newer one no longer lists.
+SNAPSHOTS = [("2024-01-01", 10, None), ("2024-02-01", None, 7)]
+GONE = 11
 
 
 def reg_snapshot(spark: SparkSession, sf_dir: str, which: int) -> DataFrame:
@@ -175,8 +181,11 @@ def reg_snapshot(spark: SparkSession, sf_dir: str, which: int) -> DataFrame:
     power = _reg_power()
     if change_mod is not None:
         power = F.when(_mod0("o_orderkey", change_mod), F.lit("10,00")).otherwise(power)
-    base = _reg_base(spark, sf_dir).filter(~_mod0("o_orderkey", absent_mod))
-    return base.select(*_reg_columns(power))
+    base = _reg_base(spark, sf_dir)
+    if absent_mod is None:
+        return base.select(*_reg_columns(power))
+    kept = base.filter(~_mod0("o_orderkey", absent_mod)).select(*_reg_columns(power))
+    return kept.unionByName(base.filter(_mod0("o_orderkey", GONE)).select(*_reg_columns(power, "OLD.")))
 
 
 def catalogue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

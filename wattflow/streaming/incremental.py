@@ -1,21 +1,22 @@
-"""Incremental bronze -> silver: each landed file is processed exactly once.
+"""Incremental bronze -> silver: each landed period is refreshed when it changes.
 
 The monthly landing of the hourly generation (one new ``year=/month=``
 directory per run) maps onto a Structured Streaming file source: the
-checkpoint records which files were processed, the Parquet file sink commits
-output atomically through its ``_spark_metadata`` log, and
-``availableNow`` processes everything landed since the last run and stops.
-A lost executor or a killed run resumes from the checkpoint without
-duplicates or gaps.
+checkpoint records which files were seen, ``availableNow`` handles everything
+landed since the last run and stops, and the periods those files belong to
+are overwritten in silver.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from wattflow.operators.silver import silver_generation
 from wattflow.schemas import GENERATION_RAW, GENERATION_SILVER_PARTITIONS
+from wattflow.sinks import write_partitioned
+from wattflow.sources.delimited import read_generation_bronze
 
 
 def generation_stream(spark: SparkSession, bronze_root: str,
@@ -32,14 +33,24 @@ def generation_stream(spark: SparkSession, bronze_root: str,
 
 def run_silver_generation(spark: SparkSession, bronze_root: str, silver_root: str,
                           checkpoint: str, lineage: bool = True) -> None:
-    """Process all newly landed bronze files into the partitioned silver table."""
-    silver = silver_generation(generation_stream(spark, bronze_root), lineage=lineage)
-    query = (silver.writeStream.format("parquet")
+    """Refresh the silver periods that files landed in since the last run.
+
+    A landing folder holds one period. Each touched one is read again as a
+    whole and replaces its silver partition, so a period that is landed anew
+    (the landing replaces it) is there once, and a batch that runs again after
+    a failure changes nothing.
+    """
+    def refresh(batch: DataFrame, _: int) -> None:
+        touched = batch.select("year", "month").distinct()
+        landed = read_generation_bronze(spark, bronze_root).join(
+            F.broadcast(touched), ["year", "month"], "left_semi")  # one row a month
+        write_partitioned(silver_generation(landed, lineage=lineage), silver_root,
+                          GENERATION_SILVER_PARTITIONS, dynamic=True)
+
+    query = (generation_stream(spark, bronze_root).writeStream.foreachBatch(refresh)
              .option("checkpointLocation", checkpoint)
-             .partitionBy(*GENERATION_SILVER_PARTITIONS)
-             .outputMode("append")
              .trigger(availableNow=True)
-             .start(silver_root))
+             .start())
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
