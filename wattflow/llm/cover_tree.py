@@ -29,6 +29,8 @@ class CoverTree:
     Every point lies within a level's radius of its centre; centres of a level
     lie further apart than that, and each belongs to a node of the level
     above. ``radius`` is the true covering radius, over all points below.
+    The distances within ``x`` are held as one matrix while the tree is built:
+    trees are made of one block or one batch of visitors.
     """
 
     def __init__(self, x: np.ndarray):
@@ -36,15 +38,16 @@ class CoverTree:
         self.levels = []  # (centres, radius, starts of children, children) from the top
         owner = np.zeros(len(x), np.int64)  # one root
         n_parents = 1
-        self.root_children: list[tuple[np.ndarray, np.ndarray]] = []
+        apart = distance(x @ x.T)
         for r in RADII:
             centre = np.empty(len(x), np.int64)
             picked, parent = [], []
-            for p in range(n_parents):
-                free = np.flatnonzero(owner == p)
+            held = np.argsort(owner, kind="stable")
+            ends = np.cumsum(np.bincount(owner, minlength=n_parents))
+            for p, (lo, hi) in enumerate(zip([0, *ends], ends)):
+                free = held[lo:hi]
                 while len(free):
-                    d = distance(x[free] @ x[free[0]])
-                    near = d <= r
+                    near = apart[free[0], free] <= r
                     near[0] = True
                     centre[free[near]] = len(picked)
                     picked.append(free[0])
