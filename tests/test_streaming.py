@@ -44,6 +44,7 @@ def test_a_period_landed_again_is_there_once(spark, tmp_path):
     land_raw(march, bronze, {"year": "1996", "month": "03"}, encoding="UTF-8")
     run_silver_generation(spark, bronze, out, ckpt, lineage=False)
     back = spark.read.parquet(out)
-    assert back.where("mes < 3").count() + march.count() == back.count()
+    again = silver_generation(march, lineage=False).count()
+    assert back.where("mes < 3").count() + again == back.count()
     assert back.where("mes = 3 and val_geracao < 900").count() == 0
     assert back.where("mes < 3").count() < want
