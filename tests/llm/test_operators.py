@@ -202,6 +202,21 @@ def test_packing(request, which):
         assert at <= 1024
 
 
+def test_packing_of_long_blank_runs(spark):
+    """Two million blanks, line ends or both in one text: every row comes out, with the library's ids."""
+    texts = {1: "one " + " " * 2_000_000 + "two", 2: "a" + "\n" * 2_000_000 + "b\u00e9", 3: " \r\n\t" * 500_000,
+             4: "x<|endoftext|>" + "\u3000" * 1_100_000 + "<|endoftext|> y", 5: "plain words", 6: " " * 500_001}
+    df = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    t = Tokenizer.from_file(registry.BYTE_BPE)
+    want = {}
+    for d, text in texts.items():
+        ids = np.array([*t.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        want |= {(d, p, s, n): zlib.crc32(ids[s:s + n].tobytes()) for p, (s, n) in enumerate(packing.cut(len(ids), 1024))}
+    got = packing.pack_documents(df, registry.BYTE_BPE).collect()
+    assert len(got) == len(want)
+    assert {(r.doc_id, r.piece, r.start, r.length): r.ids_crc32 for r in got} == want
+
+
 @pytest.mark.parametrize("seed", range(15))
 def test_bin_completion(seed):
     rnd = random.Random(seed)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -13,9 +14,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattflow.llm.bpe import BYTE_CHARS, Vocabulary
+from wattflow.llm.bpe import BYTE_CHARS, Vocabulary, WordEncoder, vocabulary
+from wattflow.llm.common import ragged
 from wattflow.session import stage
 
+#: tiktoken's pattern engine gives up on runs of more than 1,000,000 blanks;
+#: texts with a run of more than half of that go to the package's own encoder.
+MAX_BLANKS = 500_000
 Pattern = tuple[tuple[int, int], ...]  # ((length, times in a sequence), ...), longest first
 
 
@@ -31,6 +36,19 @@ def token_encoder(path: str) -> tiktoken.Encoding:
                              special_tokens=v.special)
 
 
+def token_ids(path: str, text: str) -> np.ndarray:
+    """Ids (unsigned 32-bit) of a whole text of any length, special tokens'
+    strings included, none added."""
+    if len(text) > MAX_BLANKS and any(m.end() - m.start() > MAX_BLANKS
+                                      for m in re.finditer(r"\s+", text)):
+        enc = WordEncoder(vocabulary(path))  # not the cached one: such words are too large to keep
+        pieces = enc.v.pieces(text)
+        words = np.fromiter(map(enc.__getitem__, pieces), np.int64, len(pieces))
+        enc.flush()
+        return enc.ids[ragged(enc.start[words], enc.length[words])].astype("<u4")
+    return token_encoder(path).encode_to_numpy(text, allowed_special="all").astype("<u4")
+
+
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: all full but perhaps the first."""
     if n <= capacity:
@@ -200,13 +218,11 @@ def pack_documents(df: DataFrame, tokenizer_path: str, capacity: int = 1024, end
     """
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pid = TaskContext.get().partitionId()
-        encode = token_encoder(tokenizer_path).encode_to_numpy
         seen = np.zeros(capacity + 1, np.int64)
         for b in batches:
             doc, piece, start, length, crc, raw = [], [], [], [], [], []
             for row, text in enumerate(b.column(1)):
-                ids = encode(text.as_py() or "", allowed_special="all")
-                ids = np.append(ids.astype("<u4"), np.uint32(end_id))
+                ids = np.append(token_ids(tokenizer_path, text.as_py() or ""), np.uint32(end_id))
                 for p, (s, n) in enumerate(cut(len(ids), capacity)):
                     part = ids[s:s + n]
                     doc.append(row)
