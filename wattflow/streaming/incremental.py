@@ -9,15 +9,21 @@ are overwritten in silver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+import operator
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from wattflow.operators.silver import silver_generation
-from wattflow.schemas import GENERATION_RAW, GENERATION_SILVER_PARTITIONS
+from wattflow.schemas import GENERATION_RAW
 from wattflow.sinks import write_partitioned
 from wattflow.sources.delimited import read_generation_bronze
 
+#: The landing period: partitions of the landing and of the streamed silver.
+PERIOD = ["year", "month"]
+
 
 def generation_stream(spark: SparkSession, bronze_root: str,
                       max_files_per_trigger: int | None = None) -> DataFrame:
@@ -31,21 +37,40 @@ def generation_stream(spark: SparkSession, bronze_root: str,
     return reader.csv(bronze_root)
 
 
+def _in_periods(periods: list[tuple[int | None, int | None]]) -> Column:
+    """Rows of these landing periods; a literal filter, so only they are read."""
+    return functools.reduce(operator.or_, [
+        F.col("year").eqNullSafe(y) & F.col("month").eqNullSafe(m) for y, m in periods])
+
+
 def run_silver_generation(spark: SparkSession, bronze_root: str, silver_root: str,
                           checkpoint: str, lineage: bool = True) -> None:
     """Refresh the silver periods that files landed in since the last run.
 
-    A landing folder holds one period. Each touched one is read again as a
-    whole and replaces its silver partition, so a period that is landed anew
-    (the landing replaces it) is there once, and a batch that runs again after
-    a failure changes nothing.
+    A landing folder holds one period (the null one holds rows without an
+    instant), and silver is partitioned by that same period, not by ``ano`` and
+    ``mes`` of the rows: a folder may hold rows without a readable instant or
+    of other months. Each touched folder is read again as a whole and replaces
+    its silver partition and no other, so a period that is landed anew (the
+    landing replaces it) is there once, and a batch that runs again after a
+    failure changes nothing.
     """
     def refresh(batch: DataFrame, _: int) -> None:
-        touched = batch.select("year", "month").distinct()
-        landed = read_generation_bronze(spark, bronze_root).join(
-            F.broadcast(touched), ["year", "month"], "left_semi")  # one row a month
-        write_partitioned(silver_generation(landed, lineage=lineage), silver_root,
-                          GENERATION_SILVER_PARTITIONS, dynamic=True)
+        touched = [tuple(r) for r in batch.select(*PERIOD).distinct().collect()]  # one row a month
+        if not touched:
+            return
+        landed = read_generation_bronze(spark, bronze_root).withColumns(
+            {c: F.col(c).cast("int") for c in PERIOD}).where(_in_periods(touched))
+        silver = silver_generation(landed, lineage=lineage)
+        left = {tuple(r) for r in silver.select(*PERIOD).distinct().collect()}  # noise may be all of one
+        if left:
+            write_partitioned(silver, silver_root, PERIOD, dynamic=True)
+        # a dynamic overwrite leaves partitions without new rows as they were
+        for period in set(touched) - left:
+            folder = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"
+                              for c, v in zip(PERIOD, period))
+            spark.createDataFrame([], silver.drop(*PERIOD).schema).write.mode("overwrite").parquet(
+                f"{silver_root}/{folder}")
 
     query = (generation_stream(spark, bronze_root).writeStream.foreachBatch(refresh)
              .option("checkpointLocation", checkpoint)
