@@ -233,6 +233,13 @@ def test_bin_completion(seed):
     assert -(-sum(items) // 20) <= n <= sum(t for _, t in packing.best_fit(counts, 20))
 
 
+@pytest.mark.parametrize("size", [5, 10, 11])
+def test_a_last_document_closes_its_branch(size):
+    """What remains is one document, however small: its sequence is a filling."""
+    left = np.bincount([size], minlength=21).astype(np.int64)
+    assert packing.completions(left, size, 20, 3, 400) == [((size, 1),)]
+
+
 def test_chat(spark, odd):
     conv = read_table(spark, SF, "conversations")
     more = spark.createDataFrame([(None, 1, None, None), (-1, 0, "system", "s" * 50), (-1, 1, "user", None),

@@ -85,12 +85,14 @@ def _take(left: np.ndarray, filling: Pattern) -> tuple[Pattern, int]:
 
 
 def completions(left: np.ndarray, size: int, capacity: int, width: int, steps: int) -> list[Pattern]:
-    """Undominated fillings around one document of the largest length.
+    """Some undominated fillings around one document of the largest length.
 
     Depth first over shorter lengths, longest first. A filling is dominated
     if a remaining document still fits beside it or one of its documents can
     be exchanged for a longer one that fits; only maximal fillings are kept
-    and of those the ``width`` with least waste. At most ``steps`` nodes.
+    and of those the ``width`` with least waste. Not all are seen: the search
+    ends after ``steps`` nodes, ``8 * width + 1`` fillings or the first without
+    waste.
     """
     sizes = _fitting(left, size, capacity)
     found: dict[Pattern, int] = {}
@@ -116,7 +118,7 @@ def completions(left: np.ndarray, size: int, capacity: int, width: int, steps: i
                 extend(i + 1, room - k * s, [(s, k + 1), *filling[1:]])
             elif k:
                 extend(i + 1, room - k * s, [*filling, (s, k)])
-            elif room >= s and i + 1 < len(sizes):
+            elif i + 1 < len(sizes) or not most:  # else a document that still fits is left out
                 extend(i + 1, room, filling)
             if budget[0] < 0 or (found and min(found.values()) == 0):
                 return
@@ -127,16 +129,18 @@ def completions(left: np.ndarray, size: int, capacity: int, width: int, steps: i
 
 def bin_completion(counts: np.ndarray, capacity: int, nodes: int = 4000, width: int = 3,
                    steps: int = 400) -> list[tuple[Pattern, int]]:
-    """Fewest sequences for a histogram of lengths, as (filling, times).
-
-    Branch and bound: a node fills sequences around the longest remaining
-    length, branching over the undominated fillings, least waste first; a
-    filling is applied as often as the counts allow, so the depth depends on
-    the distinct lengths and not on the number of documents. A branch is
-    pruned when its waste so far leaves no room to beat the incumbent
-    (sequences used + ceil(remaining tokens / capacity)); the first incumbent,
-    and one more at every node, is best-fit decreasing on what remains. Ends
-    at the waste bound or after ``nodes`` nodes, with the best plan found.
+    """Few sequences for a histogram of lengths, as (filling, times).
+
+    Branch and bound over a beam: a node fills sequences around the longest
+    remaining length, branching over the fillings of ``completions`` (at most
+    ``width``), least waste first; a filling is applied as often as the counts
+    allow and no less often, so the depth depends on the distinct lengths and
+    not on the number of documents. A branch is pruned when its waste so far
+    leaves no room to beat the incumbent (sequences used + ceil(remaining
+    tokens / capacity)); the first incumbent, and one more at every 16th node,
+    is best-fit decreasing on what remains. Ends at the waste bound or after
+    ``nodes`` nodes, with the best plan found; short of the bound that plan
+    need not be the best there is.
     """
     weights = np.arange(len(counts), dtype=np.int64)
     bound = -(-int((counts * weights).sum()) // capacity)
