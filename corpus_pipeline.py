@@ -17,7 +17,8 @@ from wattflow.session import stage
 
 #: Near duplicates: five-word shingles, similarity of 0.8 or more.
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
-#: Bytes from which a repeated passage is cut: a passage of 50 words is longer.
+#: Bytes from which a repeated passage is cut. Most passages of 50 words are
+#: longer; one of short words can be shorter and then stays.
 REPEAT_BYTES = 250
 #: Language predictions below this score are rejected as unknown.
 LEAST_LANGUAGE_SCORE = 0.35
