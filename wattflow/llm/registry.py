@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattflow.llm import (bpe, chat, cover_tree, language_id, ngram_jaccard, packing, quality_rules,
-                          repeats, sharding, toxicity)
+from wattflow.llm import (bpe, chat, cover_tree, language_id, ngram_jaccard, packing, periodic_runs,
+                          piece_bpe, quality_rules, repeats, sharding, toxicity)
 from wattflow.llm.common import read_table
 
-#: Folder of the tokenizer files; the same path on every machine.
-TOKENIZERS = os.environ.get("LLM_TOKENIZERS_DIR", "/opt/tokenizers")
-BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
+#: Files of public tokenizers; the same paths on every machine.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,8 +58,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_query(read_table(spark, sf_dir, "documents"))
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.pieces_query(read_table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.runs_query(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_formatting, op2_toxicity, op3_sharding, op4_ngram_jaccard,
                             op5_bpe, op6_language_id, op7_embedding_near_dedup,
-                            op8_suffix_array_dedup, op9_packing, op10_quality_rules)}
+                            op8_suffix_array_dedup, op9_packing, op10_quality_rules,
+                            op12_sentencepiece, op13_periodic_runs)}
 ORACLE: dict[str, str] = {}
