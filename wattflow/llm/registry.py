@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattflow.llm import (bpe, chat, cover_tree, language_id, ngram_jaccard, packing, periodic_runs,
-                          piece_bpe, quality_rules, repeats, sharding, toxicity)
+from wattflow.llm import (bpe, chat, collocations, cover_tree, language_id, ngram_jaccard, oracle, packing,
+                          periodic_runs, piece_bpe, quality_rules, repeats, sharding, toxicity)
 from wattflow.llm.common import read_table
 
 #: Files of public tokenizers; the same paths on every machine.
@@ -58,6 +58,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_query(read_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.pieces_query(read_table(spark, sf_dir, "documents"), PIECE_BPE)
 
@@ -70,5 +74,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_formatting, op2_toxicity, op3_sharding, op4_ngram_jaccard,
                             op5_bpe, op6_language_id, op7_embedding_near_dedup,
                             op8_suffix_array_dedup, op9_packing, op10_quality_rules,
-                            op12_sentencepiece, op13_periodic_runs)}
-ORACLE: dict[str, str] = {}
+                            op11_collocations, op12_sentencepiece, op13_periodic_runs)}
+ORACLE: dict[str, str] = {"op11_collocations": oracle.collocations()}
