@@ -7,8 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattflow.llm.common import prepare
@@ -20,163 +21,209 @@ PIECE_ENDS = re.compile(rb"[.,;:!?\x0A-\x0D]")
 
 LONGEST = 4
 BLOCK_WORDS = 500_000
-_LISTS = "place array<int>, word array<int>"
+#: Bits of a filter of frequent groups; its size does not depend on the input.
+FILTER_BITS = 26
+RELATION = "block long, lang string, words array<string>, step array<int>, word array<int>, starts array<boolean>"
 
 
 class _Block:
-    """Occurrences of one language: words numbered in order of appearance,
-    and their places. Places of one piece follow each other; one is left out
-    between pieces, so that next-door places always lie in one piece."""
+    """Occurrences of words of one language in order of piece and position.
+
+    ``words`` are the distinct ones; ``word`` numbers each occurrence's, and
+    ``place`` its position: one more than the last inside a piece, two or more
+    across pieces. ``starts`` tells where a phrase of the relation begins.
+    """
 
     def __init__(self, lang: str):
-        self.lang, self.number, self.words, self.sizes = lang, {}, [], []
+        self.lang, self.number, self.sizes, self.said = lang, {}, [], []
 
     def add(self, text: bytes) -> None:
         number = self.number
         for piece in PIECE_ENDS.split(text.translate(UPPER)):
-            words = piece.replace(b"\t", b" ").split(b" ") if piece else ()
-            before = len(self.words)
-            self.words += [number.setdefault(w, len(number)) for w in words if w]
-            if len(self.words) > before:
-                self.sizes.append(len(self.words) - before)
+            before = len(self.said)
+            self.said += [number.setdefault(w, len(number)) for w in piece.replace(b"\t", b" ").split(b" ") if w]
+            if len(self.said) > before:
+                self.sizes.append(len(self.said) - before)
+
+    def close(self) -> _Block:
+        self.word, self.words = np.array(self.said, np.int32), list(self.number)
+        step = np.ones(len(self.word), np.int32)
+        step[np.cumsum(self.sizes)[:-1]] = 2
+        self.place, self.starts = np.cumsum(step), np.ones(len(self.word), bool)
+        return self
+
+    @staticmethod
+    def read(b: pa.RecordBatch, i: int) -> _Block:
+        out = _Block(b.column("lang")[i].as_py())
+        out.words = b.column("words")[i].values.cast(pa.binary()).to_pylist()
+        out.word = b.column("word")[i].values.to_numpy()
+        out.place = np.cumsum(b.column("step")[i].values.to_numpy())
+        out.starts = b.column("starts")[i].values.to_numpy(zero_copy_only=False)
+        return out
 
     def row(self, block: int) -> pa.RecordBatch:
-        word = np.array(self.words, np.int32)
-        gaps = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        count = np.bincount(word, minlength=len(self.number))
-        lists = [pa.array(list(self.number), pa.binary()).cast(pa.string()), pa.array(count),
-                 pa.array((np.arange(len(word)) + gaps).astype(np.int32)), pa.array(word)]
+        lists = [pa.array(self.words, pa.binary()).cast(pa.string()),
+                 pa.array(np.diff(self.place, prepend=0).astype(np.int32)), pa.array(self.word),
+                 pa.array(self.starts)]
         return pa.RecordBatch.from_arrays(
             [pa.array([block]), pa.array([self.lang]),
              *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]],
-            names=["block", "lang", "words", "counts", "place", "word"])
+            names=["block", "lang", "words", "step", "word", "starts"])
+
+    def longer(self) -> np.ndarray:
+        """Merge join of the relation with itself at the next position: where
+        the occurrences begin that are one word longer."""
+        s = self.starts
+        return np.flatnonzero(s[:-1] & s[1:] & (self.place[1:] == self.place[:-1] + 1))
+
+    def hashes(self, at: np.ndarray, length: int) -> np.ndarray:
+        """64-bit hashes of the phrases of ``length`` words that begin at ``at``."""
+        salt = self.lang.encode("utf-8") + b" "
+        of = np.fromiter((xxhash.xxh64_intdigest(salt + w) for w in self.words), np.uint64, len(self.words))
+        h = np.zeros(len(at), np.uint64)
+        for j in range(length):
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + of[self.word[at + j]]
+        return h
+
+    def keep(self, at: np.ndarray, length: int) -> _Block:
+        """The relation of the phrases of ``length`` words that begin at ``at``."""
+        out = _Block(self.lang)
+        starts, used = np.zeros(len(self.word), bool), np.zeros(len(self.word) + length, bool)
+        starts[at] = True
+        for j in range(length):
+            used[at + j] = True
+        used = used[:len(self.word)]
+        kinds, out.word = np.unique(self.word[used], return_inverse=True)
+        out.word = out.word.astype(np.int32)
+        out.words = [self.words[k] for k in kinds]
+        out.place, out.starts = self.place[used], starts[used]
+        return out
+
+    def counts(self, at: np.ndarray, length: int) -> tuple[list[bytes], np.ndarray]:
+        """The distinct phrases that begin at ``at``, as text, and their counts; exact."""
+        group = self.word[at].astype(np.int64)
+        for j in range(1, length):
+            group = np.unique(group * len(self.words) + self.word[at + j], return_inverse=True)[1]
+        _, first, n = np.unique(group, return_index=True, return_counts=True)
+        return [b" ".join(self.words[k] for k in self.word[i:i + length]) for i in at[first]], n
+
+
+class _Filter:
+    """A set of hashes, as bits at their upper digits: none is missed, some
+    more may pass the more it holds."""
+
+    def __init__(self, groups: DataFrame):
+        slot = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+        rows = groups.select(F.shiftright(slot, 6).alias("at"), F.expr(
+            f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - FILTER_BITS}) & 63 as int))").alias("bit")).groupBy(
+            "at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2 ** (FILTER_BITS - 6) rows
+        self.bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+        self.bits[rows["at"].to_numpy()] = rows["bits"].to_numpy()
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        slot = h >> np.uint64(64 - FILTER_BITS)
+        return (self.bits.view(np.uint64)[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
 def _relation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of about BLOCK_WORDS occurrences; a text is never split."""
-    part = TaskContext.get().partitionId() << 32
+    number = TaskContext.get().partitionId() << 32
     opened: dict[str, _Block] = {}
-    made = 0
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
             block = opened.setdefault(lang, _Block(lang))
             block.add(text.as_py().encode("utf-8"))
-            if len(block.words) >= BLOCK_WORDS:
-                yield opened.pop(lang).row(part + made)
-                made += 1
+            if len(block.said) >= BLOCK_WORDS:
+                yield opened.pop(lang).close().row(number)
+                number += 1
     for block in opened.values():
-        if block.words:
-            yield block.row(part + made)
-            made += 1
-
-
-def _flat(col: pa.ListArray, i: int) -> np.ndarray:
-    return col[i].values.to_numpy()
-
-
-def _joined(place: np.ndarray, phrase: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Merge join of one sorted relation with itself at the next place.
+        if block.said:
+            yield block.close().row(number)
+            number += 1
 
-    Returns the places of the longer occurrences, the number of each among the
-    block's distinct ones, and of these the left and right phrase and the count."""
-    at = np.flatnonzero(place[1:] == place[:-1] + 1)
-    ids, local = np.unique(phrase, return_inverse=True)
-    pair, number, n = np.unique(local[at] * max(1, len(ids)) + local[at + 1], return_inverse=True,
-                                return_counts=True)
-    return place[at], number, ids[pair // max(1, len(ids))], ids[pair % max(1, len(ids))], n
 
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct longer phrases of each block, numbered, with their counts in it."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Block]]:
     for b in batches:
-        for i, block in enumerate(b.column("block").to_pylist()):
-            _, _, left, right, n = _joined(_flat(b.column("place"), i), _flat(b.column("phrase"), i))
-            k = len(n)
+        for i, number in enumerate(b.column("block").to_pylist()):
+            yield number, _Block.read(b, i)
+
+
+class _Step:
+    """What tasks do with each block of the relation of ``length`` - 1 words
+    (of words themselves: of the first length)."""
+
+    def __init__(self, length: int, words: Broadcast | None, groups: Broadcast | None):
+        self.length, self.words, self.groups = length, words, groups
+
+    def _at(self, block: _Block) -> np.ndarray:
+        every = np.arange(len(block.word))
+        if self.length == 1:
+            at = every
+        else:
+            if self.words is not None:  # the relation of all words: frequent ones only
+                of = block.hashes(np.unique(block.word, return_index=True)[1], 1)
+                block.starts = self.words.value.has(of)[block.word]
+            at = block.longer()
+        return at if self.groups is None else at[self.groups.value.has(block.hashes(at, self.length))]
+
+    def hashed(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, block in _blocks(batches):
+            h, n = np.unique(block.hashes(self._at(block), self.length), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["hash", "n"])
+
+    def named(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, block in _blocks(batches):
+            texts, n = block.counts(self._at(block), self.length)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, block)), pa.array(np.arange(k, dtype=np.int32)), pa.array(left),
-                 pa.array(right), pa.array(n)], names=["block", "local", "left", "right", "n"])
-
-
-def _semi_join(first: bool):
-    """Keeps the occurrences of frequent phrases, under their ids, in order of place."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, block in enumerate(b.column("block").to_pylist()):
-                place = _flat(b.column("place"), i)
-                if first:
-                    number = _flat(b.column("word"), i)
-                    size = int(number.max(initial=-1)) + 1
-                else:
-                    place, number, _, _, n = _joined(place, _flat(b.column("phrase"), i))
-                    size = len(n)
-                ids = np.full(size, -1, np.int64)
-                ids[_flat(b.column("locals"), i)] = _flat(b.column("ids"), i)
-                phrase = ids[number]
-                live = phrase >= 0
-                lists = [pa.array(place[live].astype(np.int32)), pa.array(phrase[live])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]],
-                    names=["block", "place", "phrase"])
-    return run
-
-
-def _extend(relation: DataFrame, members: DataFrame, first: bool, name: str) -> DataFrame:
-    """The occurrence relation of the frequent phrases: ``members`` holds
-    (block, local, id) of those that each block has. A block lists each phrase
-    once, so the lists are no longer than the block."""
-    kept = members.groupBy("block").agg(F.collect_list(F.struct("local", "id")).alias("m"))
-    have = relation.join(kept, "block").select(
-        *[c for c in ("block", "place", "word", "phrase") if c in relation.columns],
-        F.col("m.local").alias("locals"), F.col("m.id").alias("ids"))
-    return stage(have.mapInArrow(_semi_join(first), "block long, place array<int>, phrase array<long>"), name)
+                [pa.array([block.lang] * len(n), pa.string()), pa.array(texts, pa.binary()).cast(pa.string()),
+                 pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
+
+    def kept(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, block in _blocks(batches):
+            at = self._at(block)
+            if len(at):
+                yield block.keep(at, self.length).row(number)
 
 
 def frequent_phrases(df: DataFrame, least: int = 30, text_col: str = "text",
                      lang_col: str = "lang") -> tuple[DataFrame, list[DataFrame]]:
     """(words a language, frequent phrases by length 1 to LONGEST).
 
-    Each table of phrases has id, lang, phrase, last (word), n, before and
-    after: the counts of its first 1, 2, ... and of its last 1, 2, ... words,
-    itself excluded; from two words on also left and right, the ids of the
-    phrases without the last and without the first word.
+    Each table of phrases has lang, phrase and n. The tables are exact: hashes
+    only decide which groups are counted under their own text.
     """
     prepare(df.sparkSession)
+    spark = df.sparkSession.sparkContext
     src = df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    words = stage(src.mapInArrow(_relation, "block long, lang string, words array<string>, counts array<long>, "
-                                 + _LISTS), "word-occurrences")
-    in_block = words.select("block", "lang", F.explode(F.arrays_zip(
-        F.sequence(F.lit(0), F.size("words") - 1).alias("local"), "words", "counts")).alias("x")).select(
-        "block", "lang", "x.local", F.col("x.words").alias("phrase"), F.col("x.counts").alias("n"))
-    totals = words.select("lang", F.size("word").cast("long").alias("n")).groupBy("lang").agg(F.sum("n").alias("total"))
-    none = F.array().cast("array<long>")
-    counted = in_block.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    tables = [stage(counted.select(F.monotonically_increasing_id().alias("id"), "lang", "phrase",
-                                   F.col("phrase").alias("last"), "n", none.alias("before"), none.alias("after")),
-                    "frequent-1")]
-    members = in_block.join(tables[0].select("id", "lang", "phrase"), ["lang", "phrase"]).select("block", "local", "id")
-    relation = _extend(words.select("block", "place", "word"), members, True, "occurrences-1")
-    for length in range(2, LONGEST + 1):
-        in_block = relation.mapInArrow(_groups, "block long, local int, left long, right long, n long")
-        counted = (in_block.groupBy("left", "right").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-                   .select(F.monotonically_increasing_id().alias("id"), "left", "right", "n"))
-        pairs = stage(counted, f"frequent-pairs-{length}")
-        tables.append(stage(_named(pairs, tables[-1]), f"frequent-{length}"))
-        if length < LONGEST:
-            members = in_block.select("block", "local", "left", "right").join(
-                pairs.select("id", "left", "right"), ["left", "right"]).select("block", "local", "id")
-            relation = _extend(relation, members, False, f"occurrences-{length}")
+    relation = stage(src.mapInArrow(_relation, RELATION), "occurrences-1")
+    totals = relation.select("lang", F.size("word").cast("long").alias("n")).groupBy("lang").agg(
+        F.sum("n").alias("total"))
+    tables, words = [], None
+    for length in range(1, LONGEST + 1):
+        counted = relation.mapInArrow(_Step(length, words, None).hashed, "hash long, n long").groupBy("hash").agg(
+            F.sum("n").alias("n")).where(F.col("n") >= least)
+        groups = spark.broadcast(_Filter(counted))
+        step = _Step(length, words, groups)
+        if 1 < length < LONGEST:
+            relation = stage(relation.mapInArrow(step.kept, RELATION), f"occurrences-{length}")
+            step, words = _Kept(length), None
+        tables.append(stage(
+            relation.mapInArrow(step.named, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(
+                F.sum("n").alias("n")).where(F.col("n") >= least), f"frequent-{length}"))
+        if length == 1:
+            words = groups
     return totals, tables
 
 
-def _named(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Text and counts of the parts of longer phrases, from their left and right phrase."""
-    a = parts.select(F.col("id").alias("left"), "lang", "phrase", F.col("n").alias("l"), "before")
-    z = parts.select(F.col("id").alias("right"), F.col("last"), F.col("n").alias("r"), "after")
-    return pairs.join(a, "left").join(z, "right").select(
-        "id", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "n",
-        F.concat("before", F.array("l")).alias("before"), F.concat("after", F.array("r")).alias("after"),
-        "left", "right")
+class _Kept(_Step):
+    """A step on a relation that already holds the phrases of its length."""
+
+    def __init__(self, length: int):
+        super().__init__(length, None, None)
+
+    def _at(self, block: _Block) -> np.ndarray:
+        return np.flatnonzero(block.starts)
 
 
 def mine_collocations(df: DataFrame, least: int = 30, top: int = 2000, absorbed_percent: int = 80,
@@ -185,35 +232,48 @@ def mine_collocations(df: DataFrame, least: int = 30, top: int = 2000, absorbed_
     phrase, a, l, r, n, score.
 
     1. The relation of word occurrences, sorted by piece and position, is
-       written in blocks of one language, and groups (words) are counted.
-    2. The occurrences of frequent groups (``least`` times or more) are kept by
-       a semi-join: each block's distinct groups meet the frequent ones, and
-       what is left goes back to the block. The result is written, too.
-    3. It is merge-joined with itself at the next position of the same piece;
-       the groups are counted, and so on up to LONGEST words.
-    4. A phrase scores floor(2000000 a / (l + r)) over its cut of least score
+       written in blocks of one language.
+    2. Groups of equal phrases are counted by a hash of 64 bits, first within
+       a block. Of those met ``least`` times, a filter of fixed size goes to
+       all tasks.
+    3. The semi-join: occurrences whose group is in the filter stay, and are
+       written as the relation of this length. What the filter lets through
+       beyond is harmless, as these groups are counted again by their own text.
+    4. The relation is merge-joined with itself at the next position of the
+       same piece, and so on up to LONGEST words.
+    5. A phrase scores floor(2000000 a / (l + r)) over its cut of least score
        (the first of equal ones); one with ``absorbed_percent`` of its
        occurrences inside a longer phrase is dropped.
 
-    Occurrences are only shuffled as distinct groups of a block, so a frequent
-    group is a few rows a block and no key is hot. Counts are exact. A longer
-    phrase that absorbs a phrase does so through one that is one word longer,
-    as that one occurs no less often. Null texts are empty, null languages
-    ``und``; ids do not matter, repeated rows count as often as they occur,
-    other columns are ignored; an empty table gives an empty result.
+    Occurrences are never shuffled, only the distinct groups of a task, so no
+    key is hot. A longer phrase that absorbs a phrase does so through one that
+    is one word longer, as that one occurs no less often. Null texts are
+    empty, null languages ``und``; ids do not matter, repeated rows count as
+    often as they occur, other columns are ignored; an empty table gives an
+    empty result. With far more frequent groups than the filter has bits it
+    holds nothing back, and more groups are counted.
     """
     totals, tables = frequent_phrases(df, least, text_col, lang_col)
+    tables = [t.withColumn("ws", F.split("phrase", " ")) for t in tables]
+
+    def words(a: int, z: int) -> Column:
+        return F.concat_ws(" ", F.slice("ws", a, z - a + 1)).alias("phrase")
+
     found = None
-    for i in range(1, LONGEST):
-        t = tables[i].select("id", "lang", "phrase", F.col("n").alias("a"), "before", "after")
-        # one struct a cut, least score first, then the shorter first part
-        cuts = [f"named_struct('score', (cast(a as decimal(20, 0)) * 2000000) div (cast(before[{k - 1}] as decimal(20, 0))"
-                f" + after[{i - k}]), 'k', {k}, 'l', before[{k - 1}], 'r', after[{i - k}])" for k in range(1, i + 1)]
-        t = t.withColumn("cut", F.expr(f"array_min(array({', '.join(cuts)}))"))
-        if i + 1 < LONGEST:
-            inside = tables[i + 1].select(F.explode(F.array("left", "right")).alias("id"), "n").groupBy("id").agg(
-                F.max("n").alias("longer"))
-            t = t.join(inside, "id", "left").where(
+    for size in range(2, LONGEST + 1):
+        t, cuts = tables[size - 1].withColumnRenamed("n", "a"), []
+        for k in range(1, size):
+            first = tables[k - 1].select("lang", F.col("phrase").alias(f"first{k}"), F.col("n").alias(f"l{k}"))
+            rest = tables[size - k - 1].select("lang", F.col("phrase").alias(f"rest{k}"), F.col("n").alias(f"r{k}"))
+            t = t.withColumn(f"first{k}", words(1, k)).withColumn(f"rest{k}", words(k + 1, size))
+            t = t.join(first, ["lang", f"first{k}"]).join(rest, ["lang", f"rest{k}"])
+            cuts.append(f"named_struct('score', (cast(a as decimal(20, 0)) * 2000000) div (cast(l{k} as decimal(20, 0)) "
+                        f"+ r{k}), 'k', {k}, 'l', l{k}, 'r', r{k})")
+        # one struct a cut: the least score first, then the shorter first part
+        t = t.withColumn("cut", F.expr(f"least({', '.join(cuts)})" if len(cuts) > 1 else cuts[0]))
+        if size < LONGEST:
+            longer = tables[size].select("lang", "n", F.explode(F.array(words(1, size), words(2, size + 1))).alias("phrase"))
+            t = t.join(longer.groupBy("lang", "phrase").agg(F.max("n").alias("longer")), ["lang", "phrase"], "left").where(
                 f"longer is null or cast(longer as decimal(20, 0)) * 100 < cast(a as decimal(20, 0)) * {int(absorbed_percent)}")
         t = t.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
         found = t if found is None else found.unionByName(t)
