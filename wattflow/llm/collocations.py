@@ -23,15 +23,23 @@ LONGEST = 4
 BLOCK_WORDS = 500_000
 #: Bits of a filter of frequent groups; its size does not depend on the input.
 FILTER_BITS = 26
-RELATION = "block long, lang string, words array<string>, step array<int>, word array<int>, starts array<boolean>"
+#: Bits of a hash that counting keeps; equal ones of different groups only let more through.
+HASH_BITS = 48
+RELATION = ("block long, lang string, words array<string>, counts array<long>, sizes array<int>, word array<int>, "
+            "starts array<boolean>")
+
+
+def word_hash(lang: bytes, word: bytes) -> int:
+    return xxhash.xxh64_intdigest(lang + b" " + word)
 
 
 class _Block:
     """Occurrences of words of one language in order of piece and position.
 
-    ``words`` are the distinct ones; ``word`` numbers each occurrence's, and
-    ``place`` its position: one more than the last inside a piece, two or more
-    across pieces. ``starts`` tells where a phrase of the relation begins.
+    ``words`` are the distinct ones; ``word`` numbers each occurrence's;
+    ``sizes`` are the lengths of stretches of words that follow each other in
+    one piece; ``starts`` tells where a phrase of the relation begins (written
+    as an empty list where that is everywhere).
     """
 
     def __init__(self, lang: str):
@@ -47,9 +55,7 @@ class _Block:
 
     def close(self) -> _Block:
         self.word, self.words = np.array(self.said, np.int32), list(self.number)
-        step = np.ones(len(self.word), np.int32)
-        step[np.cumsum(self.sizes)[:-1]] = 2
-        self.place, self.starts = np.cumsum(step), np.ones(len(self.word), bool)
+        self.starts = np.ones(len(self.word), bool)
         return self
 
     @staticmethod
@@ -57,33 +63,36 @@ class _Block:
         out = _Block(b.column("lang")[i].as_py())
         out.words = b.column("words")[i].values.cast(pa.binary()).to_pylist()
         out.word = b.column("word")[i].values.to_numpy()
-        out.place = np.cumsum(b.column("step")[i].values.to_numpy())
-        out.starts = b.column("starts")[i].values.to_numpy(zero_copy_only=False)
+        out.sizes = b.column("sizes")[i].values.to_numpy()
+        starts = b.column("starts")[i].values
+        out.starts = starts.to_numpy(zero_copy_only=False) if len(starts) else np.ones(len(out.word), bool)
         return out
 
     def row(self, block: int) -> pa.RecordBatch:
         lists = [pa.array(self.words, pa.binary()).cast(pa.string()),
-                 pa.array(np.diff(self.place, prepend=0).astype(np.int32)), pa.array(self.word),
-                 pa.array(self.starts)]
+                 pa.array(np.bincount(self.word, minlength=len(self.words))),
+                 pa.array(np.array(self.sizes, np.int32)), pa.array(self.word),
+                 pa.array([] if self.starts.all() else self.starts, pa.bool_())]
         return pa.RecordBatch.from_arrays(
             [pa.array([block]), pa.array([self.lang]),
              *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]],
-            names=["block", "lang", "words", "step", "word", "starts"])
+            names=["block", "lang", "words", "counts", "sizes", "word", "starts"])
 
     def longer(self) -> np.ndarray:
         """Merge join of the relation with itself at the next position: where
         the occurrences begin that are one word longer."""
-        s = self.starts
-        return np.flatnonzero(s[:-1] & s[1:] & (self.place[1:] == self.place[:-1] + 1))
+        inside = np.ones(len(self.word), bool)  # the next word follows in the same piece
+        inside[np.cumsum(self.sizes) - 1] = False
+        return np.flatnonzero(self.starts[:-1] & self.starts[1:] & inside[:-1])
 
     def hashes(self, at: np.ndarray, length: int) -> np.ndarray:
-        """64-bit hashes of the phrases of ``length`` words that begin at ``at``."""
-        salt = self.lang.encode("utf-8") + b" "
-        of = np.fromiter((xxhash.xxh64_intdigest(salt + w) for w in self.words), np.uint64, len(self.words))
+        """Hashes of the phrases of ``length`` words that begin at ``at``."""
+        lang = self.lang.encode("utf-8")
+        of = np.fromiter((word_hash(lang, w) for w in self.words), np.uint64, len(self.words))
         h = np.zeros(len(at), np.uint64)
         for j in range(length):
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + of[self.word[at + j]]
-        return h
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) ^ of[self.word[at + j]]
+        return h >> np.uint64(64 - HASH_BITS)
 
     def keep(self, at: np.ndarray, length: int) -> _Block:
         """The relation of the phrases of ``length`` words that begin at ``at``."""
@@ -96,7 +105,11 @@ class _Block:
         kinds, out.word = np.unique(self.word[used], return_inverse=True)
         out.word = out.word.astype(np.int32)
         out.words = [self.words[k] for k in kinds]
-        out.place, out.starts = self.place[used], starts[used]
+        ends = np.zeros(len(self.word), bool)  # last words of the new stretches
+        ends[np.cumsum(self.sizes) - 1] = True
+        ends |= ~np.r_[used[1:], False]
+        out.sizes = np.diff(np.flatnonzero(ends[used]) + 1, prepend=0)
+        out.starts = starts[used]
         return out
 
     def counts(self, at: np.ndarray, length: int) -> tuple[list[bytes], np.ndarray]:
@@ -113,15 +126,14 @@ class _Filter:
     more may pass the more it holds."""
 
     def __init__(self, groups: DataFrame):
-        slot = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
-        rows = groups.select(F.shiftright(slot, 6).alias("at"), F.expr(
-            f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - FILTER_BITS}) & 63 as int))").alias("bit")).groupBy(
+        rows = groups.select(F.shiftright("hash", HASH_BITS - FILTER_BITS + 6).alias("at"), F.expr(
+            f"shiftleft(1L, cast(shiftright(hash, {HASH_BITS - FILTER_BITS}) & 63 as int))").alias("bit")).groupBy(
             "at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2 ** (FILTER_BITS - 6) rows
         self.bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
         self.bits[rows["at"].to_numpy()] = rows["bits"].to_numpy()
 
     def has(self, h: np.ndarray) -> np.ndarray:
-        slot = h >> np.uint64(64 - FILTER_BITS)
+        slot = h >> np.uint64(HASH_BITS - FILTER_BITS)
         return (self.bits.view(np.uint64)[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -149,21 +161,21 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Block]]:
 
 
 class _Step:
-    """What tasks do with each block of the relation of ``length`` - 1 words
-    (of words themselves: of the first length)."""
+    """What tasks do with each block of a relation: ``length`` words make a
+    group, in a relation of phrases of one word less (``words`` is the filter
+    of the frequent ones if these are single words), or, where ``done``, of
+    that length. ``groups`` is the filter of the frequent groups, once known."""
 
-    def __init__(self, length: int, words: Broadcast | None, groups: Broadcast | None):
-        self.length, self.words, self.groups = length, words, groups
+    def __init__(self, length: int, words: Broadcast | None, groups: Broadcast | None, done: bool = False):
+        self.length, self.words, self.groups, self.done = length, words, groups, done
 
     def _at(self, block: _Block) -> np.ndarray:
-        every = np.arange(len(block.word))
-        if self.length == 1:
-            at = every
-        else:
-            if self.words is not None:  # the relation of all words: frequent ones only
-                of = block.hashes(np.unique(block.word, return_index=True)[1], 1)
-                block.starts = self.words.value.has(of)[block.word]
-            at = block.longer()
+        if self.done:
+            return np.flatnonzero(block.starts)
+        if self.words is not None:
+            first = np.unique(block.word, return_index=True)[1]
+            block.starts = self.words.value.has(block.hashes(first, 1))[block.word]
+        at = block.longer()
         return at if self.groups is None else at[self.groups.value.has(block.hashes(at, self.length))]
 
     def hashed(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,6 +197,13 @@ class _Step:
                 yield block.keep(at, self.length).row(number)
 
 
+def _word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        h = [word_hash(lang.encode("utf-8"), w.encode("utf-8")) for lang, w in zip(*(c.to_pylist() for c in b.columns))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((np.array(h, np.uint64) >> np.uint64(64 - HASH_BITS)).view(np.int64))], names=["hash"])
+
+
 def frequent_phrases(df: DataFrame, least: int = 30, text_col: str = "text",
                      lang_col: str = "lang") -> tuple[DataFrame, list[DataFrame]]:
     """(words a language, frequent phrases by length 1 to LONGEST).
@@ -199,33 +218,26 @@ def frequent_phrases(df: DataFrame, least: int = 30, text_col: str = "text",
     relation = stage(src.mapInArrow(_relation, RELATION), "occurrences-1")
     totals = relation.select("lang", F.size("word").cast("long").alias("n")).groupBy("lang").agg(
         F.sum("n").alias("total"))
-    tables, words = [], None
-    for length in range(1, LONGEST + 1):
+    in_block = relation.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
+        "lang", F.col("x.words").alias("phrase"), F.col("x.counts").alias("n"))
+
+    def frequent(counts: DataFrame, length: int) -> DataFrame:
+        return stage(counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least),
+                     f"frequent-{length}")
+
+    tables = [frequent(in_block, 1)]
+    words = spark.broadcast(_Filter(tables[0].select("lang", "phrase").mapInArrow(_word_hashes, "hash long")))
+    for length in range(2, LONGEST + 1):
         counted = relation.mapInArrow(_Step(length, words, None).hashed, "hash long, n long").groupBy("hash").agg(
             F.sum("n").alias("n")).where(F.col("n") >= least)
-        groups = spark.broadcast(_Filter(counted))
-        step = _Step(length, words, groups)
-        if 1 < length < LONGEST:
+        step = _Step(length, words, spark.broadcast(_Filter(counted)))
+        if length < LONGEST:
             relation = stage(relation.mapInArrow(step.kept, RELATION), f"occurrences-{length}")
-            step, words = _Kept(length), None
-        tables.append(stage(
-            relation.mapInArrow(step.named, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(
-                F.sum("n").alias("n")).where(F.col("n") >= least), f"frequent-{length}"))
-        if length == 1:
-            words = groups
+            step, words = _Step(length, None, None, done=True), None
+        tables.append(frequent(relation.mapInArrow(step.named, "lang string, phrase string, n long"), length))
     return totals, tables
 
 
-class _Kept(_Step):
-    """A step on a relation that already holds the phrases of its length."""
-
-    def __init__(self, length: int):
-        super().__init__(length, None, None)
-
-    def _at(self, block: _Block) -> np.ndarray:
-        return np.flatnonzero(block.starts)
-
-
 def mine_collocations(df: DataFrame, least: int = 30, top: int = 2000, absorbed_percent: int = 80,
                       text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Each language's ``top`` phrases of 2 to LONGEST words: lang, rank,
@@ -233,7 +245,7 @@ def mine_collocations(df: DataFrame, least: int = 30, top: int = 2000, absorbed_
 
     1. The relation of word occurrences, sorted by piece and position, is
        written in blocks of one language.
-    2. Groups of equal phrases are counted by a hash of 64 bits, first within
+    2. Words are counted by their text, longer groups by a hash, first within
        a block. Of those met ``least`` times, a filter of fixed size goes to
        all tasks.
     3. The semi-join: occurrences whose group is in the filter stay, and are

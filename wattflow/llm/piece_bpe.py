@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import codecs
 import functools
+import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +35,7 @@ class PieceVocabulary:
     have a piece for every byte, and none that is kept out of encodings.
     """
 
-    def __init__(self, path: str, cached_chunks: int = 1 << 18):
+    def __init__(self, path: str, cached_chunks: int = 1 << 19):
         self.library = m = sentencepiece.SentencePieceProcessor(model_file=path)
         size = m.get_piece_size()
         names = [m.id_to_piece(i) for i in range(size)]
@@ -51,26 +51,56 @@ class PieceVocabulary:
         longer = {names[i]: -m.get_score(i) for i in plain if len(names[i]) > 1}
         place = {s: r for r, s in enumerate(sorted(set(longer.values())))}
         self.rank = {n: place[s] for n, s in longer.items()}  # 0 is the best score
+        self.none = len(place)
         self.output = [b""] * size  # text bytes of each id
         for i in plain:
             self.output[i] = names[i].replace(BLANK, " ").encode("utf-8")
         for b, i in enumerate(self.byte_ids):
             self.output[i] = bytes([b])
         self.starts_blank = np.array([n.startswith(BLANK) for n in names])
-        # Chunks that no merge can cross: a piece never has a blank after another
-        # character, and some characters are in no longer piece.
-        if any(regex.search(f"[^{BLANK}]{BLANK}", n) for n in self.rank):
+        # Chunks that no merge can cross, as no piece holds the two characters at their border: a
+        # blank after another character, or a character (alone) that is in no longer piece.
+        if any(re.search(f"[^{BLANK}]{BLANK}", n) for n in self.rank):
             raise ValueError(f"{path}: pieces cross from a word into a blank")
-        joining = sorted({c for n in self.rank for c in n} - {BLANK})
-        body = "".join(regex.escape(c) for c in joining)
-        self.chunks = regex.compile(f"{BLANK}*[{body}]+|{BLANK}+|.", regex.DOTALL).findall
-        self.chunk = functools.lru_cache(cached_chunks)(self.encode_chunk)
+        joining = set("".join(self.rank))
+        alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joining)
+        self.chunks = re.compile(f"{BLANK}*[^{BLANK}{alone}]+|{BLANK}+|.", re.DOTALL).findall
+        self.fresh: list[str] = []  # chunks encoded since the last comparison with the library
+        self.chunk = functools.lru_cache(cached_chunks)(self._new_chunk)
 
     def encode_chunk(self, text: str) -> tuple[int, ...]:
         """Ids of one chunk. An agenda holds every adjacent pair of symbols
         that is a piece; the best score, of equal ones the leftmost, is merged
-        first and puts its new neighbours' pairs on the agenda. An entry whose
-        pair has changed since is void."""
+        first and puts its new neighbours' pairs on the agenda."""
+        symbols = self._merge_few(text) if len(text) <= 24 else self._merge_many(text)
+        try:
+            return tuple(map(self.id_of.__getitem__, symbols))
+        except KeyError:
+            return tuple(chain.from_iterable(
+                [self.id_of[s]] if s in self.id_of else map(self.byte_ids.__getitem__, s.encode("utf-8"))
+                for s in symbols))
+
+    def _merge_few(self, text: str) -> list[str]:
+        """The agenda as a list by place: of few pairs, the best is soon found."""
+        rank, none = self.rank.get, self.none
+        symbols = list(text)
+        agenda = [rank(text[i:i + 2], none) for i in range(len(text) - 1)]
+        while agenda:
+            best = min(agenda)
+            if best == none:
+                break
+            i = agenda.index(best)
+            merged = symbols[i] + symbols.pop(i + 1)
+            symbols[i] = merged
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = rank(merged + symbols[i + 1], none)
+            if i:
+                agenda[i - 1] = rank(symbols[i - 1] + merged, none)
+        return symbols
+
+    def _merge_many(self, text: str) -> list[str]:
+        """The agenda as a heap; an entry whose pair has changed since is void."""
         n, rank = len(text), self.rank.get
         symbols = list(text)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -98,13 +128,7 @@ class PieceVocabulary:
                 pair[h] = r = rank(symbols[h] + merged, -1)
                 if r >= 0:
                     heappush(agenda, (r << 32) | h)
-        ids: list[int] = []
-        for s in filter(None, symbols):
-            if s in self.id_of:
-                ids.append(self.id_of[s])
-            else:
-                ids += map(self.byte_ids.__getitem__, s.encode("utf-8"))
-        return tuple(ids)
+        return [s for s in symbols if s]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, without an end id; none of an empty one."""
@@ -112,9 +136,22 @@ class PieceVocabulary:
             return []
         parts = self.chunks(BLANK + text.replace(" ", BLANK))
         if max(map(len, parts)) > 64:  # long ones would fill the cache
-            return list(chain.from_iterable(self.chunk(p) if len(p) <= 64 else self.encode_chunk(p) for p in parts))
+            return list(chain.from_iterable(self.chunk(p) if len(p) <= 64 else self._new_chunk(p) for p in parts))
         return list(chain.from_iterable(map(self.chunk, parts)))
 
+    def _new_chunk(self, text: str) -> tuple[int, ...]:
+        self.fresh.append(text)
+        return self.encode_chunk(text)
+
+    def compare(self) -> None:
+        """Raise unless the library encodes every new chunk alike. It puts a
+        blank in front, which a line end parts from the chunk."""
+        theirs = self.library.encode(["\n" + c for c in self.fresh], num_threads=1)
+        for c, ids in zip(self.fresh, theirs):
+            if list(self.encode_chunk(c) if len(c) > 64 else self.chunk(c)) != ids[2:]:
+                raise ValueError(f"not as the sentencepiece library encodes it: {c[:100]!r}")
+        self.fresh.clear()
+
     def decode(self, ids: list[int]) -> str:
         """Text of ids: control ids are nothing, blanks come back, the one in front goes."""
         out, at = [], 0
@@ -141,14 +178,14 @@ def encode_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     """doc_id, ids and decoded of every whole text, one row per input row.
 
     ``ids`` end with the model's end id; ``decoded`` is their text. With
-    ``check``, each Arrow batch is also encoded by the sentencepiece library
-    and ``agrees`` tells of each text whether it gives the same ids (else it is
-    null). Null and empty texts have only the end id and an empty ``decoded``.
-    Null ids, repeated ids and rows are encoded row by row, other columns
-    ignored (``with_row`` adds the input row as the struct ``row_in``); an
-    empty table gives an empty result. No shuffle. Each worker keeps a bounded
-    cache of short chunks; a lost task only starts with an empty one. ``path``
-    is the same on every machine.
+    ``check``, all chunks that are new in an Arrow batch are encoded by the
+    sentencepiece library, too, and a difference fails the task; a text's ids
+    are those of its chunks. Null and empty texts have only the end id and an
+    empty ``decoded``. Null ids, repeated ids and rows are encoded row by row,
+    other columns ignored (``with_row`` adds the input row as the struct
+    ``row_in``); an empty table gives an empty result. No shuffle. Each worker
+    keeps a bounded cache of short chunks; a lost task only starts with an
+    empty one. ``path`` is the same on every machine.
     """
     prepare(df.sparkSession)
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
@@ -161,22 +198,23 @@ def encode_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
             for i, j in text_groups(texts):
                 b = whole.slice(i, j - i)
                 ids = [v.encode(t) for t in texts[i:j]]
-                agrees = ([a == z for a, z in zip(ids, v.library.encode(texts[i:j], num_threads=1))]
-                          if check else [None] * (j - i))
+                if check:
+                    v.compare()
+                v.fresh.clear()
                 for x in ids:
                     x.append(v.end)
                 ends = np.cumsum([0, *map(len, ids)])
                 flat = np.fromiter(chain.from_iterable(ids), np.int32, ends[-1])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                     pa.array(map(v.decode, ids), pa.string()), pa.array(agrees, pa.bool_()), *b.columns[2:]],
-                    names=["doc_id", "ids", "decoded", "agrees", *b.schema.names[2:]])
+                     pa.array([v.decode(x) for x in ids], pa.string()), *b.columns[2:]],
+                    names=["doc_id", "ids", "decoded", *b.schema.names[2:]])
 
-    return src.mapInArrow(run, "doc_id long, ids array<int>, decoded string, agrees boolean" + row_type(src, with_row))
+    return src.mapInArrow(run, "doc_id long, ids array<int>, decoded string" + row_type(src, with_row))
 
 
 def pieces_query(docs: DataFrame, path: str) -> DataFrame:
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return encode_pieces(docs, path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
+        F.sha2("decoded", 256).alias("decoded_sha256"))
