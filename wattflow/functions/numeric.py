@@ -15,9 +15,13 @@ def _col(c) -> Column:
 
 def exact(c) -> Column:
     """Double amount -> ``decimal(26,12)`` of its shortest decimal form, so
-    sums do not depend on the order of the rows. Amounts of 10^14 and more,
-    and values that are no number, raise."""
-    return _col(c).cast(EXACT)
+    sums do not depend on the order of the rows. Amounts of 10^14 and more
+    raise, and so do infinite ones and NaN (a cast alone would make them null,
+    and a sum would pass over them)."""
+    x = _col(c)
+    finite = ~F.isnan(x) & (F.abs(x) != float("inf"))
+    return F.when(x.isNull() | finite, x.cast(EXACT)).otherwise(
+        F.raise_error(F.lit("an amount is not a finite number")).cast(EXACT))
 
 
 def rounded_mean(total, n) -> Column:

@@ -90,8 +90,12 @@ def surrogate_key(df: DataFrame, order_cols: Sequence[str], out: str,
     )
 
 
-def dim_state(stg: DataFrame, method: str = "range", collation: str | None = None) -> DataFrame:
-    """State dimension from generation staging (one row per state)."""
+def dim_state(stg: DataFrame, method: str = "global", collation: str | None = None) -> DataFrame:
+    """State dimension from generation staging (one row per state).
+
+    States are a closed list of codes, so the collapsed rows are numbered in
+    one task, in the plan itself; ``method="range"`` is for open key domains.
+    """
     collapsed = collapse_dim(
         stg, "sigla_uf",
         max_cols=["nome_estado", "nome_subsistema", "cod_subsistema"],
@@ -102,11 +106,13 @@ def dim_state(stg: DataFrame, method: str = "range", collation: str | None = Non
                         "eh_brasil", "sk_uf")
 
 
-def dim_source(stg: DataFrame, method: str = "range",
+def dim_source(stg: DataFrame, method: str = "global",
                rules=SOURCE_CATEGORY_RULES, default: str = SOURCE_CATEGORY_DEFAULT,
                collation: str | None = None) -> DataFrame:
     """Fuel dimension: distinct (fuel, renewable) pairs, category, clean flag.
 
+    Fuels are a short list of names: numbered like states, in one task.
+
     ``eh_limpa`` is true for renewable fuels or the nuclear pattern, else
     false (a null renewable flag falls through to the pattern test).
     """

@@ -73,9 +73,12 @@ def monthly_fact(stg: DataFrame, dim_uf: DataFrame, dim_fonte: DataFrame,
     )
 
 
-def capacity_fact(stg: DataFrame, dim_uf: DataFrame) -> DataFrame:
+def capacity_fact(stg: DataFrame, dim_uf: DataFrame | None = None) -> DataFrame:
     """New distributed capacity by state x month x source x class x size.
 
+    Without ``dim_uf`` the fact has no surrogate key: reports that never read
+    it need no dimension, and so no scan of the table it is built from.
+
     Power is summed exactly, without rounding single plants, and converted
     once; the mean is rounded half-up to 2 places.
     """
@@ -86,11 +89,27 @@ def capacity_fact(stg: DataFrame, dim_uf: DataFrame) -> DataFrame:
             F.sum(exact("potencia_kw")).alias("__kw"),
         )
     )
-    c = join_dim(c, dim_uf, "sigla_uf", ["sk_uf"])
+    if dim_uf is not None:
+        c = join_dim(c, dim_uf, "sigla_uf", ["sk_uf"])
     return c.select(
         *CAPACITY_KEYS,
         "num_empreendimentos_novos",
         F.col("__kw").cast("double").alias("potencia_kw_novos"),
         rounded_mean("__kw", "num_empreendimentos_novos").alias("potencia_media_kw"),
-        "sk_uf",
+        *(["sk_uf"] if dim_uf is not None else []),
     )
+
+
+def plant_sketches(pre: DataFrame, lg_k: int = 12) -> DataFrame:
+    """Active plants by state x year x month x fuel, as a mergeable sketch
+    beside the exact count. Exact distinct counts cannot be added up; sketches
+    can, so coarser totals need no plant grain (``rolled_up_plants``)."""
+    return (pre.filter(F.col("eh_brasil")).groupBy(*GENERATION_KEYS)
+            .agg(F.count_distinct("id_usina").alias("num_usinas_ativas"),
+                 F.hll_sketch_agg("id_usina", F.lit(lg_k)).alias("usinas")))
+
+
+def rolled_up_plants(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Estimated distinct plants per coarser ``keys``, merged from the sketches."""
+    return sketches.groupBy(*keys).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("usinas")).alias("num_usinas_estimado"))

@@ -20,6 +20,8 @@ from wattflow.schemas import SOURCE_CATEGORIES
 
 RESULT_COLUMNS = ["check_id", "model", "column_name", "test", "failures", "should_warn",
                   "should_error"]
+RESULT_SCHEMA = ("check_id string, model string, column_name string, test string, failures bigint, "
+                 "should_warn boolean, should_error boolean")
 
 
 def _result(df_counts: DataFrame, model: str, column: str, test: str) -> DataFrame:
@@ -80,6 +82,9 @@ def relationships(child: DataFrame, model: str, col: str, parent: DataFrame,
 
 
 def union_results(results: Sequence[DataFrame]) -> DataFrame:
+    """All check results in one table; an empty one if there are none."""
+    if not results:
+        return SparkSession.active().createDataFrame([], RESULT_SCHEMA)
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
@@ -172,17 +177,26 @@ def gate(results: DataFrame, gates: Mapping[str, Sequence[str]] = GATES) -> Data
     ).drop("n_missing")
 
 
-def enforce(results: DataFrame, model: str, gates: Mapping[str, Sequence[str]] = GATES) -> None:
-    """Raise before building ``model`` when a gating check failed or an
-    upstream model has no results.
+def blocking(results: DataFrame, model: str,
+             gates: Mapping[str, Sequence[str]] = GATES) -> list[str]:
+    """Why ``model`` must not be built: its failing gating checks, and
+    ``not_run_<upstream>`` for every upstream model without any result.
 
     Only check ids and failure counts (a row a check) reach the driver.
     """
     ups = list(gates.get(model, []))
     rows = results.filter(F.col("model").isin(ups)).select("model", "check_id", "failures").collect()
-    failed = [r.check_id for r in rows if r.failures and r.failures > 0]
-    missing = set(ups) - {r.model for r in rows}
+    failed = [r.check_id for r in rows if r.failures is None or r.failures > 0]
+    return sorted(failed) + [f"not_run_{u}" for u in sorted(set(ups) - {r.model for r in rows})]
+
+
+def enforce(results: DataFrame, model: str, gates: Mapping[str, Sequence[str]] = GATES) -> None:
+    """Raise before building ``model`` when a gating check failed or an
+    upstream model has no results."""
+    reasons = blocking(results, model, gates)
+    missing = [r.removeprefix("not_run_") for r in reasons if r.startswith("not_run_")]
+    failed = [r for r in reasons if not r.startswith("not_run_")]
     if failed:
-        raise RuntimeError(f"{model} blocked by failing checks: {sorted(failed)}")
+        raise RuntimeError(f"{model} blocked by failing checks: {failed}")
     if missing:
-        raise RuntimeError(f"{model} blocked: no check results for {sorted(missing)}")
+        raise RuntimeError(f"{model} blocked: no check results for {missing}")

@@ -34,6 +34,8 @@ def snapshot_delta(prev: DataFrame, curr: DataFrame, key: str,
     count); plain key equality, so null keys never match.
     """
     cols = list(cols or [c for c in curr.columns if c != key])
+    if len(cols) > 62:
+        raise ValueError("the null mask of a fingerprint holds 62 columns")
     a = _fingerprint(prev, key, cols).select(F.col(key).alias("__k1"), *[
         F.col(c).alias(c + "_1") for c in ("n", "h1", "h2")])
     b = _fingerprint(curr, key, cols).select(F.col(key).alias("__k2"), *[
@@ -48,3 +50,23 @@ def snapshot_delta(prev: DataFrame, curr: DataFrame, key: str,
         .when(same, F.lit("unchanged"))
         .otherwise(F.lit("changed")).alias("status"),
     )
+
+
+def newest_records(df: DataFrame, key: str, version: str) -> DataFrame:
+    """Of each ``key``, the row of the greatest ``version`` over all snapshots.
+
+    The newest version of a key is found first, by a hash aggregation with a
+    map-side step on the two columns alone; only rows of that version go on.
+    Several rows of one key in its newest version are a tie: of their distinct
+    rows the greatest stays, compared column by column in the table's order
+    (null is least, columns that cannot be compared are not allowed). Rows
+    without a version are older than any; rows without a key are no versions
+    of each other and all stay.
+    """
+    cols = df.columns
+    keyed = df.filter(F.col(key).isNotNull())
+    newest = keyed.groupBy(key).agg(F.max(version).alias("__newest"))
+    last = keyed.join(newest, key).filter(F.col(version).eqNullSafe(F.col("__newest"))).select(*cols).distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in cols])
+    one = last.groupBy(key).agg(F.max(whole).alias("__row")).select("__row.*")
+    return one.select(*cols).unionByName(df.filter(F.col(key).isNull()))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattflow.operators.clean import project
-from wattflow.schemas import GENERATION_STAGING, REGISTRY_STAGING
+from wattflow.schemas import GENERATION_STAGING, LINEAGE_COLUMN, REGISTRY_STAGING
 
 
 def stg_generation(silver: DataFrame) -> DataFrame:
@@ -24,3 +24,9 @@ def stg_registry(silver: DataFrame) -> DataFrame:
         & F.col("sigla_uf").isNotNull()
     )
     return project(kept, REGISTRY_STAGING)
+
+
+def generation_view_sql(source: str) -> str:
+    """Generation staging as the text of a view over the silver table ``source``."""
+    columns = ", ".join(f"`{a}` AS `{b}`" for a, b in GENERATION_STAGING if a != LINEAGE_COLUMN)
+    return f"SELECT {columns} FROM {source} WHERE val_geracao IS NOT NULL AND val_geracao >= 0"

@@ -28,12 +28,6 @@ class BuildResult:
     paths: dict[str, str] = field(default_factory=dict)
 
 
-def _failing(results: DataFrame, upstream: list[str]) -> list[str]:
-    from pyspark.sql import functions as F
-    return sorted(r.check_id for r in results.filter(
-        F.col("model").isin(upstream) & (F.col("failures") > 0)).select("check_id").collect())
-
-
 def build_silver(spark: SparkSession, gen_bronze: str, reg_bronze: str, out_root: str,
                  snapshot: str = "latest") -> BuildResult:
     """Bronze -> silver for both datasets (full refresh, partitioned Parquet)."""
@@ -54,8 +48,8 @@ def build_marts(spark: SparkSession, silver_gen_path: str, silver_reg_path: str,
                 gates=quality.GATES) -> BuildResult:
     """Silver -> staging -> dimensions -> facts, each mart behind its gate.
 
-    With ``enforce`` a mart whose gating checks fail is not written (its
-    dependants neither) and is reported in ``blocked``; without it every
+    With ``enforce`` a mart whose gating checks fail, or were not run, is not
+    written (its dependants neither) and is reported in ``blocked``; without it every
     mart is written and the failures are only reported.
     """
     res = BuildResult()
@@ -76,7 +70,7 @@ def build_marts(spark: SparkSession, silver_gen_path: str, silver_reg_path: str,
     keep(suite.run({k: models[k] for k in models}, only=["not_null"]))
 
     def written(name: str, df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame | None:
-        failing = _failing(quality.union_results(results), list(gates.get(name, [])))
+        failing = quality.blocking(quality.union_results(results), name, gates)
         if failing and enforce:
             res.blocked[name] = failing
             return None

@@ -570,3 +570,64 @@ UNION ALL
 
 _reg("named_sources", with_(STG_GEN, "SELECT * FROM stg_gen"))
 _reg("medallion_build", with_(FACT_GEN, "SELECT * FROM fact_gen"))
+
+
+# -- publishing, views, audit, versions, gated builds ------------------------------
+
+_reg("published_table", with_(FACT_GEN, "SELECT * FROM fact_gen"))
+_reg("persistent_view", with_(STG_GEN, "SELECT * FROM stg_gen"))
+
+_reg("write_audit", with_(SILVER_GEN + "," + SILVER_REG, """
+SELECT 'silver_generation' AS table_name, count(*) AS rows, count(*) AS rows_stored,
+  CAST(1 AS BIGINT) AS lineage_values, CAST(0 AS BIGINT) AS lineage_nulls, true AS one_instant FROM silver_gen
+UNION ALL
+SELECT 'silver_registry', count(*), count(*), 1, 0, true FROM silver_reg"""))
+
+_reg("plants_rollup", with_(STG_GEN, """
+SELECT sigla_uf, ano_geracao, count(DISTINCT id_usina) AS num_usinas, true AS dentro_de_5pct
+FROM stg_gen WHERE eh_brasil GROUP BY sigla_uf, ano_geracao"""))
+
+_reg("newest_records", with_(REG_SNAPSHOTS + """,
+landed AS (
+  SELECT snapshot_date, CodEmpreendimento, SigUF, MdaPotenciaInstaladaKW, DscFonteGeracao FROM snap1
+  UNION ALL
+  SELECT snapshot_date, CodEmpreendimento, SigUF, MdaPotenciaInstaladaKW, DscFonteGeracao FROM snap2),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY CodEmpreendimento ORDER BY snapshot_date DESC NULLS LAST,
+    SigUF DESC NULLS LAST, MdaPotenciaInstaladaKW DESC NULLS LAST, DscFonteGeracao DESC NULLS LAST) AS r
+  FROM landed)""", """
+SELECT snapshot_date, CodEmpreendimento, SigUF, MdaPotenciaInstaladaKW, DscFonteGeracao
+FROM numbered WHERE r = 1 OR CodEmpreendimento IS NULL"""))
+
+_reg("catalogue_document", """
+WITH p AS (SELECT page_id, url, printf('%d_%02d', 2020 + page_id % 5, 1 + page_id % 12) AS period,
+             page_id // 1000 AS catalogue FROM pages),
+cat AS (
+  SELECT catalogue, CAST(row_number() OVER (PARTITION BY catalogue ORDER BY page_id) - 1 AS INTEGER) AS pos,
+    CASE WHEN page_id % 7 = 0 THEN NULL ELSE 'GEN_' || period END AS name,
+    CASE WHEN page_id % 3 = 0 THEN 'pdf' WHEN page_id % 3 = 1 THEN 'csv' ELSE 'CSV' END AS format,
+    CASE WHEN page_id % 7 = 0 THEN url || '/GEN_' || period || '.csv' ELSE url END AS url
+  FROM p)
+SELECT catalogue, pos, name, url FROM cat
+WHERE upper(coalesce(format, '')) = 'CSV'
+  AND (contains(upper(coalesce(name, '')), '2024_03') OR contains(upper(coalesce(url, '')), '2024_03'))
+QUALIFY row_number() OVER (PARTITION BY catalogue ORDER BY pos) = 1""")
+
+# rows with a state and a fuel only; the gate's verdicts follow from the check rules
+_SOUND_MARTS = MARTS.replace("WHERE val_geracao IS NOT NULL AND val_geracao >= 0",
+                             "WHERE val_geracao IS NOT NULL AND val_geracao >= 0 AND id_estado IS NOT NULL "
+                             "AND nom_tipocombustivel IS NOT NULL")
+_reg("gated_build", with_(_SOUND_MARTS, """
+SELECT build, model, CASE WHEN reasons = '' THEN 'ready' ELSE 'blocked' END AS status,
+  CASE WHEN reasons = '' THEN n END AS rows, reasons
+FROM (
+  SELECT b.build, m.model, m.n, CASE WHEN m.model <> 'fact_capacity' THEN ''
+      WHEN b.build = 'unchecked' THEN 'not_run_stg_registry'
+      WHEN b.build = 'lost_ids' AND (SELECT count(*) FROM stg_reg WHERE sigla_uf = 'NATION_3') > 0
+        THEN 'not_null_stg_registry_id_empreendimento'
+      ELSE '' END AS reasons
+  FROM (SELECT unnest(['sound', 'lost_ids', 'unchecked']) AS build) b,
+    (SELECT 'dim_state' AS model, count(*) AS n FROM dim_uf
+     UNION ALL SELECT 'dim_source', count(*) FROM dim_fonte
+     UNION ALL SELECT 'fact_generation_monthly', count(*) FROM fact_gen
+     UNION ALL SELECT 'fact_capacity', count(*) FROM fact_cap) m)"""))

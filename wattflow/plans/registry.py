@@ -55,10 +55,14 @@ def fact_gen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts_gen(spark, sf_dir)["fact_generation_monthly"]
 
 
-def fact_cap(spark: SparkSession, sf_dir: str, d_uf: DataFrame | None = None) -> DataFrame:
-    if d_uf is None:
-        d_uf = dims.dim_state(stg_gen(spark, sf_dir))
-    return facts.capacity_fact(stg_reg(spark, sf_dir), d_uf)
+def fact_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.capacity_fact(stg_reg(spark, sf_dir), dims.dim_state(stg_gen(spark, sf_dir)))
+
+
+def measured_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The capacity fact without its key: the reports on it read none, so the
+    generation table behind the state dimension is never scanned."""
+    return facts.capacity_fact(stg_reg(spark, sf_dir))
 
 
 # -- silver / staging / marts -----------------------------------------------
@@ -288,7 +292,7 @@ def q_kpi_renewable_pct(spark, sf_dir):
 
 @register("kpi_capacity")
 def q_kpi_capacity(spark, sf_dir):
-    return reports.kpi_capacity(fact_cap(spark, sf_dir))
+    return reports.kpi_capacity(measured_cap(spark, sf_dir))
 
 
 @register("top_states_renewable")
@@ -298,7 +302,7 @@ def q_top_states_renewable(spark, sf_dir):
 
 @register("top_states_capacity")
 def q_top_states_capacity(spark, sf_dir):
-    return reports.top_states_capacity(fact_cap(spark, sf_dir), 10)
+    return reports.top_states_capacity(measured_cap(spark, sf_dir), 10)
 
 
 @register("states_fully_renewable")
@@ -314,7 +318,7 @@ def q_share_by_source(spark, sf_dir):
 
 @register("capacity_growth")
 def q_capacity_growth(spark, sf_dir):
-    return reports.capacity_growth(fact_cap(spark, sf_dir))
+    return reports.capacity_growth(measured_cap(spark, sf_dir))
 
 
 # FIXED VALUES of the sliced report used as a registered example.
@@ -331,14 +335,12 @@ def q_sliced_report(spark, sf_dir):
 
 @register("state_year_capacity")
 def q_state_year_capacity(spark, sf_dir):
-    return reports.state_year_capacity(fact_cap(spark, sf_dir))
+    return reports.state_year_capacity(measured_cap(spark, sf_dir))
 
 
 @register("drill_across")
 def q_drill_across(spark, sf_dir):
-    m = marts_gen(spark, sf_dir)
-    return reports.drill_across(m["fact_generation_monthly"],
-                                fact_cap(spark, sf_dir, m["dim_state"]))
+    return reports.drill_across(fact_gen(spark, sf_dir), measured_cap(spark, sf_dir))
 
 
 @register("sliced_report_state")
@@ -352,7 +354,7 @@ def q_sliced_report_state(spark, sf_dir):
 @register("sliced_capacity")
 def q_sliced_capacity(spark, sf_dir):
     """Capacity per state and year under year, source and state slicers."""
-    cap = reports.slice_capacity(fact_cap(spark, sf_dir), years=[1995, 1996], sources=[SOLAR_SOURCE],
+    cap = reports.slice_capacity(measured_cap(spark, sf_dir), years=[1995, 1996], sources=[SOLAR_SOURCE],
                                  states=["NATION_1", "NATION_18", "NATION_7"])
     return reports.state_year_capacity(cap)
 
@@ -442,6 +444,95 @@ def q_full_refresh_table(spark, sf_dir):
     return table_df
 
 
+@register("published_table")
+def q_published_table(spark, sf_dir):
+    """Monthly fact published three times: some years; a rebuild that its
+    check refuses, so the first rows stay; all years. Read back by name."""
+    from pyspark.sql import functions as F
+    from wattflow.operators.quality import not_null
+    from wattflow.session import scratch_path, stage
+    from wattflow.sinks import PublishRefused, ensure_namespace, publish
+    ensure_namespace(spark, "wattflow_published", scratch_path(spark, "ns-published"))
+    root = scratch_path(spark, "published")
+    fact = stage(fact_gen(spark, sf_dir), "fact")
+
+    def complete(t):
+        return not_null(t, "fact_generation_monthly", ["ano_geracao", "geracao_total_mwh"])
+
+    def put(df):
+        return publish(df, "wattflow_published", "fact_generation_monthly", root, complete)[0]
+
+    put(fact.filter("ano_geracao < 1996"))
+    try:
+        put(fact.withColumn("geracao_total_mwh", F.when(F.col("ano_geracao") < 1996, F.col("geracao_total_mwh"))))
+    except PublishRefused:
+        return put(fact)
+    raise AssertionError("a table with missing totals was published")
+
+
+@register("persistent_view")
+def q_persistent_view(spark, sf_dir):
+    """Generation staging as a persistent view over a registered source."""
+    from wattflow.session import scratch_path
+    from wattflow.sinks import create_view, ensure_namespace, write_partitioned
+    from wattflow.sources.named import register_sources
+    path = scratch_path(spark, "silver-viewed")
+    write_partitioned(silver_gen(spark, sf_dir), path, ["ano", "mes"])
+    register_sources(spark, "wattflow_raw", {"generation_viewed": path}, location=scratch_path(spark, "ns-raw"))
+    ensure_namespace(spark, "wattflow_staging", scratch_path(spark, "ns-staging"))
+    return create_view(spark, "wattflow_staging", "stg_generation",
+                       staging.generation_view_sql("`wattflow_raw`.`generation_viewed`"))
+
+
+@register("write_audit")
+def q_write_audit(spark, sf_dir):
+    """Audit rows of both silver writes beside what is stored: rows, lineage
+    instants (one a write) and rows without one."""
+    from pyspark.sql import functions as F
+    from wattflow.session import scratch_path
+    from wattflow.sinks import read_audit, write_audited
+    from wattflow.sources.delimited import read_silver
+    root = scratch_path(spark, "audited")
+    stored = None
+    for name, df, keys in (("silver_generation", silver_gen(spark, sf_dir, lineage=True), ["ano", "mes"]),
+                           ("silver_registry", silver_reg(spark, sf_dir, lineage=True), ["ano_conexao"])):
+        write_audited(df, f"{root}/{name}", name, f"{root}/audit", keys)
+        found = read_silver(spark, f"{root}/{name}").agg(
+            F.count(F.lit(1)).alias("rows_stored"), F.count_distinct("processed_at").alias("lineage_values"),
+            F.min("processed_at").alias("first")).withColumn("table_name", F.lit(name))
+        stored = found if stored is None else stored.unionByName(found)
+    return read_audit(spark, f"{root}/audit").join(stored, "table_name").select(
+        "table_name", "rows", "rows_stored", "lineage_values", "lineage_nulls",
+        ((F.col("lineage_first") == F.col("first")) & (F.col("lineage_last") == F.col("first"))).alias("one_instant"))
+
+
+@register("plants_rollup")
+def q_plants_rollup(spark, sf_dir):
+    """Distinct plants per state and year: exact, and whether the estimate
+    merged from the monthly sketches is within 5 % (or one plant)."""
+    from pyspark.sql import functions as F
+    from wattflow.session import stage
+    pre = stage(facts.pre_aggregate_generation(stg_gen(spark, sf_dir)), "generation-pre")
+    keys = ["sigla_uf", "ano_geracao"]
+    exact = pre.filter("eh_brasil").groupBy(*keys).agg(F.count_distinct("id_usina").alias("num_usinas"))
+    rolled = facts.rolled_up_plants(facts.plant_sketches(pre), *keys).withColumnsRenamed({k: "_" + k for k in keys})
+    same = [F.col(k).eqNullSafe(F.col("_" + k)) for k in keys]
+    error = F.abs(F.col("num_usinas_estimado") - F.col("num_usinas"))
+    return exact.join(rolled, same[0] & same[1], "left").select(
+        *keys, "num_usinas", (error <= F.greatest(F.lit(1.0), 0.05 * F.col("num_usinas"))).alias("dentro_de_5pct"))
+
+
+@register("newest_records")
+def q_newest_records(spark, sf_dir):
+    """Each installation's newest record over all landed snapshots."""
+    from wattflow.operators.snapshots import newest_records
+    from wattflow.schemas import REGISTRY_RAW
+    from wattflow.sources.delimited import read_delimited
+    landed = read_delimited(spark, _land_snapshots(spark, sf_dir, restate=False), REGISTRY_RAW, encoding="ISO-8859-1")
+    return newest_records(landed.select("snapshot_date", "CodEmpreendimento", "SigUF", "MdaPotenciaInstaladaKW",
+                                        "DscFonteGeracao"), "CodEmpreendimento", "snapshot_date")
+
+
 @register("raw_landing")
 def q_raw_landing(spark, sf_dir):
     """Two snapshots landed, the second replaced by a re-landing; read back."""
@@ -515,6 +606,18 @@ def q_select_resource(spark, sf_dir):
     return select_resource(fx.catalogue_rows(spark, sf_dir), 2024, 3)
 
 
+@register("catalogue_document")
+def q_catalogue_document(spark, sf_dir):
+    """CSV resource of 2024-03 in each catalogue: JSON documents of up to a
+    thousand resources, written from ``pages`` and read by position."""
+    from pyspark.sql import functions as F
+    from wattflow.session import scratch_path
+    from wattflow.sources.catalogue import read_catalogues, select_resources, write_catalogues
+    path = scratch_path(spark, "catalogues")
+    write_catalogues(fx.catalogue_rows(spark, sf_dir).withColumn("catalogue", F.expr("pos div 1000")), path)
+    return select_resources(read_catalogues(spark, path), 2024, 3)
+
+
 @register("landing_check")
 def q_landing_check(spark, sf_dir):
     """Landing rule (non-empty, no HTML in the first 100 bytes) on page HTML
@@ -551,3 +654,32 @@ def q_medallion_build(spark, sf_dir):
     res = build_all(spark, _land_generation(spark, sf_dir), _land_snapshots(spark, sf_dir),
                     scratch_path(spark, "build"), snapshot="latest", enforce=False)
     return spark.read.parquet(res.paths["fact_generation_monthly"])
+
+
+@register("gated_build")
+def q_gated_build(spark, sf_dir):
+    """Enforced builds on rows with state and fuel: with a sound registry; with
+    one whose installations of a state lost their ids; with a registry that
+    no check has seen. One row a build and mart: written or why not."""
+    from dataclasses import replace
+    from pyspark.sql import functions as F
+    from wattflow.operators.quality import REFERENCE_SUITE
+    from wattflow.plans.build import build_marts
+    from wattflow.session import scratch_path
+    from wattflow.sinks import write_partitioned
+    root = scratch_path(spark, "gated")
+    gen = silver_gen(spark, sf_dir).filter("id_estado is not null and nom_tipocombustivel is not null")
+    write_partitioned(gen, f"{root}/generation", ["ano", "mes"])
+    reg = silver_reg(spark, sf_dir)
+    write_partitioned(reg, f"{root}/sound", ["ano_conexao"])
+    lost = F.when(F.col("sigla_uf") != "NATION_3", F.col("cod_empreendimento"))
+    write_partitioned(reg.withColumn("cod_empreendimento", lost), f"{root}/lost", ["ano_conexao"])
+    unseen = replace(REFERENCE_SUITE, not_null={
+        m: c for m, c in REFERENCE_SUITE.not_null.items() if m != "stg_registry"})
+    out = []
+    for case, registry, suite in (("sound", "sound", REFERENCE_SUITE), ("lost_ids", "lost", REFERENCE_SUITE),
+                                  ("unchecked", "sound", unseen)):
+        res = build_marts(spark, f"{root}/generation", f"{root}/{registry}", f"{root}/build-{case}", suite=suite)
+        out += [(case, m, "blocked" if m in res.blocked else "ready", res.rows.get(m), ",".join(res.blocked.get(m, [])))
+                for m in ("dim_state", "dim_source", "fact_generation_monthly", "fact_capacity")]
+    return spark.createDataFrame(out, "build string, model string, status string, rows bigint, reasons string")

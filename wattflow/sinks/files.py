@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from wattflow.schemas import LINEAGE_COLUMN
+
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str] = (), mode: str = "overwrite",
                       dynamic: bool = False, fmt: str = "parquet",
@@ -34,6 +36,35 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str] = (), mode:
     return int(obs.get["rows"])
 
 
+AUDIT_SCHEMA = ("table_name string, path string, rows bigint, lineage_first timestamp, lineage_last timestamp, "
+                "lineage_nulls bigint, written_at timestamp")
+
+
+def write_audited(df: DataFrame, path: str, table_name: str, audit_path: str, keys: Sequence[str] = (),
+                  lineage: str = LINEAGE_COLUMN, dynamic: bool = False) -> int:
+    """``write_partitioned`` that also appends one row to the audit table.
+
+    Rows, least and greatest lineage instant and rows without one are observed
+    by the write itself, so they tell of what was written, not of a later scan.
+    """
+    obs = Observation("audit")
+    instant = F.col(lineage)
+    seen = df.observe(obs, F.min(instant).alias("first"), F.max(instant).alias("last"),
+                      F.count_if(instant.isNull()).alias("nulls"))
+    rows = write_partitioned(seen, path, keys, dynamic=dynamic)
+    got = obs.get
+    spark = df.sparkSession
+    entry = spark.createDataFrame(
+        [(table_name, path, rows, got["first"], got["last"], got["nulls"])],
+        AUDIT_SCHEMA.replace(", written_at timestamp", "")).withColumn("written_at", F.current_timestamp())
+    entry.coalesce(1).write.mode("append").parquet(audit_path)
+    return rows
+
+
+def read_audit(spark, audit_path: str) -> DataFrame:
+    return spark.read.schema(AUDIT_SCHEMA).parquet(audit_path)
+
+
 def land_raw(df: DataFrame, root: str, partition: Mapping[str, str] | None = None,
              partition_cols: Sequence[str] = (), encoding: str = "UTF-8", sep: str = ";",
              quote: str = '"') -> int:

@@ -20,7 +20,8 @@ def html_head(content: Column, nbytes: int = HTML_SNIFF_BYTES) -> Column:
 def text_check(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Landing rule applied to text already in a table: bytes of the whole
     text, HTML marker in its first bytes, ok = non-empty and not HTML."""
-    data = F.encode(F.col(text_col), "UTF-8")
+    # the window holds no more characters than bytes
+    data = F.encode(F.substring(F.col(text_col), 1, HTML_SNIFF_BYTES), "UTF-8")
     return df.select(
         F.col(id_col).alias("item_id"),
         F.octet_length(text_col).cast("bigint").alias("n_bytes"),
@@ -28,20 +29,24 @@ def text_check(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ).withColumn("ok", (F.col("n_bytes") > 0) & ~F.col("is_html"))
 
 
-def _head_bytes(batches, nbytes: int = HTML_SNIFF_BYTES):
-    """mapInPandas body: read the first bytes of each listed file."""
-    import pyarrow.fs as pafs
+def _head_reader(nbytes: int):
+    """mapInPandas body: the first bytes of each listed file. It is a closure,
+    so it travels with the plan and workers need not have this package."""
+    def read(batches):
+        import pyarrow.fs as pafs
 
-    for pdf in batches:
-        heads = []
-        for p in pdf["path"]:
-            uri = p.replace("s3a://", "s3://", 1)
-            if uri.startswith("file:") and not uri.startswith("file://"):
-                uri = "file://" + uri[len("file:"):]
-            fs, rel = pafs.FileSystem.from_uri(uri)
-            with fs.open_input_stream(rel) as f:
-                heads.append(f.read(nbytes))
-        yield pdf.assign(head=heads)[["path", "head"]]
+        for pdf in batches:
+            heads = []
+            for p in pdf["path"]:
+                uri = p.replace("s3a://", "s3://", 1)
+                if uri.startswith("file:") and not uri.startswith("file://"):
+                    uri = "file://" + uri[len("file:"):]
+                fs, rel = pafs.FileSystem.from_uri(uri)
+                with fs.open_input_stream(rel) as f:
+                    heads.append(f.read(nbytes))
+            yield pdf.assign(head=heads)
+
+    return read
 
 
 def landing_check(spark: SparkSession, root: str, expected: DataFrame | None = None,
@@ -57,8 +62,8 @@ def landing_check(spark: SparkSession, root: str, expected: DataFrame | None = N
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     listing = reader.load(root).select("path", F.col("length").alias("n_bytes"))
-    heads = listing.select("path").mapInPandas(_head_bytes, "path string, head binary")
-    found = listing.join(heads, "path", "left").select(
+    heads = listing.mapInPandas(_head_reader(HTML_SNIFF_BYTES), "path string, n_bytes bigint, head binary")
+    found = heads.select(
         "path", "n_bytes", F.coalesce(html_head(F.col("head")), F.lit(False)).alias("is_html"))
     found = found.withColumns({
         "ok": (F.col("n_bytes") > 0) & ~F.col("is_html"),
