@@ -8,6 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,12 +100,14 @@ class Model:
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_language: int = 1000) -> Model | None:
+          per_language: int = 1000, languages: int = 20) -> Model | None:
     """Fit on about ``per_language`` documents a language outside the held-out fold.
 
     The bound is this parameter: documents are taken by a hash of their id, in
     the share that the language's count allows, so the sample is the same on
-    every run. Its features, ``per_language`` * languages * 8 KB, go to the driver.
+    every run. Its features, ``per_language`` * languages * 8 KB, go to the
+    driver; with more than ``languages`` languages each brings fewer, so the
+    whole stays under ``per_language`` * ``languages`` * 8 KB (about 160 MB).
     None if no row can be learned from.
     """
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
@@ -113,6 +116,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row a language
     if not counts:
         return None
+    per_language = max(1, per_language * languages // max(languages, len(counts)))
     size = F.coalesce(*[F.when(F.col("lang") == k, F.lit(n)) for k, n in sorted(counts.items())])
     sample = rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), size) < per_language)
 
@@ -121,16 +125,26 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             texts = b.column(0).to_pylist()
             ok = [i for i, t in enumerate(texts) if _LETTER(t)]
             x = features([texts[i] for i in ok])
+            rows = [r.tobytes() for r in x]
             yield pa.RecordBatch.from_arrays(
-                [b.column(1).take(pa.array(ok, pa.int64())),
-                 pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "x"])
+                [b.column(1).take(pa.array(ok, pa.int64())), pa.array([xxhash.xxh3_128_digest(r) for r in rows], pa.binary()),
+                 pa.array(rows, pa.binary())], names=["lang", "key", "x"])
 
-    got = sample.select("text", "lang").mapInArrow(run, "lang string, x binary").collect()
-    if not got:
+    # one Arrow copy of the sample and one sorted matrix; the order does not depend on the partitions
+    got = sample.select("text", "lang").mapInArrow(run, "lang string, key binary, x binary").toArrow()
+    if not got.num_rows:
         return None
-    got.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    x = np.frombuffer(b"".join(bytes(r["x"]) for r in got), np.float32).reshape(len(got), DIM)
-    return Model(x, np.array([r["lang"] for r in got], object))
+    order = got.select(["lang", "key"]).append_column("at", pa.array(range(got.num_rows))).sort_by(
+        [("lang", "ascending"), ("key", "ascending")])["at"].to_numpy()
+    x = np.empty((len(order), DIM), np.float32)
+    at = 0
+    for chunk in got["x"].chunks:
+        for v in chunk:
+            x[at] = np.frombuffer(v.as_buffer(), np.float32)
+            at += 1
+    lang = np.array(got["lang"].to_pylist(), object)[order]
+    del got
+    return Model(x[order], lang)
 
 
 def predict_language(df: DataFrame, model: Model | None, id_col: str = "doc_id",
