@@ -47,7 +47,8 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"), length=400)
+    cut = repeats.remove_repeats(read_table(spark, sf_dir, "documents"), length=400, with_text=True, with_row=False)
+    return cut.withColumnRenamed("kept_text", "text")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

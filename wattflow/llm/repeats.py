@@ -266,7 +266,7 @@ RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def remove_repeats(df: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text",
-                   with_text: bool = False) -> DataFrame:
+                   with_text: bool = False, with_row: bool | None = None) -> DataFrame:
     """Cut out every byte covered by a ``length``-byte string that also starts
     anywhere else, in the same or another document; all occurrences go.
 
@@ -282,20 +282,22 @@ def remove_repeats(df: DataFrame, length: int = 400, id_col: str = "doc_id", tex
 
     One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256;
     with ``with_text`` also ``kept_text`` (characters that were cut inside are
-    left out whole) and the input row as the struct ``row_in``. Null, empty and
+    left out whole) and, unless ``with_row`` is false, the input row as the
+    struct ``row_in``. Null, empty and
     short texts keep all their bytes. Repeated rows are copies of each other.
     Other columns are ignored. Grams, contexts and rows are told apart by 64-bit
     hashes; the match lengths are exact.
     """
+    with_row = with_text if with_row is None else with_row
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     cols = [F.col(id_col).alias("doc_id"), text.alias("t"),
             F.xxhash64(F.col(id_col), text, F.col(id_col).isNull()).alias("row")]
-    src = df.select(*cols, *whole_row(df, with_text))
+    src = df.select(*cols, *whole_row(df, with_row))
     spans = repeated_spans(src.select("row", "t"), length)
-    extra = ["row_in"] if with_text else []
+    extra = ["row_in"] if with_row else []
     joined = src.join(spans, "row", "left").select("doc_id", "t", "spans", *extra)
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + (
-        ["kept_text", "row_in"] if with_text else [])
+        ["kept_text"] if with_text else []) + extra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -317,11 +319,14 @@ def remove_repeats(df: DataFrame, length: int = 400, id_col: str = "doc_id", tex
             out = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                    pa.array(count, pa.int64()), pa.array(digest, pa.string())]
             if with_text:
-                out += [pa.array(kept_texts, pa.string()), b.column("row_in")]
+                out.append(pa.array(kept_texts, pa.string()))
+            if with_row:
+                out.append(b.column("row_in"))
             yield pa.RecordBatch.from_arrays(out, names=names)
 
     id_type = src.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, {RESULT}"
     if with_text:
-        schema += ", kept_text string" + row_type(src, True)
+        schema += ", kept_text string"
+    schema += row_type(src, with_row)
     return joined.mapInArrow(run, schema)
