@@ -43,9 +43,10 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Repeated windows are found by sorting one long per window, its hash above
     its position, and looking at neighbours: n log n in the words of one
-    text. The position takes only the bits that the text's length needs (a
-    text of 300 words leaves 55 for the hash). Null and blank texts have zero
-    in every count.
+    text. The position takes the bits that the text's length needs, which
+    leaves a long text short hashes; so the windows found are sorted again by
+    their three words, and only those that are equal to a neighbour count.
+    Null and blank texts have zero in every count.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = df.select(F.col(id_col).alias("doc_id"), text.alias("t"))
@@ -65,7 +66,7 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "doc_id", "n_words",
         F.length(_without(F.col("t"), f"[{SPACE}]+")).cast("long").alias("word_chars"),
         left_out(SYMBOLS).alias("n_symbols"), left_out(r"\p{Lu}+").alias("n_upper"),
-        left_out(STOPS).alias("n_stops"), left_out(ODD).alias("n_odd"), lines.alias("l"), "k",
+        left_out(STOPS).alias("n_stops"), left_out(ODD).alias("n_odd"), lines.alias("l"), "k", "w",
         windows.alias("g"))
 
     def twin(x: Column, at: Column) -> Column:
@@ -73,8 +74,17 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return (_shift("shiftright", F.get("g", at + 1)) == h) | (_shift("shiftright", F.get("g", at - 1)) == h)
 
     low = _shift("shiftleft", F.lit(1).cast("long")) - 1
+    likely = F.transform(F.filter("g", lambda x, at: F.coalesce(twin(x, at), F.lit(False))), lambda x: x.bitwiseAND(low))
+    out = out.withColumn("c", F.sort_array(F.transform(likely, lambda i: F.struct(
+        *[F.get("w", (i + j).cast("int")).alias(f"w{j}") for j in range(3)], i.alias("at")))))
+
+    def equal(x: Column, at: Column) -> Column:
+        return F.when(at >= 0, F.struct(*[F.get("c", at)[f"w{j}"] for j in range(3)])
+                      == F.struct(*[x[f"w{j}"] for j in range(3)]))
+
     out = out.withColumn("at", F.sort_array(F.transform(
-        F.filter("g", lambda x, at: F.coalesce(twin(x, at), F.lit(False))), lambda x: x.bitwiseAND(low))))
+        F.filter("c", lambda x, at: F.coalesce(equal(x, at + 1), F.lit(False)) | F.coalesce(equal(x, at - 1), F.lit(False))),
+        lambda x: x["at"])))
     # a window covers three words; the next repeated window starts d words on: min(3, d) are new
     covered = F.aggregate(
         "at", F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).cast("long").alias("last")),
