@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ PIECE_ENDS = re.compile(rb"[.,;:!?\x0A-\x0D]")
 
 LONGEST = 4
 BLOCK_WORDS = 500_000
+HELD_PHRASES = 400_000
 #: Bits of a filter of frequent groups; its size does not depend on the input.
 FILTER_BITS = 26
 #: Bits of a hash that counting keeps; equal ones of different groups only let more through.
@@ -184,11 +186,16 @@ class _Step:
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["hash", "n"])
 
     def named(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts by text, added up over the blocks of a task while there is room."""
+        held: dict[str, Counter] = {}
         for _, block in _blocks(batches):
+            mine = held.setdefault(block.lang, Counter())
             texts, n = block.counts(self._at(block), self.length)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block.lang] * len(n), pa.string()), pa.array(texts, pa.binary()).cast(pa.string()),
-                 pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
+            for t, k in zip(texts, n.tolist()):
+                mine[t] += k
+            if sum(map(len, held.values())) > HELD_PHRASES:
+                yield from _phrase_rows(held)
+        yield from _phrase_rows(held)
 
     def kept(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in _blocks(batches):
@@ -197,6 +204,14 @@ class _Step:
                 yield block.keep(at, self.length).row(number)
 
 
+def _phrase_rows(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+    for lang, c in held.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.binary()).cast(pa.string()),
+             pa.array(list(c.values()), pa.int64())], names=["lang", "phrase", "n"])
+    held.clear()
+
+
 def _word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         h = [word_hash(lang.encode("utf-8"), w.encode("utf-8")) for lang, w in zip(*(c.to_pylist() for c in b.columns))]
