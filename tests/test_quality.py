@@ -52,6 +52,48 @@ def test_gate_blocks_only_downstream(spark):
     quality.enforce(res, "dim_state")
 
 
+ONCE = quality.CheckSuite(
+    not_null={"f": ["k", "v"], "d": ["k"], "gone": ["x"]}, unique={"d": ["k", "code"]},
+    accepted_values={"d": [("kind", ["a", "b"]), ("code", [1, 2])]}, relationships={"f": [("k", "d", "k"), ("v", "gone", "x")]})
+
+
+def _once_models(spark, empty=False):
+    f = spark.createDataFrame([("A", 1.0), ("A", None), ("X", 2.0), ("X", 2.0), (None, None)], "k string, v double")
+    d = spark.createDataFrame([("A", 1, "a"), ("A", 2, "z"), ("B", 2, "y"), ("C", None, None), (None, 9, "a")],
+                              "k string, code int, kind string")
+    return {m: t.limit(0) if empty else t for m, t in (("f", f), ("d", d))}
+
+
+def test_one_pass_equals_the_single_checks(spark):
+    for empty in (False, True):
+        models = _once_models(spark, empty)
+        once, single = ONCE.run_once(models), ONCE.run(models)
+        assert once.columns == single.columns == quality.RESULT_COLUMNS
+        assert sorted(map(tuple, once.collect())) == sorted(map(tuple, single.collect()))
+    got = _failures(ONCE.run_once(_once_models(spark)))
+    assert got == {"not_null_f_k": 1, "not_null_f_v": 2, "not_null_d_k": 1, "unique_d_k": 1, "unique_d_code": 1,
+                   "accepted_values_d_kind": 2, "accepted_values_d_code": 1, "relationships_f_k": 2}
+    assert ONCE.run_once({}).isEmpty()
+
+
+def test_one_pass_reads_each_table_once(spark, tmp_path):
+    models = {}
+    for m, df in _once_models(spark).items():
+        df.write.parquet(str(tmp_path / m))
+        models[m] = spark.read.parquet(str(tmp_path / m))
+    plan = ONCE.ledger(models)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+    results = ONCE.run_once(models)._jdf.queryExecution().optimizedPlan().toString()
+    assert "code#" not in results  # the results come from the written ledger
+
+
+def test_one_pass_compares_columns_of_one_type(spark):
+    import pytest
+    models = {"f": spark.createDataFrame([(1,)], "k int"), "d": spark.createDataFrame([("1",)], "k string")}
+    with pytest.raises(ValueError, match="differ in type"):
+        quality.CheckSuite(relationships={"f": [("k", "d", "k")]}).run_once(models)
+
+
 def test_suite_builds_only_the_models_its_checks_read(spark):
     from wattflow.plans.registry import _OnDemand
     built = []

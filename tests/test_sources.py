@@ -161,3 +161,60 @@ def test_latest_partition_value_types(spark, tmp_path):
         assert latest_partition_value(back, name) == want
         assert select_snapshot(back, name, "latest").count() == 1
     assert latest_partition_value(spark.range(3), "id") is None
+
+
+def test_latest_folder_looks_at_the_first_level(spark, tmp_path):
+    import datetime as dt
+    from pyspark.sql.types import DateType, IntegerType
+    from wattflow.sources.delimited import latest_folder
+
+    root = tmp_path / "landed"
+    for day, name, data in (("2024-01-31", "a.csv", b"x"), ("2024-02-01", "a.csv", b"x"), ("2024-03-01", "a.csv", b""),
+                            ("2024-04-01", "_SUCCESS", b"x"), ("__HIVE_DEFAULT_PARTITION__", "a.csv", b"x")):
+        (root / f"snapshot_date={day}").mkdir(parents=True)
+        (root / f"snapshot_date={day}" / name).write_bytes(data)
+    assert latest_folder(spark, str(root), "snapshot_date", DateType()) == dt.date(2024, 2, 1).isoformat()
+    for n in (9, 10):
+        (tmp_path / "n" / f"run={n}" / "sub").mkdir(parents=True)
+        (tmp_path / "n" / f"run={n}" / "sub" / "a.csv").write_bytes(b"x")
+    assert latest_folder(spark, str(tmp_path / "n"), "run", IntegerType()) == "10"
+    assert latest_folder(spark, str(tmp_path / "absent"), "run", IntegerType()) is None
+
+
+def test_declared_sources_stay_while_they_grow(spark, tmp_path):
+    from wattflow.sources.named import register_sources, source
+
+    path, flat = str(tmp_path / "t"), str(tmp_path / "flat")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
+    rows.write.partitionBy("p").parquet(path)
+    rows.write.parquet(flat)
+    register_sources(spark, "wattflow_grow", {"t": path, "flat": flat}, location=str(tmp_path / "ns"))
+    for t in ("t", "flat"):
+        spark.sql(f"ALTER TABLE wattflow_grow.{t} SET TBLPROPERTIES ('mark'='1')")
+
+    def marked(t):
+        return spark.sql(f"SHOW TBLPROPERTIES wattflow_grow.{t}").filter("key = 'mark'").count() == 1
+
+    rows.withColumn("p", F.lit("c")).write.mode("append").partitionBy("p").parquet(path)
+    for f in (tmp_path / "t" / "p=a").iterdir():
+        f.unlink()
+    (tmp_path / "t" / "p=a").rmdir()
+    moved = str(tmp_path / "flat2")
+    rows.limit(1).write.parquet(moved)
+    register_sources(spark, "wattflow_grow", {"t": path, "flat": moved})
+    assert sorted(map(tuple, source(spark, "wattflow_grow", "t").collect())) == [(1, "c"), (2, "b"), (2, "c")]
+    assert source(spark, "wattflow_grow", "flat").count() == 1 and marked("t") and marked("flat")
+    # other columns: declared anew
+    rows.withColumn("w", F.lit(1)).write.mode("overwrite").parquet(moved)
+    register_sources(spark, "wattflow_grow", {"flat": moved})
+    assert source(spark, "wattflow_grow", "flat").columns == ["v", "p", "w"] and not marked("flat")
+
+
+def test_writes_without_rows_are_counted(spark, tmp_path):
+    from wattflow.sinks import write_partitioned
+
+    none = spark.createDataFrame([], "v int, p string")
+    assert write_partitioned(none, str(tmp_path / "a"), ["p"]) == 0
+    none.write.parquet(str(tmp_path / "b"))
+    read = spark.read.schema("v int, p string").parquet(str(tmp_path / "b"))
+    assert write_partitioned(read, str(tmp_path / "c"), ["p"], dynamic=True) == 0

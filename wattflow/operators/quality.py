@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattflow.schemas import SOURCE_CATEGORIES
+from wattflow.session import stage
 
 RESULT_COLUMNS = ["check_id", "model", "column_name", "test", "failures", "should_warn",
                   "should_error"]
@@ -81,6 +82,30 @@ def relationships(child: DataFrame, model: str, col: str, parent: DataFrame,
     return _result(orphans.agg(F.sum("n").alias("failures")), model, col, "relationships")
 
 
+LEDGER_SCHEMA = "model string, column_name string, value string, n bigint"
+
+
+def value_ledger(df: DataFrame, model: str, keys: Sequence[str],
+                 required: Sequence[str] = ()) -> DataFrame:
+    """Rows per value of every column in ``keys``, from one pass over a table:
+    ``(model, column_name, value, n)``, values as text.
+
+    Columns that are only ``required`` enter their null rows alone, so a
+    column that no check compares costs one count. Rows are combined before
+    the shuffle; a hot value is one row a task.
+    """
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+               for c in dict.fromkeys(keys)]
+    entries += [F.when(F.col(c).isNull(), F.struct(F.lit(c).alias("column_name"),
+                                                   F.lit(None).cast("string").alias("value")))
+                for c in dict.fromkeys(required) if c not in set(keys)]
+    if not entries:
+        return df.sparkSession.createDataFrame([], LEDGER_SCHEMA)
+    seen = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    return seen.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(model).alias("model"), "column_name", "value", "n")
+
+
 def union_results(results: Sequence[DataFrame]) -> DataFrame:
     """All check results in one table; an empty one if there are none."""
     if not results:
@@ -120,6 +145,75 @@ class CheckSuite:
                     for c, p, pc in specs if p in have]
         return union_results(out)
 
+    def ledger(self, models: Mapping[str, DataFrame]) -> DataFrame:
+        """``value_ledger`` of every given model: what all checks of the suite
+        need, each table read once."""
+        keys: dict[str, list[str]] = {m: list(self.unique.get(m, [])) for m in models}
+        for m in models:
+            keys[m] += [c for c, _ in self.accepted_values.get(m, [])]
+            for c, p, pc in self.relationships.get(m, []):
+                if p in keys:
+                    if models[m].schema[c].dataType != models[p].schema[pc].dataType:
+                        raise ValueError(f"{m}.{c} and {p}.{pc} differ in type: values are compared as text")
+                    keys[m].append(c)
+                    keys[p].append(pc)
+        out = None
+        for m, df in models.items():
+            one = value_ledger(df, m, keys[m], self.not_null.get(m, []))
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    def run_once(self, models: Mapping[str, DataFrame]) -> DataFrame:
+        """The results of ``run``, from one pass over each model.
+
+        The ledger is written under the shared folder; null counts, repeated
+        keys, foreign values and orphans are all read from it. It has a row a
+        distinct value, so orphans are joined without a hot key.
+        """
+        models = {m: models[m] for m in models}
+        if not models:
+            return union_results([])
+        edges = [(m, c, p, pc) for m, specs in self.relationships.items() if m in models
+                 for c, p, pc in specs if p in models]
+        specs = [("not_null", m, c) for m, cols in self.not_null.items() if m in models for c in cols]
+        specs += [("unique", m, c) for m, cols in self.unique.items() if m in models for c in cols]
+        specs += [("accepted_values", m, c) for m, vals in self.accepted_values.items() if m in models
+                  for c, _ in vals]
+        specs += [("relationships", m, c) for m, c, _, _ in edges]
+        ledger = stage(self.ledger(models), "value-ledger")
+        spark = ledger.sparkSession
+
+        foreign = F.lit(False)
+        for m, vals in self.accepted_values.items():
+            for c, allowed in vals:
+                # text of the allowed values as the column's own type writes it
+                kind = models[m].schema[c].dataType if m in models else None
+                if kind is not None:
+                    texts = [F.lit(v).cast(kind).cast("string") for v in allowed]
+                    foreign = foreign | ((F.col("model") == m) & (F.col("column_name") == c)
+                                         & ~F.col("value").isin(texts))
+        present = F.col("value").isNotNull()
+        counts = ledger.groupBy("model", "column_name").agg(
+            F.sum(F.when(~present, F.col("n"))).alias("not_null"),
+            F.count_if(present & (F.col("n") > 1)).alias("unique"),
+            F.count_if(present & foreign).alias("accepted_values"),
+        ).unpivot(["model", "column_name"], ["not_null", "unique", "accepted_values"], "test", "failures")
+        if edges:
+            edge = spark.createDataFrame(
+                edges, "model string, column_name string, parent string, parent_column string")
+            parents = ledger.select(F.col("model").alias("parent"),
+                                    F.col("column_name").alias("parent_column"), "value")
+            orphans = ledger.filter(present).join(edge, ["model", "column_name"]).join(
+                parents, ["parent", "parent_column", "value"], "left_anti")
+            counts = counts.unionByName(orphans.groupBy("model", "column_name").agg(
+                F.sum("n").alias("failures")).withColumn("test", F.lit("relationships")))
+        checks = spark.createDataFrame(specs, "test string, model string, column_name string")
+        failures = F.coalesce(F.col("failures").cast("bigint"), F.lit(0).cast("bigint"))
+        return checks.join(counts, ["test", "model", "column_name"], "left").select(
+            F.concat_ws("_", "test", "model", "column_name").alias("check_id"), "model", "column_name",
+            "test", failures.alias("failures"), (failures != 0).alias("should_warn"),
+            (failures != 0).alias("should_error"))
+
 
 # FIXED VALUES: the 23 checks of the source models (17 not_null, 3 unique,
 # 1 accepted_values, 2 relationships), on our table names.

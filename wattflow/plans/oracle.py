@@ -503,6 +503,7 @@ FROM silver_gen""")
 _reg("silver_generation_csv", _SILVER_GEN_LEAK)
 _reg("silver_generation_stream", _SILVER_GEN_LEAK)
 _reg("incremental_period", with_(SILVER_GEN, "SELECT * FROM silver_gen"))
+_reg("incremental_marts", with_(FACT_GEN, "SELECT * FROM fact_gen"))
 
 _reg("silver_registry_csv", with_(REG_RAW + f""",
 silver_reg AS ({silver_reg_select('reg_raw', " DATE '2024-01-01' AS snapshot_date,")})""",

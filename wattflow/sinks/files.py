@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wattflow.schemas import LINEAGE_COLUMN
 
 
+def observed(obs: Observation, empty: Mapping) -> Mapping:
+    """Metrics of a finished write. A plan found to be without rows loses its
+    observing node and so has none: then ``empty`` is what it would have seen."""
+    try:
+        return obs.get
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return empty
+
+
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str] = (), mode: str = "overwrite",
                       dynamic: bool = False, fmt: str = "parquet",
                       options: Mapping[str, str] | None = None, rebalance: bool = True) -> int:
@@ -33,7 +45,7 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str] = (), mode:
     if keys:
         writer = writer.partitionBy(*keys)
     writer.save(path)
-    return int(obs.get["rows"])
+    return int(observed(obs, {"rows": 0})["rows"])
 
 
 AUDIT_SCHEMA = ("table_name string, path string, rows bigint, lineage_first timestamp, lineage_last timestamp, "
@@ -52,7 +64,7 @@ def write_audited(df: DataFrame, path: str, table_name: str, audit_path: str, ke
     seen = df.observe(obs, F.min(instant).alias("first"), F.max(instant).alias("last"),
                       F.count_if(instant.isNull()).alias("nulls"))
     rows = write_partitioned(seen, path, keys, dynamic=dynamic)
-    got = obs.get
+    got = observed(obs, {"first": None, "last": None, "nulls": 0})
     spark = df.sparkSession
     entry = spark.createDataFrame(
         [(table_name, path, rows, got["first"], got["last"], got["nulls"])],

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from wattflow.sinks.files import write_partitioned
+from wattflow.sinks.files import observed, write_partitioned
 
 
 def ensure_namespace(spark, name: str, location: str | None = None) -> None:
@@ -38,7 +38,7 @@ def materialize(df: DataFrame, name: str, kind: str = "table", namespace: str |
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(full)
-    return spark.table(full), int(obs.get["rows"])
+    return spark.table(full), int(observed(obs, {"rows": 0})["rows"])
 
 
 class PublishRefused(RuntimeError):

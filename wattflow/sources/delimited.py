@@ -8,8 +8,8 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DateType, IntegerType, LongType, ShortType, StringType,
-                               StructField, StructType)
+from pyspark.sql.types import (ByteType, DataType, DateType, IntegerType, LongType, ShortType,
+                               StringType, StructField, StructType)
 
 from wattflow.schemas import GENERATION_RAW, REGISTRY_RAW
 
@@ -38,18 +38,23 @@ def read_delimited(spark: SparkSession, path, schema: StructType, encoding: str
     return reader.csv(path)
 
 
-def select_snapshot(df: DataFrame, col: str = "snapshot_date", mode: str = "latest") -> DataFrame:
+def select_snapshot(df: DataFrame, col: str = "snapshot_date", mode: str = "latest",
+                    root: str | None = None) -> DataFrame:
     """Registry snapshot selector.
 
     ``all`` keeps every landed snapshot (counts multiply with the number of
-    runs); ``latest`` keeps the newest one only, found from the partition
-    directories of the file listing, so only that snapshot is read.
+    runs); ``latest`` keeps the newest one only, found from the ``col=value``
+    folders under ``root`` (without a root, from the frame's file list), so
+    only that snapshot is read.
     """
     if mode == "all":
         return df
     if mode != "latest":
         raise ValueError(f"unknown snapshot mode {mode!r}")
-    value = latest_partition_value(df, col)
+    if root is None:
+        value = latest_partition_value(df, col)
+    else:
+        value = latest_folder(df.sparkSession, root, col, df.schema[col].dataType)
     if value is not None:
         # a literal filter on the partition column: pruned while planning
         return df.filter(F.col(col) == F.lit(value).cast(df.schema[col].dataType))
@@ -58,6 +63,16 @@ def select_snapshot(df: DataFrame, col: str = "snapshot_date", mode: str = "late
     return df.filter(F.col(col) == latest)
 
 
+def _newest_first(raw, dtype: DataType) -> list[str]:
+    """Partition values as text, newest first by their type; null values go."""
+    values = {unquote(v) for v in raw} - {"__HIVE_DEFAULT_PARTITION__"}
+    if isinstance(dtype, (IntegerType, LongType, ShortType, ByteType)):
+        return sorted(values, key=int, reverse=True)
+    if isinstance(dtype, DateType):
+        return [d.isoformat() for d in sorted(map(dt.date.fromisoformat, values), reverse=True)]
+    return sorted(values, reverse=True)
+
+
 def latest_partition_value(df: DataFrame, col: str):
     """Newest ``col=value`` directory among the files of a file-source scan.
 
@@ -65,21 +80,33 @@ def latest_partition_value(df: DataFrame, col: str):
     (``inputFiles``), so no data is read; a CSV scan could not skip to them.
     Returns ``None`` when the files are not partitioned by ``col``.
     """
-    try:
-        files = df.inputFiles()
-    except Exception:  # noqa: BLE001 - not a file source
-        return None
     pat = re.compile(rf"/{re.escape(col)}=([^/]+)/")
-    raw = {unquote(m.group(1)) for f in files for m in [pat.search(f)] if m}
-    raw.discard("__HIVE_DEFAULT_PARTITION__")
-    if not raw:
-        return None
-    dtype = df.schema[col].dataType
-    if isinstance(dtype, (IntegerType, LongType, ShortType, ByteType)):
-        return str(max(int(v) for v in raw))
-    if isinstance(dtype, DateType):
-        return max(dt.date.fromisoformat(v) for v in raw).isoformat()
-    return max(raw)
+    found = _newest_first({m.group(1) for f in df.inputFiles() for m in [pat.search(f)] if m},
+                          df.schema[col].dataType)
+    return found[0] if found else None
+
+
+def latest_folder(spark: SparkSession, root: str, col: str, dtype: DataType):
+    """Newest ``col=value`` folder right under ``root`` that holds a file with
+    bytes, or ``None``. One listing of the first level and a look into the
+    newest folders through the session's file system, however many files lie
+    deeper; a file system that cannot be read raises."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{col}=*")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders: dict[str, list] = {}
+    for status in fs.globStatus(path) or []:
+        if status.isDirectory():
+            raw = status.getPath().getName().removeprefix(f"{col}=")
+            for value in _newest_first([raw], dtype):
+                folders.setdefault(value, []).append(status.getPath())
+    for value in _newest_first(folders, dtype):
+        for folder in folders[value]:
+            files = fs.listFiles(folder, True)
+            while files.hasNext():
+                f = files.next()
+                if f.getLen() > 0 and f.getPath().getName()[0] not in "_.":
+                    return value
+    return None
 
 
 def read_generation_bronze(spark: SparkSession, root: str) -> DataFrame:
@@ -90,7 +117,7 @@ def read_generation_bronze(spark: SparkSession, root: str) -> DataFrame:
 def read_registry_bronze(spark: SparkSession, root: str, snapshot: str = "latest") -> DataFrame:
     """Registry bronze (``snapshot_date=`` partitions), ISO-8859-1, quoted."""
     df = read_delimited(spark, root, REGISTRY_RAW, encoding="ISO-8859-1", quote='"')
-    return select_snapshot(df, "snapshot_date", snapshot)
+    return select_snapshot(df, "snapshot_date", snapshot, root=root)
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
