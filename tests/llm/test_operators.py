@@ -274,6 +274,26 @@ def test_near_duplicate_vectors(spark):
                 assert r.n_links == close[i].sum() - 1 + again
 
 
+def test_thousands_of_vectors_with_links(spark):
+    """Tight groups (reported whole), loose ones at the threshold, a hot group
+    and lone vectors, over many cells and blocks, against all products."""
+    prepare(spark)
+    rnd = np.random.default_rng(11)
+    centre = rnd.normal(size=(400, 16))
+    own = np.r_[rnd.integers(0, 400, 2200), np.zeros(800, np.int64)]
+    spread = rnd.choice([0.005, 0.05, 0.2, 0.35], len(own))
+    x = centre[own] + rnd.normal(size=(len(own), 16)) * spread[:, None]
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    close = unit @ unit.T >= 0.9
+    a, b = np.nonzero(np.triu(close, 1))
+    root = roots(range(len(x)), list(zip(a.tolist(), b.tolist())))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = cover_tree.near_duplicates(df, 0.9, block=300).collect()
+    assert len(got) == len(x) and len(a) > 50_000
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == \
+        {i: (int(n) - 1, root[i]) for i, n in enumerate(close.sum(axis=1))}
+
+
 def statistics_by_hand(text):
     w = words(text)
     grams = collections.Counter(zip(w, w[1:], w[2:]))

@@ -13,9 +13,13 @@ from wattflow.llm.common import ragged
 from wattflow.llm.components import components
 from wattflow.session import stage
 
-#: Radii of the nested levels, halving; below the last level are the points.
-RADII = (1.0, 0.5)
-EPS = 1e-9
+#: Radii of the nested levels, halving; above them are the cells, below the
+#: last one the points.
+RADII = (0.5, 0.25, 0.125, 0.0625)
+#: Slack of the bounds on distances, above their rounding (about 1e-7 near 0).
+EPS = 1e-6
+#: Most products held at once while pairs of nodes are expanded.
+CELLS = 1 << 21
 
 
 def distance(cosine: np.ndarray) -> np.ndarray:
@@ -23,124 +27,214 @@ def distance(cosine: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cosine))
 
 
-class CoverTree:
-    """Nested levels of centres over unit vectors (rows of ``x``).
-
-    Every point lies within a level's radius of its centre; centres of a level
-    lie further apart than that, and each belongs to a node of the level
-    above. ``radius`` is the true covering radius, over all points below.
-    The distances within ``x`` are held as one matrix while the tree is built:
-    trees are made of one block or one batch of visitors.
+def _net(x: np.ndarray, rows: np.ndarray, r: float) -> np.ndarray:
+    """The centre of each of ``rows``: centres lie further apart than about
+    ``r`` (single precision; covering radii are measured afterwards), every
+    other row within it of its own. The first row is a centre."""
+    near = 1.0 - r * r / 2.0
+    centre, free = np.empty(len(rows), np.int64), np.arange(len(rows))
+    while len(free):
+        first = rows[free[:256]]
+        close = x[first] @ x[first].T >= near
+        np.fill_diagonal(close, True)
+        held, picked = np.zeros(len(first), bool), []
+        for k in range(len(first)):
+            if not held[k]:
+                picked.append(k)
+                held |= close[k]
+        dots = x[rows[free]] @ x[first[picked]].T
+        dots[picked, np.arange(len(picked))] = 2.0
+        best = dots.argmax(axis=1)
+        found = dots[np.arange(len(free)), best] >= near
+        centre[free[found]] = first[picked][best[found]]
+        free = free[~found]
+    return centre
+
+
+def grow(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A cover tree over unit vectors: nested nets of halving radii.
+
+    Returns the rows in depth-first order, each node's centre first; for each
+    of them the topmost level it is a centre of (``len(RADII)``: none); and the
+    true covering radius of its node at every level, over all vectors below.
     """
+    n, depth = len(x), len(RADII)
+    single, own = x.astype(np.float32), np.arange(len(x))
+    path, groups = np.empty((n, depth), np.int64), [own]
+    for level, r in enumerate(RADII):
+        path[:, level] = own
+        below = []
+        for rows in groups:
+            centre = _net(single, rows, r)
+            path[rows, level] = centre
+            by = np.lexsort((rows, rows != centre, centre))
+            cuts = np.flatnonzero(np.diff(centre[by])) + 1
+            below += [g for g in np.split(rows[by], cuts) if len(g) > 1]
+        groups = below
+    radius = np.zeros((n, depth))
+    for level in range(depth):
+        rows = np.flatnonzero(path[:, level] != own)
+        c = path[rows, level]
+        np.maximum.at(radius[:, level], c, distance(np.einsum("ij,ij->i", x[rows], x[c])))
+    centre_of = path == own[:, None]
+    top = np.where(centre_of.any(axis=1), centre_of.argmax(axis=1), depth)
+    keys, above = [path[:, 0]], path[:, 0]
+    for below in [*path.T[1:], own]:
+        keys += [below != above, below]
+        above = below
+    order = np.lexsort(keys[::-1])
+    return order, top[order], radius[order]
 
-    def __init__(self, x: np.ndarray):
-        self.x = x
-        self.levels = []  # (centres, radius, starts of children, children) from the top
-        owner = np.zeros(len(x), np.int64)  # one root
-        n_parents = 1
-        apart = distance(x @ x.T)
-        for r in RADII:
-            centre = np.empty(len(x), np.int64)
-            picked, parent = [], []
-            held = np.argsort(owner, kind="stable")
-            ends = np.cumsum(np.bincount(owner, minlength=n_parents))
-            for p, (lo, hi) in enumerate(zip([0, *ends], ends)):
-                free = held[lo:hi]
-                while len(free):
-                    near = apart[free[0], free] <= r
-                    near[0] = True
-                    centre[free[near]] = len(picked)
-                    picked.append(free[0])
-                    parent.append(p)
-                    free = free[~near]
-            picked, parent = np.array(picked, np.int64), np.array(parent, np.int64)
-            d = distance(np.einsum("ij,ij->i", x, x[picked[centre]]))
-            radius = np.zeros(len(picked))
-            np.maximum.at(radius, centre, d)
-            count = np.bincount(parent, minlength=n_parents)
-            self.levels.append((x[picked], radius, np.cumsum(count) - count, count))
-            owner, n_parents = centre, len(picked)
-        order = np.argsort(owner, kind="stable")
-        count = np.bincount(owner, minlength=n_parents)
-        self.points = order
-        self.levels.append((x[order], np.zeros(len(x)), np.cumsum(count) - count, count))
-
-
-def linked_pairs(a: CoverTree, b: CoverTree, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs (row of a, row of b) with a product of at least ``cosine``.
-
-    Both trees are descended level by level. A pair of nodes lives on while
-    its centres are no further apart than both covering radii and the
-    threshold; the children of a node meet only those of its live partners.
+
+class CoverTree:
+    """The tree of ``grow`` over vectors in its order. A node of a level covers
+    the rows [start, end); its centre is the row ``start``."""
+
+    def __init__(self, x: np.ndarray, top: np.ndarray, radius: np.ndarray):
+        self.x, self.single = x, x.astype(np.float32)
+        starts = [np.flatnonzero(top <= level) for level in range(len(RADII))] + [np.arange(len(x))]
+        self.levels = []  # start, end, covering radius, first child, children
+        for level, at in enumerate(starts):
+            if level == len(RADII):
+                self.levels.append((at, at + 1, np.zeros(len(x)), at, np.zeros(len(x), np.int64)))
+                break
+            first = np.searchsorted(starts[level + 1], at)
+            self.levels.append((at, np.r_[at[1:], len(x)], radius[at, level], first,
+                                np.diff(np.r_[first, len(starts[level + 1])])))
+
+
+def _close_pairs(a: CoverTree, b: CoverTree, level: int, i: np.ndarray, j: np.ndarray,
+                 reach: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of all pairs of the nodes i and j of a level, those that may hold a
+    link, by products in single precision with its error as a margin."""
+    at, _, ra, _, _ = a.levels[level]
+    bt, _, rb, _, _ = b.levels[level]
+    margin = (a.x.shape[1] + 8) * 2.0 ** -22
+    for j in (j[rb[j] == 0], j[rb[j] > 0]):
+        step = max(1, CELLS // max(1, len(j)))
+        right = b.single[bt[j]].T
+        for k in range(0, len(i) if len(j) else 0, step):
+            part = i[k:k + step]
+            far = (ra[part] + reach + EPS).astype(np.float32)[:, None]
+            if rb[j[0]] > 0:
+                far = far + rb[j].astype(np.float32)[None, :]
+            p, q = np.divmod(np.flatnonzero(a.single[at[part]] @ right >= 1.0 - margin - far * far / 2), len(j))
+            yield part[p], j[q]
+
+
+def links(a: CoverTree, b: CoverTree, cosine: float) -> Iterator[tuple[np.ndarray, ...]]:
+    """All pairs with a product of at least ``cosine``, as arrays of ranges
+    (from, to in a; from, to in b): every row of one with every row of the other.
+
+    Both trees are descended together, level by level. A pair of nodes dies
+    when its centres are further apart than both covering radii and the
+    threshold; it is reported whole when they are so close that all below must
+    link; else the children of both meet.
     """
     reach = float(distance(np.float64(cosine)))
-    live = [np.zeros(1, np.int64)]  # partners in b of each node in a
-    for depth, ((ca, ra, fa, na), (cb, rb, fb, nb)) in enumerate(zip(a.levels, b.levels)):
-        leaf = depth == len(a.levels) - 1
-        after: list[np.ndarray] = [np.zeros(0, np.int64)] * len(ca)
-        for node, partners in enumerate(live):
-            if not len(partners) or not na[node]:
-                continue
-            mine = slice(fa[node], fa[node] + na[node])
-            theirs = ragged(fb[partners], nb[partners])
-            dots = ca[mine] @ cb[theirs].T
-            if leaf:
-                i, j = np.nonzero(dots >= cosine)
-                if len(i):
-                    yield a.points[fa[node] + i], b.points[theirs[j]]
-                continue
-            near = distance(dots) <= ra[mine, None] + rb[theirs][None, :] + reach + EPS
-            for k in range(na[node]):
-                after[fa[node] + k] = theirs[near[k]]
-        live = after
-
-
-class _Union:
-    def __init__(self, n: int):
-        self.up = np.arange(n)
-
-    def find(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        a, b = self.find(i), self.find(j)
-        self.up[max(a, b)] = min(a, b)
+    depth = len(a.levels) - 1
+
+    def judge(level: int, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        at, ae, ra, fa, na = a.levels[level]
+        bt, be, rb, fb, nb = b.levels[level]
+        step = max(1, CELLS // a.x.shape[1])
+        for k in range(0, len(i), step):
+            p, q = i[k:k + step], j[k:k + step]
+            dots = np.einsum("ij,ij->i", a.x[at[p]], b.x[bt[q]])
+            if level == depth:
+                whole = dots >= cosine
+            else:
+                d, r = distance(dots), ra[p] + rb[q]
+                whole = ((d + r + EPS <= reach) & (r > 0)) | ((r == 0) & (dots >= cosine))
+            if whole.any():
+                yield at[p[whole]], ae[p[whole]], bt[q[whole]], be[q[whole]]
+            if level < depth:
+                more = ~whole & (r > 0) & (d <= r + reach + EPS)
+                yield from children(level, p[more], q[more])
+
+    def children(level: int, p: np.ndarray, q: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        _, _, _, fa, na = a.levels[level]
+        _, _, _, fb, nb = b.levels[level]
+        size = na[p] * nb[q]
+        for k in np.flatnonzero(size > 1024):
+            mine, theirs = (np.arange(f[n], f[n] + m[n]) for f, m, n in ((fa, na, p[k]), (fb, nb, q[k])))
+            for i, j in _close_pairs(a, b, level + 1, mine, theirs, reach):
+                yield from judge(level + 1, i, j)
+        p, q, size = p[size <= 1024], q[size <= 1024], size[size <= 1024]
+        cuts = np.flatnonzero(np.diff(np.cumsum(size) // CELLS)) + 1
+        for p, q, size in zip(np.split(p, cuts), np.split(q, cuts), np.split(size, cuts)):
+            at = ragged(np.zeros(len(p), np.int64), size)
+            wide = np.repeat(nb[q], size)
+            if len(at):
+                yield from judge(level + 1, np.repeat(fa[p], size) + at // wide, np.repeat(fb[q], size) + at % wide)
+
+    for i, j in _close_pairs(a, b, 0, np.arange(len(a.levels[0][0])), np.arange(len(b.levels[0][0])), reach):
+        yield from judge(0, i, j)
+
+
+def _roots(up: np.ndarray) -> np.ndarray:
+    while True:
+        after = up[up]
+        if (after == up).all():
+            return up
+        up = after
+
+
+def _join(up: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The forest ``up``, flat, with the trees of every i and j joined under
+    the smallest row."""
+    up = _roots(up)
+    while True:
+        lo, hi = np.minimum(up[i], up[j]), np.maximum(up[i], up[j])
+        apart = lo != hi
+        if not apart.any():
+            return up
+        i, j = lo[apart], hi[apart]
+        up = up.copy()
+        np.minimum.at(up, j, i)
+        up = _roots(up)
 
 
 class _Block:
     """One block's own vectors and what its visitors link to."""
 
-    def __init__(self, ids: np.ndarray, weight: np.ndarray, x: np.ndarray, cosine: float):
-        self.ids, self.weight, self.cosine = ids, weight, cosine
-        self.tree, self.links, self.union = CoverTree(x), np.zeros(len(ids), np.int64), _Union(len(ids))
-        for i, j in linked_pairs(self.tree, self.tree, cosine):
-            i, j = i[i != j], j[i != j]
-            np.add.at(self.links, i, weight[j])
-            for p, q in zip(i.tolist(), j.tolist()):
-                if p < q and self.union.find(p) != self.union.find(q):
-                    self.union.join(p, q)
-
-    def visit(self, ids: np.ndarray, weight: np.ndarray, x: np.ndarray) -> list[tuple]:
-        links, touched = np.zeros(len(ids), np.int64), [set() for _ in ids]
-        for i, j in linked_pairs(CoverTree(x), self.tree, self.cosine):
-            np.add.at(links, i, self.weight[j])
-            np.add.at(self.links, j, weight[i])
-            for p, q in zip(i.tolist(), j.tolist()):
-                touched[p].add(self.union.find(q))
-        out = []
-        for p in np.flatnonzero(links):
-            first, *others = sorted(touched[p])
-            for q in others:  # tied by the visitor
-                self.union.join(first, q)
-            out.append((int(ids[p]), int(links[p]), int(self.ids[first])))
-        return out + [(int(self.ids[q]), 0, int(self.ids[t[0]])) for t in map(sorted, touched) for q in t[1:]]
-
-    def close(self) -> list[tuple]:
-        return [(int(i), int(n), int(self.ids[self.union.find(k)]))
-                for k, (i, n) in enumerate(zip(self.ids, self.links)) if n]
+    def __init__(self, ids: np.ndarray, weight: np.ndarray, tree: CoverTree, cosine: float):
+        self.ids, self.weight, self.tree, self.cosine = ids, weight, tree, cosine
+        self.links, self.up = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        self.links, _, self.up = self._meet(weight, tree, 0)
+        self.links -= weight  # each with itself
+
+    def _meet(self, weight: np.ndarray, tree: CoverTree, base: int) -> tuple[np.ndarray, ...]:
+        """Links of the rows of ``tree``, of the own rows, and the forest over
+        own rows and, from ``base`` on, those."""
+        up = np.r_[self.up, np.arange(base, base + len(weight))] if base else self.up
+        mine, theirs = np.zeros(len(self.ids) + 1, np.int64), np.zeros(len(weight) + 1, np.int64)
+        total, visit = np.r_[0, np.cumsum(self.weight)], np.r_[0, np.cumsum(weight)]
+        for i0, i1, j0, j1 in links(tree, self.tree, self.cosine):
+            for at, n, ends in ((theirs, total[j1] - total[j0], (i0, i1)), (mine, visit[i1] - visit[i0], (j0, j1))):
+                np.add.at(at, ends[0], n)
+                np.add.at(at, ends[1], -n)
+            # a range whose rows share a partner is one class
+            pairs = [(base + i0, j0)]
+            for shift, lo, hi in ((base, i0, i1), (0, j0, j1)):
+                wide = np.unique(np.stack([lo, hi])[:, hi - lo > 1], axis=1)
+                rest = ragged(wide[0], wide[1] - wide[0])
+                pairs.append((shift + rest, shift + np.repeat(wide[0], wide[1] - wide[0])))
+            up = _join(up, *(np.concatenate(c) for c in zip(*pairs)))
+        return np.cumsum(theirs)[:-1], np.cumsum(mine)[:-1], up
+
+    def visit(self, ids: np.ndarray, weight: np.ndarray, tree: CoverTree) -> tuple[np.ndarray, ...]:
+        """id, links, root of the visitors that link to own rows."""
+        n = len(self.ids)
+        theirs, mine, up = self._meet(weight, tree, n)
+        self.links += mine
+        self.up = up[:n]  # roots are the smallest rows, so own ones
+        p = np.flatnonzero(theirs)
+        return ids[p], theirs[p], self.ids[up[n + p]]
+
+    def close(self) -> tuple[np.ndarray, ...]:
+        p = np.flatnonzero(self.links)
+        return self.ids[p], self.links[p], self.ids[self.up[p]]
 
 
 def _vectors(col: pa.Array, dim: int) -> np.ndarray:
@@ -183,22 +277,40 @@ def pivots(x: np.ndarray, n: int) -> np.ndarray:
     return x[picked]
 
 
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple[int, ...], pa.RecordBatch]]:
+    """The rows of sorted batches by runs of equal keys, each as one batch."""
+    at, held = None, []
+    for b in batches:
+        key = np.stack([b.column(k).to_numpy() for k in keys])
+        cut = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)]) if b.num_rows else []
+        for i, j in zip(cut, [*cut[1:], b.num_rows]):
+            here = tuple(key[:, i].tolist())
+            if here != at:
+                if held:
+                    yield at, pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                at, held = here, []
+            held.append(b.slice(i, j - i))
+    if held:
+        yield at, pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def near_duplicates(df: DataFrame, cosine: float = 0.9, id_col: str = "vec_id",
-                    vec_col: str = "embedding", block: int = 2048, sample: int = 4096,
-                    max_cells: int = 256) -> DataFrame:
+                    vec_col: str = "embedding", block: int = 4096, sample: int = 8192,
+                    max_cells: int = 1024) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row.
 
     1. Equal vectors become one row with a count (its least id stands for it).
-    2. The top of a cover tree, at most ``max_cells`` centres by farthest-first
+    2. The top of the tree, at most ``max_cells`` centres by farthest-first
        traversal of a sample of about ``sample`` vectors, cuts the space into
-       cells; every vector goes to its nearest centre, and the covering radius
-       of each cell is taken over all its vectors. Cells are split into blocks
-       of about ``block`` vectors.
-    3. Of two blocks, the vectors of one visit the other, but only those
-       within the covering radius and the threshold of its centre. A task
-       holds one block and streams its visitors.
-    4. In a task, cover trees of the block and of a batch of visitors are
-       traversed together; only link counts and a spanning set of links leave it.
+       cells; every vector goes to its nearest centre, once, and the covering
+       radius of each cell is taken over all its vectors. Cells are split into
+       blocks of about ``block`` vectors.
+    3. A cover tree is grown over each block, once. Of two blocks, the nodes
+       of one visit the other, but only those whose covering radius and the
+       threshold reach the covering radius of its cell. A task holds one block
+       and one visiting block at a time.
+    4. In a task, both trees are traversed together; only link counts and a
+       spanning set of links leave it.
     5. Links become components in Spark.
 
     The sample only shapes cells; every pair at or above ``cosine`` is found.
@@ -230,79 +342,79 @@ def near_duplicates(df: DataFrame, cosine: float = 0.9, id_col: str = "vec_id",
         for b in batches:
             if b.num_rows:
                 dots = _vectors(b.column("unit"), dim) @ centre.value.T
-                cell = dots.argmax(axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell.astype(np.int64)), pa.array(distance(dots.max(axis=1)))],
-                    names=["cell", "d"])
+                    [*b.columns, pa.array(dots.argmax(axis=1)), pa.array(distance(dots.max(axis=1)))],
+                    names=["rep", "n", "unit", "cell", "d"])
 
-    stats = (units.select("unit").mapInArrow(assign, "cell long, d double").groupBy("cell")
-             .agg(F.max("d").alias("r"), F.count(F.lit(1)).alias("n")).collect())  # max_cells rows
+    placed = stage(units.mapInArrow(assign, "rep long, n long, unit binary, cell long, d double"), "vector-cells")
+    stats = placed.groupBy("cell").agg(F.max("d").alias("r"), F.count(F.lit(1)).alias("n")).collect()  # max_cells rows
     radius, blocks = np.full(len(top), -1.0), np.zeros(len(top), np.int64)
     for s in stats:
         radius[s["cell"]], blocks[s["cell"]] = s["r"], -(-s["n"] // block)
     cells = spark.broadcast((radius, blocks, np.cumsum(blocks) - blocks))
     reach = float(distance(np.float64(cosine))) + EPS
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, blocks, first = cells.value
+        for b in batches:
+            cell = b.column("cell").to_numpy()
+            home = first[cell] + b.column("salt").to_numpy() % np.maximum(1, blocks[cell])
+            yield pa.RecordBatch.from_arrays([pa.array(home), pa.array(cell), *b.select(["rep", "n", "unit"]).columns],
+                                             names=["home", "cell", "rep", "n", "unit"])
+
+    def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         radius, blocks, first = cells.value
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                b = whole.slice(at, 512)
-                dots = _vectors(b.column("unit"), dim) @ centre.value.T
-                cell = dots.argmax(axis=1)
-                home = first[cell] + b.column("salt").to_numpy() % blocks[cell]
-                near = (distance(dots) <= radius + reach) & (radius >= 0)
-                near[np.arange(len(cell)), cell] = True
-                row, c = np.nonzero(near)
-                to = ragged(first[c], blocks[c])
-                row = np.repeat(row, blocks[c])
-                mine = home[row]
-                keep = (to == mine) | ((to > mine) ^ ((to + mine) % 2 == 1))
-                row, to, mine = row[keep], to[keep], mine[keep]
-                part = b.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(to), pa.array((to != mine).astype(np.int32)), part.column("rep"),
-                     part.column("n"), part.column("unit")], names=["block", "visitor", "rep", "n", "unit"])
+        for (home, cell), t in _runs(batches, ["home", "cell"]):
+            x = _vectors(t.column("unit"), dim)
+            order, top, covering = grow(x)
+            x, t = x[order], t.select(["rep", "n", "unit"]).take(pa.array(order))
+            start = np.flatnonzero(top == 0)
+            apart = distance(x[start] @ centre.value.T)
+            near = (apart <= radius + covering[start, :1] + reach) & (radius >= 0)
+            near[:, cell] = True
+            size = np.diff(np.r_[start, len(x)])
+            for c in np.flatnonzero(near.any(axis=0)):
+                to = np.arange(first[c], first[c] + blocks[c])
+                to = to[(to == home) | ((to > home) ^ ((to + home) % 2 == 1))]
+                row = ragged(start[near[:, c]], size[near[:, c]])
+                part = t.take(pa.array(row))
+                radii = pa.array([r.tobytes() for r in covering[row]], pa.binary())
+                for k in to.tolist():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(row), k)), pa.array(np.full(len(row), -1 if k == home else home)),
+                         pa.array(row), pa.array(top[row].astype(np.int32)), radii, *part.columns],
+                        names=["block", "visitor", "pos", "top", "radii", "rep", "n", "unit"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, own, current = None, [], None
-
-        def open_block() -> _Block:
-            ids, n, x = (np.concatenate(c) for c in zip(*own))
-            return _Block(ids, n, x, cosine)
-
-        def batch(found: list[tuple]) -> pa.RecordBatch:
-            cols = list(zip(*found)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols],
-                                              names=["id", "links", "root"])
-
-        for b in batches:
-            key, role = b.column("block").to_numpy(), b.column("visitor").to_numpy()
-            cut = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (role[1:] != role[:-1])]) if len(key) else []
-            for i, j in zip(cut, [*cut[1:], len(key)]):
-                part = b.slice(i, j - i)
-                data = (part.column("rep").to_numpy(), part.column("n").to_numpy(),
-                        _vectors(part.column("unit"), dim))
-                if key[i] != at:
-                    if own:
-                        yield batch((current or open_block()).close())
-                    at, own, current = key[i], [], None
-                if not role[i]:
-                    own.append(data)
-                elif own:
-                    current = current or open_block()
-                    for k in range(0, j - i, 1024):
-                        yield batch(current.visit(*(c[k:k + 1024] for c in data)))
-        if own:
-            yield batch((current or open_block()).close())
-
-    found = stage(units.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "rep"), F.lit(1 << 30)))
-                  .mapInArrow(send, "block long, visitor int, rep long, n long, unit binary")
-                  .repartition("block").sortWithinPartitions("block", "visitor", "rep")
+        at, current = None, None
+
+        def batch(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["id", "links", "root"])
+
+        for (key, visitor), t in _runs(batches, ["block", "visitor"]):
+            tree = CoverTree(_vectors(t.column("unit"), dim), t.column("top").to_numpy(),
+                             np.frombuffer(b"".join(v.as_py() for v in t.column("radii")), np.float64)
+                             .reshape(t.num_rows, len(RADII)))
+            ids, n = t.column("rep").to_numpy(), t.column("n").to_numpy()
+            if visitor < 0:  # sorted first: every block that is visited has rows
+                if current:
+                    yield batch(current.close())
+                at, current = key, _Block(ids, n, tree, cosine)
+            elif key == at:
+                yield batch(current.visit(ids, n, tree))
+        if current:
+            yield batch(current.close())
+
+    trees = (placed.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "rep"), F.lit(1 << 30)))
+             .mapInArrow(settle, "home long, cell long, rep long, n long, unit binary")
+             .repartition("home").sortWithinPartitions("home", "rep")
+             .mapInArrow(plant, "block long, visitor long, pos long, top int, radii binary, "
+                                "rep long, n long, unit binary"))
+    found = stage(trees.repartition("block").sortWithinPartitions("block", "visitor", "pos")
                   .mapInArrow(link, "id long, links long, root long"), "vector-links")
-    links = found.groupBy("id").agg(F.sum("links").alias("links"))
+    linked = found.groupBy("id").agg(F.sum("links").alias("links"))
     group = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    classes = equal.join(units.select("rep"), "rep").join(links, F.col("rep") == F.col("id"), "left").drop("id") \
+    classes = equal.join(units.select("rep"), "rep").join(linked, F.col("rep") == F.col("id"), "left").drop("id") \
         .join(group, F.col("rep") == F.col("node"), "left") \
         .select("embedding", "rep", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"),
                 F.coalesce("component", "rep").alias("component"))
