@@ -28,8 +28,11 @@ def collapse_dim(df: DataFrame, key: str, max_cols: Sequence[str] = (),
     # max() over strings cannot use a hash-aggregation buffer (Spark falls
     # back to a sort-based aggregate over every input row), so distinct
     # (key, descriptor) combinations are taken first with a hash aggregate;
-    # the max then runs over a handful of rows per key. Same result.
-    combos = df.filter(F.col(key).isNotNull()).select(key, *max_cols, *any_cols).distinct()
+    # the max then runs over a handful of rows per key. Same result. They are
+    # counted and the count is read: a plain distinct() below max and bool_or
+    # is dropped by the optimizer, and every input row is sorted after all.
+    combos = df.filter(F.col(key).isNotNull()).groupBy(key, *max_cols, *any_cols).agg(
+        F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 0)
     return combos.groupBy(key).agg(*aggs)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wattflow.operators import dims, facts
-from wattflow.session import scratch_path, stage
+from wattflow.session import bounded_pieces, scratch_path, stage
 
 #: Folder and schemas of the marts written in this process, by application,
 #: input folder and group, with the state of the inputs they were built from.
@@ -22,11 +22,15 @@ def generation_marts(stg: DataFrame, stage_fact: bool = False) -> dict[str, Data
     rest on written tables (their numbered rows); with ``stage_fact`` the fact
     does too, for callers that read it several times (the data checks).
     """
-    pre = stage(facts.pre_aggregate_generation(stg), "generation-pre")
+    spark = stg.sparkSession
+    with bounded_pieces(spark):
+        pre = stage(facts.pre_aggregate_generation(stg), "generation-pre")
     d_uf, d_fonte = dims.dim_state(pre), dims.dim_source(pre)
     fact = facts.monthly_fact(pre, d_uf, d_fonte, pre_aggregated=True)
-    return {"dim_state": d_uf, "dim_source": d_fonte,
-            "fact_generation_monthly": stage(fact, "fact-generation") if stage_fact else fact}
+    if stage_fact:
+        with bounded_pieces(spark):
+            fact = stage(fact, "fact-generation")
+    return {"dim_state": d_uf, "dim_source": d_fonte, "fact_generation_monthly": fact}
 
 
 def input_state(spark: SparkSession, root: str) -> tuple:
@@ -53,7 +57,8 @@ def stored_marts(spark: SparkSession, root: str, group: str,
     if seen != state or not all(_written(spark, f"{path}/{name}") for name in schemas):
         path, schemas = scratch_path(spark, f"marts-{group}"), {}
         for name, df in build().items():
-            df.write.parquet(f"{path}/{name}")
+            with bounded_pieces(spark):
+                df.write.parquet(f"{path}/{name}")
             schemas[name] = df.schema
         _STORED[key] = (state, path, schemas)
     return {name: spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in schemas.items()}
