@@ -54,3 +54,14 @@ def test_collapse_does_not_sort_the_input_rows(spark):
     plan = _plan(out)
     assert plan.count("HashAggregate") >= 2 + plan.count("ObjectHashAggregate")
     assert [tuple(r) for r in out.collect()] == [("A", "y", True)]
+
+
+def test_landings_are_packed_and_read_back_whole(spark):
+    root = R._land_snapshots(spark, SF_SMALL)
+    landed = glob.glob(f"{root.removeprefix('file:')}/*/*.csv*")
+    assert landed and all(f.endswith(".csv.gz") for f in landed)
+    from wattflow.schemas import REGISTRY_RAW
+    from wattflow.sources.delimited import read_delimited
+    got = read_delimited(spark, root, REGISTRY_RAW, encoding="ISO-8859-1").drop("snapshot_date")
+    want = fx.reg_snapshot(spark, SF_SMALL, 0).unionByName(fx.reg_snapshot(spark, SF_SMALL, 1))
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()

@@ -395,7 +395,7 @@ def _land_generation(spark: SparkSession, sf_dir: str) -> str:
         "year": F.date_format("din_instante", "yyyy"),
         "month": F.date_format("din_instante", "MM"),
     })
-    land_raw(raw, root, partition_cols=["year", "month"], encoding="UTF-8")
+    land_raw(raw, root, partition_cols=["year", "month"], encoding="UTF-8", compression="gzip")
     return root
 
 
@@ -406,10 +406,11 @@ def _land_snapshots(spark: SparkSession, sf_dir: str, restate: bool = True) -> s
     from wattflow.sinks import land_raw
     root = scratch_path(spark, "bronze-registry")
     (d1, _, _), (d2, _, _) = fx.SNAPSHOTS
-    land_raw(fx.reg_snapshot(spark, sf_dir, 0), root, {"snapshot_date": d1}, encoding="ISO-8859-1")
+    packed = {"encoding": "ISO-8859-1", "compression": "gzip"}
+    land_raw(fx.reg_snapshot(spark, sf_dir, 0), root, {"snapshot_date": d1}, **packed)
     if restate:
-        land_raw(fx.reg_raw(spark, sf_dir), root, {"snapshot_date": d2}, encoding="ISO-8859-1")
-    land_raw(fx.reg_snapshot(spark, sf_dir, 1), root, {"snapshot_date": d2}, encoding="ISO-8859-1")
+        land_raw(fx.reg_raw(spark, sf_dir), root, {"snapshot_date": d2}, **packed)
+    land_raw(fx.reg_snapshot(spark, sf_dir, 1), root, {"snapshot_date": d2}, **packed)
     return root
 
 
@@ -428,7 +429,7 @@ def q_silver_generation_csv(spark, sf_dir):
     bronze = _land_generation(spark, sf_dir)
     out = scratch_path(spark, "silver-generation")
     write_partitioned(silver.silver_generation(read_generation_bronze(spark, bronze)), out,
-                      ["ano", "mes"])
+                      ["ano", "mes"], rebalance=False)  # landed by month: few files a task without a shuffle
     return _drop_lineage(read_silver(spark, out))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wattflow.schemas import LINEAGE_COLUMN
+from wattflow.session import bounded_pieces
 
 
 def observed(obs: Observation, empty: Mapping) -> Mapping:
@@ -79,19 +80,25 @@ def read_audit(spark, audit_path: str) -> DataFrame:
 
 def land_raw(df: DataFrame, root: str, partition: Mapping[str, str] | None = None,
              partition_cols: Sequence[str] = (), encoding: str = "UTF-8", sep: str = ";",
-             quote: str = '"') -> int:
+             quote: str = '"', compression: str | None = None) -> int:
     """Land raw rows as delimited text under hive directories.
 
     ``partition`` fixes literal values (one period or snapshot:
     ``{"snapshot_date": "2024-02-01"}``); ``partition_cols`` names columns of
     ``df`` to partition by. Existing partitions other than the ones written
     are kept (dynamic overwrite), so re-landing a period replaces it only.
+    ``compression`` (``"gzip"``) packs each file; a packed file is read by one
+    task, so rows are landed by small tasks, which bounds the files.
     """
     lit_cols = dict(partition or {})
     if lit_cols:
         df = df.withColumns({k: F.lit(v) for k, v in lit_cols.items()})
     keys = list(lit_cols) + list(partition_cols)
-    return write_partitioned(
-        df, root, keys, mode="overwrite", dynamic=True, fmt="csv",
-        rebalance=bool(partition_cols),  # literal partitions need no shuffle
-        options={"sep": sep, "header": "true", "encoding": encoding, "quote": quote})
+    options = {"sep": sep, "header": "true", "encoding": encoding, "quote": quote}
+    if compression:
+        options["compression"] = compression
+    with bounded_pieces(df.sparkSession):
+        return write_partitioned(
+            df, root, keys, mode="overwrite", dynamic=True, fmt="csv",
+            rebalance=bool(partition_cols),  # literal partitions need no shuffle
+            options=options)
