@@ -56,6 +56,26 @@ def test_collapse_does_not_sort_the_input_rows(spark):
     assert [tuple(r) for r in out.collect()] == [("A", "y", True)]
 
 
+def test_silver_of_landed_months_is_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    asked = []
+
+    def write(df, path, keys=(), **kw):
+        asked.append((path.rsplit("/", 1)[-1].split("-")[0], kw.get("rebalance", True)))
+        return files.write_partitioned(df, path, keys, **kw)
+
+    monkeypatch.setattr(build, "write_partitioned", write)
+    monkeypatch.setattr(incremental, "write_partitioned", write)
+    bronze = R._land_generation(spark, SF_SMALL)
+    incremental.run_silver_generation(spark, bronze, str(tmp_path / "stream"), str(tmp_path / "ckpt"), lineage=False)
+    build.build_silver(spark, bronze, R._land_snapshots(spark, SF_SMALL), str(tmp_path / "out"))
+    assert dict(asked) == {"stream": False, "generation": False, "registry": True}
+    whole = R.silver_gen(spark, SF_SMALL)
+    for path in (f"{tmp_path}/stream", f"{tmp_path}/out/silver/generation"):
+        got = spark.read.parquet(path)
+        cols = [c for c in whole.columns if c in got.columns]
+        assert got.select(cols).exceptAll(whole.select(cols)).count() == 0 and got.count() == whole.count()
+
+
 def test_landings_are_packed_and_read_back_whole(spark):
     root = R._land_snapshots(spark, SF_SMALL)
     landed = glob.glob(f"{root.removeprefix('file:')}/*/*.csv*")

@@ -64,7 +64,8 @@ def run_silver_generation(spark: SparkSession, bronze_root: str, silver_root: st
         silver = silver_generation(landed, lineage=lineage)
         left = {tuple(r) for r in silver.select(*PERIOD).distinct().collect()}  # noise may be all of one
         if left:
-            write_partitioned(silver, silver_root, PERIOD, dynamic=True)
+            # a landed file is of one period: few files a task without a shuffle
+            write_partitioned(silver, silver_root, PERIOD, dynamic=True, rebalance=False)
         # a dynamic overwrite leaves partitions without new rows as they were
         for period in set(touched) - left:
             folder = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}"
