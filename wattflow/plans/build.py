@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattflow.operators import dims, facts, quality, silver, staging
 from wattflow.schemas import GENERATION_SILVER_PARTITIONS, REGISTRY_SILVER_PARTITIONS
+from wattflow.session import bounded_pieces
 from wattflow.sinks import write_partitioned
 from wattflow.sources.delimited import read_generation_bronze, read_registry_bronze, read_silver
 
@@ -32,10 +33,11 @@ def build_silver(spark: SparkSession, gen_bronze: str, reg_bronze: str, out_root
                  snapshot: str = "latest") -> BuildResult:
     """Bronze -> silver for both datasets (full refresh, partitioned Parquet)."""
     res = BuildResult()
+    # a landed file holds one month, so a task that reads it writes few files as it is: no shuffle
     gen_path, reg_path = f"{out_root}/silver/generation", f"{out_root}/silver/registry"
     res.rows["silver_generation"] = write_partitioned(
         silver.silver_generation(read_generation_bronze(spark, gen_bronze)), gen_path,
-        GENERATION_SILVER_PARTITIONS)
+        GENERATION_SILVER_PARTITIONS, rebalance=False)
     res.rows["silver_registry"] = write_partitioned(
         silver.silver_registry(read_registry_bronze(spark, reg_bronze, snapshot)), reg_path,
         REGISTRY_SILVER_PARTITIONS)
@@ -77,13 +79,15 @@ def build_marts(spark: SparkSession, silver_gen_path: str, silver_reg_path: str,
         if failing:
             res.blocked[name] = failing
         path = f"{out_root}/marts/{name}"
-        res.rows[name] = write_partitioned(df, path, keys)
+        with bounded_pieces(spark):
+            res.rows[name] = write_partitioned(df, path, keys)
         res.paths[name] = path
         return read_silver(spark, path)
 
     # one pass over generation staging feeds both dimensions and the fact
     pre_path = f"{out_root}/work/generation_pre"
-    write_partitioned(facts.pre_aggregate_generation(models["stg_generation"]), pre_path)
+    with bounded_pieces(spark):
+        write_partitioned(facts.pre_aggregate_generation(models["stg_generation"]), pre_path)
     pre = read_silver(spark, pre_path)
 
     def table_checks(name: str, df: DataFrame) -> DataFrame:
