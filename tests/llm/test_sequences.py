@@ -48,6 +48,29 @@ def test_comparison_with_the_library(pieces):
     pieces.fresh.clear()
 
 
+def test_chunks_part_words_from_marks(pieces):
+    for text, parts in (("▁house,", ["▁house", ","]), ("▁(house)***", ["▁(", "house", ")***"]),
+                        ("▁▁дом.12", ["▁▁дом", ".", "1", "2"]), ("a▁", ["a", "▁"]), ("\n世", ["\n", "世"])):
+        assert pieces.chunks(text) == parts
+    crossing = {n[i - 1:i + 1] for n in pieces.rank for i in range(1, len(n))}
+    text = "".join(random.Random(9).choices(sorted({*"".join(pieces.rank), *"12\n\t😀"}), k=20_000))
+    parts = pieces.chunks(text)
+    assert "".join(parts) == text and not crossing & {a[-1] + b[0] for a, b in zip(parts, parts[1:])}
+
+
+def test_new_chunks_are_merged_together(monkeypatch):
+    v = piece_bpe.PieceVocabulary(registry.PIECE_BPE, cached_chunks=50)
+    rnd = random.Random(8)
+    texts = [" ".join("".join(rnd.choices("aeinstrh", k=rnd.randint(1, 23))) + rnd.choice(["", ",", "***"])
+                      for _ in range(200)) for _ in range(20)] + ["", "a" * 24 + " " + "a" * 25]
+    want, alone = v.library.encode(texts), []
+    monkeypatch.setattr(v, "encode_chunk", lambda c, f=v.encode_chunk: alone.append(c) or f(c))
+    assert [x.tolist() for x in v.encode_texts(texts)] == want
+    assert alone == ["▁" + "a" * 24, "▁" + "a" * 25]  # only chunks of over 24 characters go one by one
+    assert [v.encode(t) for t in texts] == want  # the cache starts afresh before each
+    v.compare()
+
+
 def test_decoding_of_any_ids(pieces):
     rnd = random.Random(6)
     for _ in range(4000):

@@ -102,14 +102,16 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def merge_words(v: Vocabulary, symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def merge_words(v: Vocabulary, symbols: np.ndarray, word: np.ndarray,
+                leftmost: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Merge rounds over many words in one flat array.
 
     ``symbols`` are the words' first symbols one after another, ``word`` the
     number of the word of each. A round looks every adjacent pair up by
     binary search in the sorted pair keys, finds the lowest rank of each word,
     and merges that pair wherever it stands in the word (of overlapping places
-    the first, third, ...). Words without a known pair leave the flat array.
+    the first, third, ...; with ``leftmost`` only the first place of all, for
+    vocabularies where what a merge makes may rank better). Words without a known pair leave the flat array.
     Returns final symbols and their words, in word order.
     """
     done_s, done_w = [], []
@@ -135,10 +137,12 @@ def merge_words(v: Vocabulary, symbols: np.ndarray, word: np.ndarray) -> tuple[n
             done_s.append(symbols[~active])
             done_w.append(word[~active])
         place = np.flatnonzero(active & (rank == best))
-        # runs of overlapping hits (a a a): keep every other one
-        fresh = np.r_[True, np.diff(place) > 1][:len(place)]
-        run_start = place[fresh][np.cumsum(fresh) - 1]
-        place = place[(place - run_start) % 2 == 0]
+        if leftmost:
+            place = place[np.r_[True, np.diff(word[place]) > 0][:len(place)]]
+        else:  # runs of overlapping hits (a a a): keep every other one
+            fresh = np.r_[True, np.diff(place) > 1][:len(place)]
+            run_start = place[fresh][np.cumsum(fresh) - 1]
+            place = place[(place - run_start) % 2 == 0]
         symbols[place] = v.merged[index[place]]
         active[place + 1] = False
         # only the pairs that touch a merged symbol are looked up anew

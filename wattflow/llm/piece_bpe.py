@@ -1,13 +1,17 @@
-"""SentencePiece vocabularies of the merge type: encoding by a score-ordered agenda, and decoding."""
+"""SentencePiece vocabularies of the merge type: encoding by a score-ordered agenda, and decoding.
+
+The agendas of all short chunks that are new in a group of texts are worked
+off together, as arrays: each round merges the best pair of every chunk.
+"""
 
 from __future__ import annotations
 
 import codecs
 import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +19,13 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattflow.llm.common import prepare, row_type, text_groups, whole_row
+from wattflow.llm.bpe import WordEncoder, merge_words
+from wattflow.llm.common import prepare, ragged, row_type, text_groups, whole_row
 
 #: FIXED VALUE: the character that stands for a blank inside pieces.
 BLANK = "▁"
+#: FIXED VALUE: characters of a chunk up to which its agenda is an array among others, not a heap.
+FEW = 24
 
 
 def _one_by_one(error: UnicodeError) -> tuple[str, int]:
@@ -28,6 +35,64 @@ def _one_by_one(error: UnicodeError) -> tuple[str, int]:
 codecs.register_error("piece-bytes", _one_by_one)  # each byte that is no text becomes one mark
 
 
+def joined_characters(pieces: Iterable[str]) -> list[str]:
+    """Classes of characters, blanks left out: two that stand side by side in a piece are in one class."""
+    parent: dict[str, str] = {}
+
+    def top(c: str) -> str:
+        while parent.setdefault(c, c) != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    for p in pieces:
+        for run in filter(None, p.split(BLANK)):
+            top(run[0])
+            for a, b in pairwise(run):
+                parent[top(a)] = top(b)
+    classes: dict[str, list[str]] = {}
+    for c in sorted(parent):
+        classes.setdefault(top(c), []).append(c)
+    return sorted(map("".join, classes.values()), key=lambda c: (-len(c), c))
+
+
+class ChunkEncoder(WordEncoder):
+    """chunk -> number; ids of all numbered chunks in one flat array.
+
+    New chunks are merged by ``flush``. Past ``max_words`` chunks or
+    ``max_chars`` of them the cache starts afresh.
+    """
+
+    def __init__(self, v: PieceVocabulary, max_words: int, max_chars: int = 1 << 24):
+        self.max_chars = max_chars
+        super().__init__(v, max_words)
+
+    def _reset(self) -> None:
+        super()._reset()
+        self.chars = 0
+
+    cache_clear = _reset
+
+    def begin(self) -> None:
+        if self.chars > self.max_chars:
+            self._reset()
+        super().begin()
+
+    def flush(self) -> None:
+        if not self.new:
+            return
+        new, self.new = self.new, []
+        ids, length = self.v.encode_chunks(new)
+        start = np.cumsum(length) - length + len(self.ids)
+        self.ids = np.r_[self.ids, ids]
+        self.length, self.start = np.r_[self.length, length], np.r_[self.start, start]
+        self.chars += sum(map(len, new))
+        self.v.fresh += new
+
+    def known(self, chunk: str) -> list[int] | None:
+        n = self.get(chunk, len(self.start))
+        return self.ids[self.start[n]:self.start[n] + self.length[n]].tolist() if n < len(self.start) else None
+
+
 class PieceVocabulary:
     """Pieces, scores and byte ids of a model file, and a cache of encoded chunks.
 
@@ -51,7 +116,6 @@ class PieceVocabulary:
         longer = {names[i]: -m.get_score(i) for i in plain if len(names[i]) > 1}
         place = {s: r for r, s in enumerate(sorted(set(longer.values())))}
         self.rank = {n: place[s] for n, s in longer.items()}  # 0 is the best score
-        self.none = len(place)
         self.output = [b""] * size  # text bytes of each id
         for i in plain:
             self.output[i] = names[i].replace(BLANK, " ").encode("utf-8")
@@ -59,47 +123,53 @@ class PieceVocabulary:
             self.output[i] = bytes([b])
         self.starts_blank = np.array([n.startswith(BLANK) for n in names])
         # Chunks that no merge can cross, as no piece holds the two characters at their border: a
-        # blank after another character, or a character (alone) that is in no longer piece.
+        # blank after another character, or characters of two classes. Those in no class are alone.
         if any(re.search(f"[^{BLANK}]{BLANK}", n) for n in self.rank):
             raise ValueError(f"{path}: pieces cross from a word into a blank")
-        joining = set("".join(self.rank))
-        alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joining)
-        self.chunks = re.compile(f"{BLANK}*[^{BLANK}{alone}]+|{BLANK}+|.", re.DOTALL).findall
+        classes = "|".join(f"[{re.escape(c)}]++" for c in joined_characters(self.rank))
+        self.chunks = re.compile(f"{BLANK}*+(?:{classes})|{BLANK}++|.", re.DOTALL).findall
+        # The pairs that merge, by ids of pieces: sorted keys, the ranks of the results, and their ids
+        self.size = size
+        self.piece_of = np.full(0x110000, -1, np.int32)  # by code point
+        for n, i in self.id_of.items():
+            if len(n) == 1:
+                self.piece_of[ord(n)] = i
+        halves = [(self.id_of[n[:k]] * size + self.id_of[n[k:]], r, self.id_of[n]) for n, r in self.rank.items()
+                  for k in range(1, len(n)) if n[:k] in self.id_of and n[k:] in self.id_of]
+        self.keys, ranks, self.merged = np.array(sorted(halves), np.int64).reshape(-1, 3).T.copy()
+        self.ranks = np.unique(ranks, return_inverse=True)[1].astype(np.int64)
         self.fresh: list[str] = []  # chunks encoded since the last comparison with the library
-        self.chunk = functools.lru_cache(cached_chunks)(self._new_chunk)
+        self.chunk = ChunkEncoder(self, cached_chunks)
 
-    def encode_chunk(self, text: str) -> tuple[int, ...]:
+    def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, one after another, and their numbers of ids."""
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        piece = self.piece_of[np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)].astype(np.int64)
+        of = np.repeat(np.arange(len(chunks)), sizes)
+        few = sizes <= FEW
+        few[of[piece < 0]] = False
+        ids, of = merge_words(self, piece[few[of]], of[few[of]], leftmost=True)
+        others = [(i, self.encode_chunk(chunks[i])) for i in np.flatnonzero(~few).tolist()]
+        if others:
+            ids = np.r_[ids, np.fromiter(chain.from_iterable(x for _, x in others), np.int64)]
+            of = np.r_[of, np.repeat([i for i, _ in others], [len(x) for _, x in others])]
+            order = np.argsort(of, kind="stable")
+            ids, of = ids[order], of[order]
+        return ids.astype(np.int32), np.bincount(of, minlength=len(chunks))
+
+    def encode_chunk(self, text: str) -> list[int]:
         """Ids of one chunk. An agenda holds every adjacent pair of symbols
         that is a piece; the best score, of equal ones the leftmost, is merged
         first and puts its new neighbours' pairs on the agenda."""
-        symbols = self._merge_few(text) if len(text) <= 24 else self._merge_many(text)
+        symbols = self._merge(text)
         try:
-            return tuple(map(self.id_of.__getitem__, symbols))
+            return list(map(self.id_of.__getitem__, symbols))
         except KeyError:
-            return tuple(chain.from_iterable(
+            return list(chain.from_iterable(
                 [self.id_of[s]] if s in self.id_of else map(self.byte_ids.__getitem__, s.encode("utf-8"))
                 for s in symbols))
 
-    def _merge_few(self, text: str) -> list[str]:
-        """The agenda as a list by place: of few pairs, the best is soon found."""
-        rank, none = self.rank.get, self.none
-        symbols = list(text)
-        agenda = [rank(text[i:i + 2], none) for i in range(len(text) - 1)]
-        while agenda:
-            best = min(agenda)
-            if best == none:
-                break
-            i = agenda.index(best)
-            merged = symbols[i] + symbols.pop(i + 1)
-            symbols[i] = merged
-            del agenda[i]
-            if i < len(agenda):
-                agenda[i] = rank(merged + symbols[i + 1], none)
-            if i:
-                agenda[i - 1] = rank(symbols[i - 1] + merged, none)
-        return symbols
-
-    def _merge_many(self, text: str) -> list[str]:
+    def _merge(self, text: str) -> list[str]:
         """The agenda as a heap; an entry whose pair has changed since is void."""
         n, rank = len(text), self.rank.get
         symbols = list(text)
@@ -130,28 +200,40 @@ class PieceVocabulary:
                     heappush(agenda, (r << 32) | h)
         return [s for s in symbols if s]
 
+    def encode_texts(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts, without an end id; none of empty ones."""
+        self.chunk.begin()
+        parts = [self.chunks(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
+        numbers = [np.fromiter(map(self.chunk.__getitem__, p), np.int64, len(p)) for p in parts]
+        self.chunk.flush()
+        e = self.chunk
+        return [e.ids[ragged(e.start[n], e.length[n])] for n in numbers]
+
     def encode(self, text: str) -> list[int]:
-        """Ids of a whole text, without an end id; none of an empty one."""
-        if not text:
-            return []
-        parts = self.chunks(BLANK + text.replace(" ", BLANK))
-        if max(map(len, parts)) > 64:  # long ones would fill the cache
-            return list(chain.from_iterable(self.chunk(p) if len(p) <= 64 else self._new_chunk(p) for p in parts))
-        return list(chain.from_iterable(map(self.chunk, parts)))
-
-    def _new_chunk(self, text: str) -> tuple[int, ...]:
-        self.fresh.append(text)
-        return self.encode_chunk(text)
+        return self.encode_texts([text])[0].tolist()
 
     def compare(self) -> None:
         """Raise unless the library encodes every new chunk alike. It puts a
         blank in front, which a line end parts from the chunk."""
         theirs = self.library.encode(["\n" + c for c in self.fresh], num_threads=1)
-        for c, ids in zip(self.fresh, theirs):
-            if list(self.encode_chunk(c) if len(c) > 64 else self.chunk(c)) != ids[2:]:
-                raise ValueError(f"not as the sentencepiece library encodes it: {c[:100]!r}")
+        if not self._all_alike(theirs):
+            for c, ids in zip(self.fresh, theirs):
+                if (self.chunk.known(c) or self.encode_chunk(c)) != ids[2:]:
+                    raise ValueError(f"not as the sentencepiece library encodes it: {c[:100]!r}")
         self.fresh.clear()
 
+    def _all_alike(self, theirs: list[list[int]]) -> bool:
+        """Whether all new chunks are known, with the library's ids (two stand in front)."""
+        e = self.chunk
+        n = np.fromiter((e.get(c, -1) for c in self.fresh), np.int64, len(self.fresh))
+        if (n < 0).any():
+            return False
+        length = np.fromiter(map(len, theirs), np.int64, len(theirs)) - 2
+        flat = np.fromiter(chain.from_iterable(theirs), np.int32)
+        after = np.cumsum(length + 2) - length
+        return np.array_equal(length, e.length[n]) and np.array_equal(
+            flat[ragged(after, length)], e.ids[ragged(e.start[n], length)])
+
     def decode(self, ids: list[int]) -> str:
         """Text of ids: control ids are nothing, blanks come back, the one in front goes."""
         out, at = [], 0
@@ -197,17 +279,16 @@ def encode_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
             texts = [t or "" for t in whole.column(1).to_pylist()]
             for i, j in text_groups(texts):
                 b = whole.slice(i, j - i)
-                ids = [v.encode(t) for t in texts[i:j]]
+                ids = v.encode_texts(texts[i:j])
                 if check:
                     v.compare()
                 v.fresh.clear()
-                for x in ids:
-                    x.append(v.end)
+                ids = [np.append(x, np.int32(v.end)) for x in ids]
                 ends = np.cumsum([0, *map(len, ids)])
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, ends[-1])
+                flat = np.concatenate(ids)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                     pa.array([v.decode(x) for x in ids], pa.string()), *b.columns[2:]],
+                     pa.array([v.decode(x.tolist()) for x in ids], pa.string()), *b.columns[2:]],
                     names=["doc_id", "ids", "decoded", *b.schema.names[2:]])
 
     return src.mapInArrow(run, "doc_id long, ids array<int>, decoded string" + row_type(src, with_row))
