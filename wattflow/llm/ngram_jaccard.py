@@ -126,14 +126,16 @@ def fixed_table(df: DataFrame, slots: Callable[[], Callable[[object], np.ndarray
     """
     size, top = (1 << bits) // CHUNKS, np.iinfo(dtype).max
 
+    def held(x: np.ndarray) -> np.ndarray:
+        return np.minimum(x.astype(np.int64), top).astype(dtype)
+
     def pieces(rows: dict[int, np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array(list(rows), pa.int32()),
-             pa.array([zlib.compress(np.minimum(x, top).astype(dtype).tobytes(), 1) for x in rows.values()],
-                      pa.binary())], names=["chunk", "counts"])
+             pa.array([zlib.compress(held(x).tobytes(), 1) for x in rows.values()], pa.binary())], names=["chunk", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, total = slots(), np.zeros(1 << bits, np.int64)
+        find, total = slots(), np.zeros(1 << bits, np.uint32)
         for b in batches:
             for value in b.column(0):
                 np.add.at(total, find(value.as_py()), 1)
@@ -144,7 +146,7 @@ def fixed_table(df: DataFrame, slots: Callable[[], Callable[[object], np.ndarray
         for b in batches:
             for c, data in zip(b.column(0).to_pylist(), b.column(1)):
                 x = np.frombuffer(zlib.decompress(data.as_py()), dtype).astype(np.int64)
-                sums[c] = sums[c] + x if c in sums else x
+                sums[c] = held(sums[c] + x if c in sums else x)
         yield pieces(sums)
 
     kind = "chunk int, counts binary"
@@ -300,7 +302,9 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """(node, sorted hashes) of the given (node, doc_id), from their texts.
 
     A table of fixed size of hashed ids lets tasks drop most other texts
-    before the shuffle; the join then settles which are wanted.
+    before the shuffle; the join then settles which are wanted. It is always a
+    merge join: as a broadcast join, both functions would run in one task, and
+    each core would hold two Python workers, there and for the rest of the job.
     """
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << WANTED_BITS))
     wanted = docs.sparkSession.sparkContext.broadcast(np.packbits(fixed_table(
@@ -325,7 +329,7 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
 
     some = (docs.where("doc_id is not null").select("doc_id", "text", slot.alias("slot"))
             .mapInArrow(drop, "doc_id long, text string"))
-    rows = some.join(nodes, "doc_id").select("node", "text").mapInArrow(run, "node long, h binary")
+    rows = some.join(nodes.hint("merge"), "doc_id").select("node", "text").mapInArrow(run, "node long, h binary")
     return stage(rows.dropDuplicates(["node"]), "whole-sets")
 
 
