@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattflow.llm.common import prepare
@@ -22,7 +23,16 @@ PIECE_ENDS = re.compile(rb"[.,;:!?\x0A-\x0D]")
 
 LONGEST = 4
 BLOCK_WORDS = 500_000
+#: Words in all blocks that a task fills at a time, however many languages there are.
+OPEN_WORDS = 2_000_000
 HELD_PHRASES = 400_000
+#: Rows of a batch of phrases.
+SENT_PHRASES = 50_000
+#: A block is a row of megabytes. Each is a row group of its own, else readers
+#: and writers hold those of a whole file at once.
+ONE_BLOCK = {"parquet.block.row.count.limit": "1"}
+#: An Arrow batch takes no further block from this size on.
+BATCH_BYTES = "1m"
 #: Bits of a filter of frequent groups; its size does not depend on the input.
 FILTER_BITS = 26
 #: Bits of a hash that counting keeps; equal ones of different groups only let more through.
@@ -114,13 +124,15 @@ class _Block:
         out.starts = starts[used]
         return out
 
-    def counts(self, at: np.ndarray, length: int) -> tuple[list[bytes], np.ndarray]:
+    def counts(self, at: np.ndarray, length: int) -> pa.Table:
         """The distinct phrases that begin at ``at``, as text, and their counts; exact."""
         group = self.word[at].astype(np.int64)
         for j in range(1, length):
             group = np.unique(group * len(self.words) + self.word[at + j], return_inverse=True)[1]
         _, first, n = np.unique(group, return_index=True, return_counts=True)
-        return [b" ".join(self.words[k] for k in self.word[i:i + length]) for i in at[first]], n
+        words = pa.array(self.words, pa.large_binary())
+        parts = [words.take(pa.array(self.word[at[first] + j])) for j in range(length)]
+        return pa.table({"phrase": pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())), "n": n})
 
 
 class _Filter:
@@ -140,16 +152,24 @@ class _Filter:
 
 
 def _relation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of about BLOCK_WORDS occurrences; a text is never split."""
+    """Blocks of about BLOCK_WORDS occurrences; a text is never split. With
+    many languages the longest one goes out earlier."""
     number = TaskContext.get().partitionId() << 32
     opened: dict[str, _Block] = {}
+    said = 0
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
             block = opened.setdefault(lang, _Block(lang))
+            said -= len(block.said)
             block.add(text.as_py().encode("utf-8"))
-            if len(block.said) >= BLOCK_WORDS:
-                yield opened.pop(lang).close().row(number)
-                number += 1
+            said += len(block.said)
+            if len(block.said) < BLOCK_WORDS and said >= OPEN_WORDS:
+                block = max(opened.values(), key=lambda x: len(x.said))
+            elif len(block.said) < BLOCK_WORDS:
+                continue
+            said -= len(block.said)
+            yield opened.pop(block.lang).close().row(number)
+            number += 1
     for block in opened.values():
         if block.said:
             yield block.close().row(number)
@@ -187,13 +207,14 @@ class _Step:
 
     def named(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counts by text, added up over the blocks of a task while there is room."""
-        held: dict[str, Counter] = {}
+        held: dict[str, pa.Table] = {}
         for _, block in _blocks(batches):
-            mine = held.setdefault(block.lang, Counter())
-            texts, n = block.counts(self._at(block), self.length)
-            for t, k in zip(texts, n.tolist()):
-                mine[t] += k
-            if sum(map(len, held.values())) > HELD_PHRASES:
+            mine = block.counts(self._at(block), self.length)
+            if block.lang in held:
+                mine = pa.concat_tables([held[block.lang], mine]).group_by("phrase", use_threads=False).aggregate(
+                    [("n", "sum")]).select(["phrase", "n_sum"]).rename_columns(["phrase", "n"])
+            held[block.lang] = mine
+            if sum(t.num_rows for t in held.values()) > HELD_PHRASES:
                 yield from _phrase_rows(held)
         yield from _phrase_rows(held)
 
@@ -204,11 +225,12 @@ class _Step:
                 yield block.keep(at, self.length).row(number)
 
 
-def _phrase_rows(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-    for lang, c in held.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.binary()).cast(pa.string()),
-             pa.array(list(c.values()), pa.int64())], names=["lang", "phrase", "n"])
+def _phrase_rows(held: dict[str, pa.Table]) -> Iterator[pa.RecordBatch]:
+    for lang, t in held.items():
+        for b in t.to_batches(max_chunksize=SENT_PHRASES):
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(lang, pa.string()), b.num_rows), b.column("phrase").cast(pa.string()),
+                 b.column("n")], names=["lang", "phrase", "n"])
     held.clear()
 
 
@@ -219,6 +241,19 @@ def _word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array((np.array(h, np.uint64) >> np.uint64(64 - HASH_BITS)).view(np.int64))], names=["hash"])
 
 
+@contextmanager
+def _block_by_block(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside hand large blocks to Python one at a time: an Arrow
+    batch lies beside the heap, in buffers that double as they grow."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def frequent_phrases(df: DataFrame, least: int = 30, text_col: str = "text",
                      lang_col: str = "lang") -> tuple[DataFrame, list[DataFrame]]:
     """(words a language, frequent phrases by length 1 to LONGEST).
@@ -230,7 +265,7 @@ def frequent_phrases(df: DataFrame, least: int = 30, text_col: str = "text",
     spark = df.sparkSession.sparkContext
     src = df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    relation = stage(src.mapInArrow(_relation, RELATION), "occurrences-1")
+    relation = stage(src.mapInArrow(_relation, RELATION), "occurrences-1", ONE_BLOCK)
     totals = relation.select("lang", F.size("word").cast("long").alias("n")).groupBy("lang").agg(
         F.sum("n").alias("total"))
     in_block = relation.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).select(
@@ -242,14 +277,15 @@ def frequent_phrases(df: DataFrame, least: int = 30, text_col: str = "text",
 
     tables = [frequent(in_block, 1)]
     words = spark.broadcast(_Filter(tables[0].select("lang", "phrase").mapInArrow(_word_hashes, "hash long")))
-    for length in range(2, LONGEST + 1):
-        counted = relation.mapInArrow(_Step(length, words, None).hashed, "hash long, n long").groupBy("hash").agg(
-            F.sum("n").alias("n")).where(F.col("n") >= least)
-        step = _Step(length, words, spark.broadcast(_Filter(counted)))
-        if length < LONGEST:
-            relation = stage(relation.mapInArrow(step.kept, RELATION), f"occurrences-{length}")
-            step, words = _Step(length, None, None, done=True), None
-        tables.append(frequent(relation.mapInArrow(step.named, "lang string, phrase string, n long"), length))
+    with _block_by_block(df.sparkSession):
+        for length in range(2, LONGEST + 1):
+            counted = relation.mapInArrow(_Step(length, words, None).hashed, "hash long, n long").groupBy("hash").agg(
+                F.sum("n").alias("n")).where(F.col("n") >= least)
+            step = _Step(length, words, spark.broadcast(_Filter(counted)))
+            if length < LONGEST:
+                relation = stage(relation.mapInArrow(step.kept, RELATION), f"occurrences-{length}", ONE_BLOCK)
+                step, words = _Step(length, None, None, done=True), None
+            tables.append(frequent(relation.mapInArrow(step.named, "lang string, phrase string, n long"), length))
     return totals, tables
 
 
